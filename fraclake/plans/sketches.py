@@ -17,7 +17,7 @@ DNA_SCALED = 100
 MURMUR_SCALED = 10
 PART_BITS = 10
 
-_M = f"{1 << 64}::UHUGEINT"
+_LOW = f"{(1 << 64) - 1}::UHUGEINT"
 
 
 def sql_signed(value: str) -> str:
@@ -42,16 +42,17 @@ def dna_murmur_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_word(first: int, count: int) -> str:
     """Little-endian value of up to eight characters of a k-mer."""
-    return " + ".join(f"ascii(substr(kmer, {first + j}, 1))::UHUGEINT * {1 << (8 * j)}::UHUGEINT"
-                      for j in range(count)) or "0::UHUGEINT"
+    if count == 0:
+        return "0::UHUGEINT"
+    return f"('0x' || hex(reverse(substr(kmer, {first}, {count}))))::UBIGINT::UHUGEINT"
 
 
 def _sql_times(a: str, b: int) -> str:
-    return f"(({a}) * {b}::UHUGEINT % {_M})"
+    return f"((({a}) * {b}::UHUGEINT) & {_LOW})"
 
 
 def _sql_rotl(a: str, n: int) -> str:
-    return f"((({a}) << {n}) % {_M} | (({a}) >> {64 - n}))"
+    return f"(((({a}) << {n}) & {_LOW}) | (({a}) >> {64 - n}))"
 
 
 def _sql_murmur(kmers: str, key: str, k: int) -> str:
@@ -65,18 +66,18 @@ def _sql_murmur(kmers: str, key: str, k: int) -> str:
         base = (f"SELECT *, {scrambled(_sql_word(1, 8), C1, 31, C2)} AS k1,"
                 f" {scrambled(_sql_word(9, 8), C2, 33, C1)} AS k2 FROM ({base})")
         base = f"SELECT {key}, kmer, {_sql_rotl('xor(h1, k1)', 27)} AS g1, xor(h2, k2) AS g2, h2 FROM ({base})"
-        base = f"SELECT {key}, kmer, ((g1 + h2) % {_M} * 5 + {ADD_1}) % {_M} AS h1, g2 FROM ({base})"
-        base = f"SELECT {key}, kmer, h1, (({_sql_rotl('g2', 31)} + h1) % {_M} * 5 + {ADD_2}) % {_M} AS h2 FROM ({base})"
+        base = f"SELECT {key}, kmer, ((g1 + h2) * 5 + {ADD_1}) & {_LOW} AS h1, g2 FROM ({base})"
+        base = f"SELECT {key}, kmer, h1, (({_sql_rotl('g2', 31)} + h1) * 5 + {ADD_2}) & {_LOW} AS h2 FROM ({base})"
         at = 17
     tail = k - at + 1
     base = (f"SELECT {key}, xor(xor(h1, {scrambled(_sql_word(at, min(8, tail)), C1, 31, C2)}), {k}::UHUGEINT) AS h1,"
             f" xor(xor(h2, {scrambled(_sql_word(at + 8, max(0, tail - 8)), C2, 33, C1)}), {k}::UHUGEINT) AS h2"
             f" FROM ({base})")
-    base = f"SELECT {key}, (h1 + h2) % {_M} AS h1, (h1 + h2 + h2) % {_M} AS h2 FROM ({base})"
+    base = f"SELECT {key}, (h1 + h2) & {_LOW} AS h1, (h1 + h2 + h2) & {_LOW} AS h2 FROM ({base})"
     for factor in (FINAL_1, FINAL_2):
         base = (f"SELECT {key}, {_sql_times('xor(h1, h1 >> 33)', factor)} AS h1,"
                 f" {_sql_times('xor(h2, h2 >> 33)', factor)} AS h2 FROM ({base})")
-    return f"SELECT {key}, {k}::INTEGER AS ksize, (xor(h1, h1 >> 33) + xor(h2, h2 >> 33)) % {_M} AS u FROM ({base})"
+    return f"SELECT {key}, {k}::INTEGER AS ksize, (xor(h1, h1 >> 33) + xor(h2, h2 >> 33)) & {_LOW} AS u FROM ({base})"
 
 
 _MURMUR = " UNION ALL ".join(_sql_murmur(sql_kmers("conversations", "conv_id", k), "conv_id", k) for k in (15, 31))
@@ -123,7 +124,7 @@ _MIXED = f"""(
     SELECT *, xor(z, z >> {SHIFT_3}) AS m FROM (
       SELECT * EXCLUDE z, {_sql_times(f'xor(z, z >> {SHIFT_2})', MULTIPLIER_2)} AS z FROM (
         SELECT * EXCLUDE z, {_sql_times(f'xor(z, z >> {SHIFT_1})', MULTIPLIER_1)} AS z FROM (
-          SELECT *, (u + {GOLDEN_GAMMA}::UHUGEINT) % {_M} AS z FROM {_ROW_HASHES}))))"""
+          SELECT *, (u + {GOLDEN_GAMMA}::UHUGEINT) & {_LOW} AS z FROM {_ROW_HASHES}))))"""
 
 
 def synthetic_sets(spark: SparkSession, sf_dir: str) -> DataFrame:

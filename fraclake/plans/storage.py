@@ -1,2 +1,213 @@
-QUERIES = {}
-ORACLES = {}
+"""Layouts on disk: write whole sets, read them back, describe them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fraclake.operators import hash_sets as sets
+from fraclake.operators.counting import row_count, sized_counts, unique_per_k
+from fraclake.plans.comparisons import _benchmark, _documents
+from fraclake.operators.sketching import word_hashes
+from fraclake.plans.inputs import (SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, WORD_SCALED, known_keys, sold_keys,
+                                   sql_word_bag, texts)
+from fraclake.shared import shared_folder
+from fraclake.sinks import hash_sets as layouts
+from fraclake.sinks.archives import write_vectors
+from fraclake.sinks.reports import write_report
+from fraclake.sources.hash_sets import (discover_ksizes, manifests_agree, read_bucketed_set, read_manifest,
+                                         read_unique_set)
+from fraclake.sources.vectors import find_vectors, read_vectors
+
+CREATED_AT = "2025-08-12 00:00:00"
+
+#: Partitions and buckets suited to the given tables; real sets use the layout defaults.
+BITS = 5
+
+
+def stored_set(spark: SparkSession, hashes: DataFrame, bits: int = BITS,
+               mode: str = layouts.PARTITION_MODE) -> str:
+    """Write a unique set with its manifest to a fresh folder and return the folder."""
+    root = shared_folder(spark, "unique")
+    layouts.write_unique_set(sets.unique_hashes(hashes), root, bits, mode)
+    layouts.require_parquet(spark, root)
+    layouts.write_manifest(layouts.manifest(read_unique_set(spark, root), bits, mode, CREATED_AT), root)
+    return root
+
+
+def parquet_set_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = stored_set(spark, sold_keys(spark, sf_dir))
+    wanted = discover_ksizes(read_unique_set(spark, root), (15, 31))
+    return read_unique_set(spark, root, wanted).select("ksize", "part", "hash")
+
+
+def unique_per_k_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = stored_set(spark, sold_keys(spark, sf_dir))
+    told = read_manifest(spark, root)
+    return (told.select("*", F.explode("ksizes").alias("k", "v"))
+            .select(F.col("k").cast("int").alias("ksize"), F.col("v.partitions").alias("partitions"),
+                    F.col("v.distinct_count").alias("distinct_count"), "total_distinct", "format",
+                    "partition_bits", "partition_mode", "created_at"))
+
+
+def unique_rollup_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unique_per_k(layouts.with_part(sets.unique_hashes(sold_keys(spark, sf_dir)), BITS))
+
+
+def layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucketed export of the sold part keys; file and byte counts depend on the cluster."""
+    root = shared_folder(spark, "bucketed")
+    layouts.write_bucketed(sets.keep_ksizes(sold_keys(spark, sf_dir), [31]), root, BITS)
+    layouts.require_parquet(spark, root)
+    stats = layouts.layout_stats(layouts.list_parquet(spark, root))
+    return stats.select((F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"), "partitions")
+
+
+def bucketed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_folder(spark, "bucketed")
+    layouts.write_bucketed(sets.keep_ksizes(sold_keys(spark, sf_dir), [15]), root, BITS)
+    return read_bucketed_set(spark, root).select("bucket", "hash")
+
+
+def sketch_union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of documents into one flat table, then one sorted unique set per k."""
+    flat, unique = shared_folder(spark, "flat"), shared_folder(spark, "sorted")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for batch in (docs.where(english), docs.where(~english)):
+        layouts.write_flat(_flat(batch), flat, mode="append")
+    merged = spark.read.schema("hash bigint, scaled bigint, source_file string, sketch_name string, ksize int").parquet(flat)
+    layouts.write_sorted_unique(merged, unique)
+    return spark.read.schema("hash bigint, ksize int").parquet(unique).select("ksize", "hash")
+
+
+def _flat(docs: DataFrame) -> DataFrame:
+    bag = word_hashes(docs, ["doc_id"], "text", WORD_KSIZES, WORD_SCALED)
+    return bag.select("hash", "ksize", F.lit(WORD_SCALED).cast("bigint").alias("scaled"),
+                      F.concat(F.lit("doc-"), "doc_id").alias("source_file"),
+                      F.concat(F.lit("doc-"), "doc_id").alias("sketch_name"))
+
+
+def written_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Difference of two stored sets, itself written and read back as a stored set."""
+    lhs, rhs = stored_set(spark, sold_keys(spark, sf_dir)), stored_set(spark, known_keys(spark, sf_dir))
+    out = shared_folder(spark, "difference")
+    lost = sets.difference(read_unique_set(spark, rhs), read_unique_set(spark, lhs))
+    layouts.write_difference(lost, out, BITS)
+    return read_unique_set(spark, out).select("ksize", "part", "hash")
+
+
+def diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export both sides by bucket, compare the exports, write and read the report."""
+    roots = {}
+    for side, bag in (("a", _documents(spark, sf_dir, (5,))), ("b", _benchmark(spark, sf_dir, (5,)))):
+        roots[side] = shared_folder(spark, f"export-{side}")
+        layouts.write_bucketed(bag, roots[side], BITS)
+        layouts.require_parquet(spark, roots[side])
+    a, b = (read_bucketed_set(spark, roots[s]) for s in "ab")
+    counts = sets.difference_counts(sets.membership(a, b, ["hash"]))
+    facts = counts.select(F.lit(1).alias("_one"), "a_not_b", "b_not_a")
+    for side, root in roots.items():
+        seen = layouts.layout_stats(layouts.list_parquet(spark, root))
+        facts = facts.join(seen.select(F.lit(1).alias("_one"), F.col("partitions").alias(f"{side}_buckets")), "_one")
+    report = facts.select(F.lit(BITS).cast("bigint").alias("bucket_bits"),
+                          F.lit((1 << BITS) - 1).cast("bigint").alias("mask"),
+                          "a_not_b", "b_not_a", "a_buckets", "b_buckets")
+    folder = shared_folder(spark, "report")
+    write_report(report, folder)
+    return spark.read.schema(report.schema).json(f"{folder}/json")
+
+
+def manifest_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """May these pairs of stored sets be compared partition by partition?"""
+    low = stored_set(spark, sold_keys(spark, sf_dir))
+    same = stored_set(spark, known_keys(spark, sf_dir))
+    finer = stored_set(spark, known_keys(spark, sf_dir), bits=4, mode="mix")
+    bare = shared_folder(spark, "bare")
+    layouts.write_unique_set(sets.unique_hashes(known_keys(spark, sf_dir)), bare, BITS)
+    result = None
+    for name, other in (("same", same), ("finer", finer), ("no manifest", bare)):
+        verdict = manifests_agree(read_manifest(spark, low), read_manifest(spark, other))
+        total = read_manifest(spark, low).select(F.lit(name).alias("pair"), F.col("total_distinct").alias("lhs_distinct"))
+        row = total.join(verdict.withColumn("pair", F.lit(name)), "pair")
+        result = row if result is None else result.unionByName(row)
+    return result
+
+
+def bin_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values and distinct values per k and partition of raw vector files."""
+    root = shared_folder(spark, "vectors")
+    write_vectors(sold_keys(spark, sf_dir), root, BITS)
+    values = read_vectors(find_vectors(spark, root))
+    per_hash = values.groupBy("ksize", "part", "hash").agg(F.count(F.lit(1)).alias("n"))
+    return per_hash.groupBy("ksize", "part").agg(F.sum("n").alias("stored"), F.count(F.lit(1)).alias("distinct_hashes"))
+
+
+def bin_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of stored values from file sizes and from reading them."""
+    root = shared_folder(spark, "vectors")
+    write_vectors(sold_keys(spark, sf_dir), root, BITS)
+    files = find_vectors(spark, root)
+    sized = sized_counts(files.select("path", "length")).select(F.lit("size").alias("method"), "hashes")
+    return sized.unionByName(row_count(read_vectors(files), "hashes").select(F.lit("read").alias("method"), "hashes"))
+
+
+QUERIES = {
+    "parquet_set_roundtrip": parquet_set_roundtrip,
+    "unique_per_k_manifest": unique_per_k_manifest,
+    "unique_rollup_k": unique_rollup_k,
+    "layout_stats": layout_stats,
+    "bucketed_rows": bucketed_rows,
+    "sketch_union_batches": sketch_union_batches,
+    "written_difference": written_difference,
+    "diff_report": diff_report,
+    "manifest_guard": manifest_guard,
+    "bin_vectors": bin_vectors,
+    "bin_roundtrip_counts": bin_roundtrip_counts,
+}
+
+_PART = "lpad(lower(to_hex(hash & 31)), 2, '0')"
+_SOLD = f"SELECT DISTINCT ksize, hash FROM {SQL_SOLD_KEYS}"
+_KNOWN = f"SELECT DISTINCT ksize, hash FROM {SQL_KNOWN_KEYS}"
+
+
+def _five(name: str, key: str) -> str:
+    return f"SELECT DISTINCT hash FROM {sql_word_bag(name, key, (5,))}"
+
+
+ORACLES = {
+    "parquet_set_roundtrip": f"SELECT ksize, {_PART} AS part, hash FROM ({_SOLD}) WHERE ksize IN (15, 31)",
+    "unique_per_k_manifest": f"""
+      WITH u AS ({_SOLD})
+      SELECT ksize, count(DISTINCT hash & 31) AS partitions, count(*) AS distinct_count,
+             (SELECT count(*) FROM u) AS total_distinct, 'parquet' AS format, 5::INTEGER AS partition_bits,
+             'low' AS partition_mode, '{CREATED_AT}' AS created_at
+      FROM u GROUP BY ksize""",
+    "unique_rollup_k": f"""
+      WITH u AS (SELECT ksize, count(DISTINCT hash & 31) AS p, count(*) AS n FROM ({_SOLD}) GROUP BY ksize)
+      SELECT ksize, sum(p)::BIGINT AS partitions, sum(n)::BIGINT AS distinct_count FROM u GROUP BY ROLLUP (ksize)""",
+    "layout_stats": f"""
+      SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes, count(DISTINCT hash & 31) AS partitions
+      FROM ({_SOLD}) WHERE ksize = 31""",
+    "bucketed_rows": f"SELECT (hash & 31)::INTEGER AS bucket, hash FROM ({_SOLD}) WHERE ksize = 15",
+    "sketch_union_batches": f"SELECT DISTINCT ksize, hash FROM {sql_word_bag('documents', 'doc_id')}",
+    "written_difference": f"""
+      SELECT ksize, {_PART} AS part, hash FROM ({_KNOWN}) b ANTI JOIN ({_SOLD}) a USING (ksize, hash)""",
+    "diff_report": f"""
+      WITH a AS ({_five('documents', 'doc_id')}), b AS ({_five('benchmark', 'item_id')})
+      SELECT 5::BIGINT AS bucket_bits, 31::BIGINT AS mask,
+             (SELECT count(*) FROM a ANTI JOIN b USING (hash)) AS a_not_b,
+             (SELECT count(*) FROM b ANTI JOIN a USING (hash)) AS b_not_a,
+             (SELECT count(DISTINCT hash & 31) FROM a) AS a_buckets,
+             (SELECT count(DISTINCT hash & 31) FROM b) AS b_buckets""",
+    "manifest_guard": f"""
+      WITH n AS (SELECT count(*) AS lhs_distinct FROM ({_SOLD}))
+      SELECT pair, lhs_distinct, compatible, 5::INTEGER AS lhs_bits, rhs_bits::INTEGER AS rhs_bits, 'low' AS lhs_mode,
+             rhs_mode
+      FROM n, (VALUES ('same', true, 5, 'low'), ('finer', false, 4, 'mix'), ('no manifest', true, NULL, NULL))
+              AS v(pair, compatible, rhs_bits, rhs_mode)""",
+    "bin_vectors": f"""
+      SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash) AS distinct_hashes
+      FROM {SQL_SOLD_KEYS} GROUP BY ALL""",
+    "bin_roundtrip_counts": f"""
+      SELECT method, (SELECT count(*) FROM {SQL_SOLD_KEYS}) AS hashes FROM (VALUES ('size'), ('read')) AS m(method)""",
+}

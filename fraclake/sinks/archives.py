@@ -13,7 +13,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fraclake.functions.mixing import hex_label, with_partition_id
+from fraclake.functions.mixing import with_partition_id
 
 
 def pack_archives(df: DataFrame) -> DataFrame:
@@ -69,28 +69,40 @@ def write_files(files: DataFrame) -> None:
 
 
 def write_vectors(hashes: DataFrame, root: str, bits: int = 8, mode: str = "low") -> None:
-    """Write (ksize, hash) as ksize=K/part=HEX/w<task>.<batch>.bin, little-endian uint64.
+    """Write (ksize, hash) as ksize=K/part=HEX/w<task>.bin, little-endian uint64.
 
-    Every task writes its own files, so a hot partition is spread over all of them.
+    Rows of a partition are gathered so that it gets few files; a hot partition is
+    split over several tasks, each with a file of its own. Within a task the rows are
+    sorted by partition, so one file is open at a time and nothing is held back.
     """
+    width = -(-bits // 4)
     placed = with_partition_id(hashes.select("ksize", "hash"), bits, mode)
-    placed = placed.select("ksize", hex_label("part_id", bits).alias("part"), "hash")
+    ordered = placed.hint("rebalance", "ksize", "part_id").sortWithinPartitions("ksize", "part_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         store, base = fs.FileSystem.from_uri(root)
-        for number, batch in enumerate(batches):
-            keys = pa.StructArray.from_arrays([batch.column("ksize"), batch.column("part")], names=["k", "p"])
-            codes = pa.array([f"ksize={r['k']}/part={r['p']}" for r in keys.to_pylist()]).dictionary_encode()
-            order = np.argsort(codes.indices.to_numpy(), kind="stable")
-            ordered = codes.indices.to_numpy()[order]
-            cuts = np.flatnonzero(np.diff(ordered)) + 1
-            values = batch.column("hash").to_numpy().astype("<i8", copy=False)[order]
-            for lo, hi in zip([0, *cuts], [*cuts, len(ordered)]):
-                if hi > lo:
-                    folder = codes.dictionary[int(ordered[lo])].as_py()
-                    put_file(store, f"{base}/{folder}/w{context.partitionId()}.{number}.bin",
-                             values[lo:hi].tobytes(), str(context.taskAttemptId()))
+        name, tag = f"w{context.partitionId()}.bin", f"{context.taskAttemptId()}.part"
+        key, stream, path = None, None, None
+        for batch in batches:
+            keys = (batch.column("ksize").to_numpy().astype(np.int64) << 32) | batch.column("part_id").to_numpy()
+            values = batch.column("hash").to_numpy().astype("<i8", copy=False)
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if keys[lo] != key:
+                    if stream:
+                        stream.close()
+                        store.move(f"{path}.{tag}", path)
+                    key = keys[lo]
+                    folder = f"{base}/ksize={int(key) >> 32}/part={int(key) & 0xFFFFFFFF:0{width}x}"
+                    store.create_dir(folder, recursive=True)
+                    path = f"{folder}/{name}"
+                    stream = store.open_output_stream(f"{path}.{tag}")
+                stream.write(values[lo:hi].tobytes())
             yield batch.select(["hash"]).slice(0, 0)
+        if stream:
+            stream.close()
+            store.move(f"{path}.{tag}", path)
 
-    placed.mapInArrow(write, "hash bigint").write.format("noop").mode("overwrite").save()
+    (ordered.select("ksize", "part_id", "hash").mapInArrow(write, "hash bigint")
+     .write.format("noop").mode("overwrite").save())
