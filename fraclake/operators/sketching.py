@@ -65,14 +65,23 @@ def word_hashes(docs: DataFrame, keys: Sequence[str], text: str, ksizes: Sequenc
     return _keep_hashed(placed, shingle, scaled, hash_fn).select(*keys, "ksize", "hash")
 
 
-def word_sketch_arrays(text: Column, ksize: int, scaled: int) -> Column:
-    """The same sketch as one array per text, for packing into an archive."""
-    words = F.split(text, WORD_BREAK)
-    count = F.size(words) - ksize + 1
-    starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    hexes = F.transform(starts, lambda at: md5_hex16(F.array_join(F.slice(words, at, F.lit(ksize)), " ")))
-    kept = F.filter(hexes, lambda h: h <= f"{max_hash_for(scaled):016x}")
-    return F.transform(kept, bits_from_hex)
+def word_sketch_arrays(docs: DataFrame, keys: Sequence[str], text: str, ksizes: Sequence[int],
+                       scaled: int) -> DataFrame:
+    """(keys..., h<k>...): the same sketches as one array per text, for packing.
+
+    Words are reached by position: slicing inside a lambda would copy the whole text
+    for every run.
+    """
+    split = docs.select(*keys, F.split(F.col(text), WORD_BREAK).alias("_words"))
+
+    def hashes(k: int) -> Column:
+        count = F.size("_words") - k + 1
+        starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        hexes = F.transform(starts, lambda at: md5_hex16(
+            F.concat_ws(" ", *[F.get(F.col("_words"), at + i) for i in range(k)])))
+        return F.transform(F.filter(hexes, lambda h: h <= f"{max_hash_for(scaled):016x}"), bits_from_hex)
+
+    return split.select(*keys, *[hashes(k).alias(f"h{k}") for k in ksizes])
 
 
 def sequence_chunks(records: DataFrame, keys: Sequence[str], seq: str, ksizes: Sequence[int],

@@ -37,12 +37,15 @@ def decode_signatures(df: DataFrame, json_text: str, keys: list[str]) -> DataFra
     records and a bare signature all fit one schema. A text with any value outside
     the unsigned range gives no rows at all.
     """
-    parsed = df.select(*keys, F.flatten(F.transform(F.from_json(F.col(json_text), SIGNATURE_FILE),
-                                                    _signatures)).alias("_all"))
+    parsed = df.select(*keys, F.from_json(F.col(json_text), SIGNATURE_FILE).alias("_records"))
+    listed = parsed.select(*keys, F.flatten(F.transform("_records", _signatures)).alias("_all"))
     wrong = F.exists("_all", lambda s: F.exists(
         s["values"], lambda v: v.isNull() | (v < 0) | (v >= F.expr(_OUT_OF_RANGE))))
-    usable = parsed.where(~F.coalesce(wrong, F.lit(False))).select(*keys, F.inline("_all"))
-    return (usable.where(F.col("ksize").isNotNull() & (F.size("values") > 0))
+    # Only generated columns are filtered: a filter on the parsed arrays, also the one
+    # Spark derives for `inline`, would be moved below and parse the text once more.
+    usable = listed.select(*keys, F.when(~F.coalesce(wrong, F.lit(False)), F.col("_all")).alias("_usable"))
+    return (usable.select(*keys, F.inline_outer("_usable"))
+            .where(F.col("ksize").isNotNull() & (F.size("values") > 0))
             .select(*keys, "filename", "ksize", resolved_scale().alias("scaled"),
                     F.size("values").cast("bigint").alias("num_hashes"),
                     F.transform("values", bits_from_decimal).alias("hashes")))
