@@ -1,2 +1,72 @@
-QUERIES = {}
-ORACLES = {}
+"""Streams over the given tables: each runs twice, so that the second run must find
+only what is new, and the stored result is returned."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fraclake.plans.archives import SQL_NAME, sketched_documents, write_document_archives
+from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, known_keys, sold_keys, sql_word_bag, table
+from fraclake.plans.listings import BASE, listing_pages, sql_candidates
+from fraclake.shared import shared_folder
+from fraclake.streaming.ingest import feed_ledger, grow_unique_set, ingest_archives, version_path
+
+CLOCK = 1705708800.0
+STEP = 100.0
+
+
+def stream_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of the English documents, then of all others: each is ingested once."""
+    base = shared_folder(spark, "stream-archives")
+    sketched = sketched_documents(spark, sf_dir)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for part in (english, ~english):
+        write_document_archives(sketched.where(part), f"{base}/in")
+        ingest_archives(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", WORD_KSIZES).awaitTermination()
+    flat = spark.read.schema("hash bigint, scaled bigint, source_file string, sketch_name string, ksize int").parquet(f"{base}/out")
+    return flat.groupBy(F.regexp_extract("source_file", "[^/]+$", 0).alias("source_file"), "ksize").agg(
+        F.count(F.lit(1)).alias("stored"))
+
+
+def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sold keys first, known keys later: the stored set gains only what it lacks."""
+    base = shared_folder(spark, "stream-unique")
+    for bag in (sold_keys(spark, sf_dir), known_keys(spark, sf_dir)):
+        bag.write.mode("append").parquet(f"{base}/in")
+        hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
+        grow_unique_set(hashes, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema("hash bigint, ksize int").parquet(f"{base}/out").select("ksize", "hash")
+
+
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages arrive in two parts; the ledger keeps the first part's rows."""
+    base = shared_folder(spark, "stream-ledger")
+    pages = listing_pages(table(spark, sf_dir, "pages"))
+    odd = F.col("page_id") % 2 == 1
+    for part in (odd, ~odd):
+        pages.where(part).select("url", "html").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        arriving = spark.readStream.schema("url string, html string").parquet(f"{base}/in")
+        feed_ledger(arriving, BASE, f"{base}/out", f"{base}/checkpoint",
+                    lambda n: CLOCK + STEP * n).awaitTermination()
+    return spark.read.parquet(version_path(f"{base}/out", 2))
+
+
+QUERIES = {"stream_archives": stream_archives, "stream_unique": stream_unique, "stream_ledger": stream_ledger}
+
+_BAG = sql_word_bag("documents", "doc_id")
+
+ORACLES = {
+    "stream_archives": f"""
+      SELECT {SQL_NAME} AS source_file, ksize,
+             CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS stored
+      FROM {_BAG} GROUP BY doc_id, ksize""",
+    "stream_unique": f"SELECT ksize, hash FROM {SQL_SOLD_KEYS} UNION SELECT ksize, hash FROM {SQL_KNOWN_KEYS}",
+    "stream_ledger": f"""
+      WITH c AS (SELECT subdir, filename, url, min(1 - page_id % 2) AS first, max(1 - page_id % 2) AS last
+                 FROM {sql_candidates(False)} GROUP BY ALL),
+      n AS (SELECT *, row_number() OVER (PARTITION BY first ORDER BY md5(subdir || '/' || filename))
+                   + CASE WHEN first = 1 THEN (SELECT count(*) FROM c WHERE first = 0) ELSE 0 END AS id FROM c)
+      SELECT id, subdir, filename, url, NULL::BIGINT AS size, NULL::VARCHAR AS mtime, 'PENDING' AS status,
+             0::INTEGER AS tries, NULL::VARCHAR AS last_error, NULL::VARCHAR AS out_path,
+             ({CLOCK} + {STEP} * last)::DOUBLE AS updated_at, ({CLOCK} + {STEP} * first)::DOUBLE AS created_at FROM n""",
+}
