@@ -37,7 +37,11 @@ def run_statistics(rows: DataFrame) -> DataFrame:
 
 
 def sized_counts(files: DataFrame) -> DataFrame:
-    """Values and files of raw vectors from file sizes alone: 8 bytes per value."""
+    """Values and files of raw vectors from file sizes alone: 8 bytes per value.
+
+    Spark's file listing leaves out empty files, which hold no values; they are the
+    one thing ``files`` and the mean do not count.
+    """
     values = F.coalesce(F.sum(F.floor(F.col("length") / 8)), F.lit(0))
     return files.agg(values.alias("hashes"), F.count(F.lit(1)).alias("files")).withColumn(
         "mean_per_file", F.when(F.col("files") > 0, F.col("hashes") / F.col("files")).otherwise(0.0))

@@ -119,7 +119,7 @@ def first_rows_distinct(bag: DataFrame, rows: int, scaled: int = 1) -> DataFrame
     before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     reached = totals.select("_range", "_rows", F.coalesce(before, F.lit(0)).alias("_before"))
     reached = reached.where(F.col("_before") < rows)
-    placed = ranged.join(reached, "_range")
+    placed = ranged.join(F.broadcast(reached), "_range")  # at most 2^16 rows
     whole = placed.where(F.col("_before") + F.col("_rows") <= rows).select("hash")
     earlier = F.sum("_n").over(Window.partitionBy("_range").orderBy("hash")
                                .rowsBetween(Window.unboundedPreceding, -1))

@@ -74,7 +74,8 @@ def _numbered(new: DataFrame, ledger: DataFrame) -> DataFrame:
     offsets = sizes.select("_group", F.coalesce(ahead, F.lit(0)).alias("_offset"))
     place = F.row_number().over(Window.partitionBy("_group").orderBy("_md5", *_KEY))
     last = ledger.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
-    return keyed.withColumn("_place", place).join(offsets, "_group").withColumn(
+    placed = keyed.withColumn("_place", place).join(F.broadcast(offsets), "_group")  # at most 65,536 rows
+    return placed.withColumn(
         "id", last + F.col("_offset") + F.col("_place"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fraclake.operators.counting import extraction_counts, run_statistics
 from fraclake.operators.hash_sets import unique_hashes
 from fraclake.operators.sketching import GENERATED_FOLDERS, max_hash_for, word_sketch_arrays
-from fraclake.plans.inputs import WORD_KSIZES, WORD_SCALED, sql_word_bag, texts
+from fraclake.plans.inputs import WORD_KSIZES, WORD_SCALED, sql_word_bag, wide
 from fraclake.shared import shared_folder
 from fraclake.sinks.archives import pack_archives, write_files
 from fraclake.sources.archives import decode_archives, find_archives, flat_hashes, sketch_rows
@@ -18,7 +18,7 @@ MAX_HASH = max_hash_for(WORD_SCALED)
 
 def sketched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, h3, h5): both sketches of each document as arrays."""
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    docs = wide(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return word_sketch_arrays(docs, ["doc_id", "lang"], "text", WORD_KSIZES, WORD_SCALED)
 
 
@@ -58,7 +58,7 @@ def _entry(name: str | Column, text: Column, plain: Column | bool = False) -> Co
 
 
 def write_document_archives(sketched: DataFrame, root: str) -> None:
-    members = F.array(_entry("SOURMASH-MANIFEST.csv", F.lit("not,used\n"), True),
+    members = F.array(_entry("MANIFEST.csv", F.lit("not,used\n"), True),
                       _entry("signatures/a.3.sig.gz", signature_json("h3", 3)),
                       _entry("nested/signatures/a.5.sig.gz", signature_json("h5", 5)))
     write_files(pack_archives(sketched.select(archive_path(root).alias("path"), members.alias("members"))))
@@ -125,8 +125,8 @@ def archive_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def signature_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loose JSON decoded by Spark; every fifth document holds an impossible value."""
     extra = F.when(F.pmod("doc_id", F.lit(5)) == 4, F.lit(str(1 << 64)))
-    texts_ = sketched_documents(spark, sf_dir).select("doc_id", signature_json("h5", 5, extra).alias("json"))
-    rows = decode_signatures(texts_, "json", ["doc_id"])
+    loose = sketched_documents(spark, sf_dir).select("doc_id", signature_json("h5", 5, extra).alias("json"))
+    rows = decode_signatures(loose, "json", ["doc_id"])
     return rows.select("doc_id", "filename", "ksize", "scaled", "num_hashes",
                        F.explode_outer("hashes").alias("hash")).distinct()
 

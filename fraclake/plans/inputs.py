@@ -23,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A text table ready for heavy per-row work on every core."""
+def wide(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, ready for heavy per-row work on every core."""
     return widen(table(spark, sf_dir, name).select(*columns), columns[0])
 
 
@@ -37,7 +37,7 @@ def hex_bound(scaled: int) -> str:
 def word_bag(spark: SparkSession, sf_dir: str, name: str, key: str, ksizes=WORD_KSIZES,
              scaled: int = WORD_SCALED) -> DataFrame:
     """(key, ksize, hash) of a text table, repeats included."""
-    return word_hashes(texts(spark, sf_dir, name, key, "text"), [key], "text", ksizes, scaled)
+    return word_hashes(wide(spark, sf_dir, name, key, "text"), [key], "text", ksizes, scaled)
 
 
 def sql_word_bag(name: str, key: str, ksizes=WORD_KSIZES, scaled: int = WORD_SCALED) -> str:
@@ -69,7 +69,7 @@ def _pair(k: int, column: str) -> Column:
 def sold_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bag of (ksize, hash) of the order, part and supplier keys found in lineitem."""
     pairs = F.array(_pair(15, "l_orderkey"), _pair(31, "l_partkey"), _pair(33, "l_suppkey"))
-    return _keyed(table(spark, sf_dir, "lineitem").select(F.inline(pairs)))
+    return _keyed(wide(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey").select(F.inline(pairs)))
 
 
 def known_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from fraclake.functions.paths import (HREF, SHARD_DIRECTORY, TARGET_FILE, base_n
 from fraclake.operators.listing import classified_links, listing_candidates, page_links
 from fraclake.plans.inputs import table
 
-BASE = "https://files.example.org/genbank/wgs"
+BASE = "https://files.example.org/assemblies"
 
 
 def href_links(spark: SparkSession, sf_dir: str) -> DataFrame:

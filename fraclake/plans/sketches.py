@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraclake.functions.hashing import md5_64
+from fraclake.functions import register_sql
+from fraclake.functions.hashing import (ADD_1, ADD_2, C1, C2, FINAL_1, FINAL_2, KMER_SEED, md5_64)
 from fraclake.functions.mixing import (GOLDEN_GAMMA, MULTIPLIER_1, MULTIPLIER_2, SHIFT_1, SHIFT_2, SHIFT_3,
                                        hex_label, with_partition_id)
-from fraclake.functions.hashing import ADD_1, ADD_2, C1, C2, FINAL_1, FINAL_2, KMER_SEED
 from fraclake.operators.sketching import generated_sketches, kmer_hashes, max_hash_for
-from fraclake.plans.inputs import (WORD_KSIZES, dna, sql_kmers, sql_word_bag, table, texts, word_bag)
+from fraclake.plans.inputs import (WORD_KSIZES, dna, sql_kmers, sql_word_bag, table, wide, word_bag)
 from fraclake.shared import shared_folder
 from fraclake.sources.fasta import read_fasta
 
@@ -31,12 +31,12 @@ def text_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dna_kmer_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", dna("text").alias("seq"))
+    records = wide(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", dna("text").alias("seq"))
     return kmer_hashes(records, ["doc_id"], "seq", (31,), DNA_SCALED, "md5_64").distinct()
 
 
 def dna_murmur_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = texts(spark, sf_dir, "conversations", "conv_id", "text").select("conv_id", dna("text").alias("seq"))
+    records = wide(spark, sf_dir, "conversations", "conv_id", "text").select("conv_id", dna("text").alias("seq"))
     return kmer_hashes(records, ["conv_id"], "seq", (15, 31), MURMUR_SCALED, "murmur64").distinct()
 
 
@@ -83,10 +83,14 @@ def _sql_murmur(kmers: str, key: str, k: int) -> str:
 _MURMUR = " UNION ALL ".join(_sql_murmur(sql_kmers("conversations", "conv_id", k), "conv_id", k) for k in (15, 31))
 
 
+_sql_by_length = " UNION ALL ".join(
+    _sql_murmur(f"(SELECT l_orderkey, kmer FROM k WHERE len(kmer) = {n})", "l_orderkey", n) for n in range(1, 16))
+
+
 def fasta_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the DNA of all documents as FASTA files by language, read them, sketch each."""
     root = shared_folder(spark, "fasta")
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    docs = wide(spark, sf_dir, "documents", "doc_id", "text", "lang")
     lines = F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" lang>"), F.col("lang"), F.lit("\n"),
                      F.regexp_replace(F.lower(dna("text")), "(.{60})", "$1\n"))
     (docs.select("lang", lines.alias("value")).write.partitionBy("lang").option("compression", "gzip").text(root))
@@ -97,7 +101,7 @@ def fasta_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full-width hash per lineitem row; half of them have the sign bit set."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    lines = wide(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
     return lines.withColumn("hash", md5_64(F.concat_ws("-", "l_orderkey", "l_linenumber")))
 
 
@@ -127,6 +131,13 @@ _MIXED = f"""(
           SELECT *, (u + {GOLDEN_GAMMA}::UHUGEINT) & {_LOW} AS z FROM {_ROW_HASHES}))))"""
 
 
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The functions registered for SQL, over the hashes of all lineitem rows."""
+    register_sql(spark)
+    return spark.sql("SELECT l_orderkey, l_linenumber, splitmix64(hash) AS mixed, hash_bucket(hash, 9) AS bucket,"
+                     " murmur64(CAST(l_orderkey AS STRING)) AS murmur FROM {rows}", rows=_row_hashes(spark, sf_dir))
+
+
 def synthetic_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated sketches for one archive per supplier."""
     return generated_sketches(table(spark, sf_dir, "supplier"), "s_suppkey")
@@ -149,6 +160,7 @@ QUERIES = {
     "splitmix_partition": _partition("mix"),
     "low_partition": _partition("low"),
     "high_partition": _partition("high"),
+    "sql_functions": sql_functions,
     "synthetic_sets": synthetic_sets,
 }
 
@@ -171,5 +183,10 @@ ORACLES = {
     "splitmix_partition": _sql_partition(_MIXED, f"m >> {64 - PART_BITS}"),
     "low_partition": _sql_partition(_ROW_HASHES, f"u % {1 << PART_BITS}"),
     "high_partition": _sql_partition(_ROW_HASHES, f"u >> {64 - PART_BITS}"),
+    "sql_functions": f"""
+      WITH k AS (SELECT DISTINCT l_orderkey, l_orderkey::VARCHAR AS kmer FROM lineitem),
+      h AS ({_sql_by_length})
+      SELECT l_orderkey, l_linenumber, {sql_signed('m')} AS mixed, (u % 512)::BIGINT AS bucket, {sql_signed('h.u2')} AS murmur
+      FROM {_MIXED} JOIN (SELECT l_orderkey, u AS u2 FROM h) h USING (l_orderkey)""",
     "synthetic_sets": _SYNTHETIC,
 }

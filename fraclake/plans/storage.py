@@ -9,7 +9,7 @@ from fraclake.operators.counting import row_count, sized_counts, unique_per_k
 from fraclake.plans.comparisons import _benchmark, _documents
 from fraclake.operators.sketching import word_hashes
 from fraclake.plans.inputs import (SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, WORD_SCALED, known_keys, sold_keys,
-                                   sql_word_bag, texts)
+                                   sql_word_bag, wide)
 from fraclake.shared import shared_folder
 from fraclake.sinks import hash_sets as layouts
 from fraclake.sinks.archives import write_vectors
@@ -71,7 +71,7 @@ def bucketed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sketch_union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of documents into one flat table, then one sorted unique set per k."""
     flat, unique = shared_folder(spark, "flat"), shared_folder(spark, "sorted")
-    docs = texts(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    docs = wide(spark, sf_dir, "documents", "doc_id", "lang", "text")
     english = F.coalesce(F.col("lang") == "en", F.lit(False))
     for batch in (docs.where(english), docs.where(~english)):
         layouts.write_flat(_flat(batch), flat, mode="append")

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fraclake.plans.archives import SQL_NAME, sketched_documents, write_document_archives
 from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, known_keys, sold_keys, sql_word_bag, table
 from fraclake.plans.listings import BASE, listing_pages, sql_candidates
+from fraclake.plans.loads import fresh_schema
 from fraclake.shared import shared_folder
-from fraclake.streaming.ingest import feed_ledger, grow_unique_set, ingest_archives, version_path
+from fraclake.streaming.ingest import (feed_ledger, grow_unique_set, grow_unique_table, ingest_archives,
+                                       version_path)
 
 CLOCK = 1705708800.0
 STEP = 100.0
@@ -38,6 +40,16 @@ def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("hash bigint, ksize int").parquet(f"{base}/out").select("ksize", "hash")
 
 
+def stream_unique_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a table bucketed by hash."""
+    base, table_name = shared_folder(spark, "stream-table"), f"{fresh_schema(spark)}.hashes"
+    for bag in (sold_keys(spark, sf_dir), known_keys(spark, sf_dir)):
+        bag.write.mode("append").parquet(f"{base}/in")
+        hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
+        grow_unique_table(hashes, table_name, f"{base}/checkpoint", 8).awaitTermination()
+    return spark.table(table_name).select("ksize", "hash")
+
+
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages arrive in two parts; the ledger keeps the first part's rows."""
     base = shared_folder(spark, "stream-ledger")
@@ -51,7 +63,12 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(version_path(f"{base}/out", 2))
 
 
-QUERIES = {"stream_archives": stream_archives, "stream_unique": stream_unique, "stream_ledger": stream_ledger}
+QUERIES = {
+    "stream_archives": stream_archives,
+    "stream_unique": stream_unique,
+    "stream_unique_table": stream_unique_table,
+    "stream_ledger": stream_ledger,
+}
 
 _BAG = sql_word_bag("documents", "doc_id")
 
@@ -61,6 +78,7 @@ ORACLES = {
              CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS stored
       FROM {_BAG} GROUP BY doc_id, ksize""",
     "stream_unique": f"SELECT ksize, hash FROM {SQL_SOLD_KEYS} UNION SELECT ksize, hash FROM {SQL_KNOWN_KEYS}",
+    "stream_unique_table": f"SELECT ksize, hash FROM {SQL_SOLD_KEYS} UNION SELECT ksize, hash FROM {SQL_KNOWN_KEYS}",
     "stream_ledger": f"""
       WITH c AS (SELECT subdir, filename, url, min(1 - page_id % 2) AS first, max(1 - page_id % 2) AS last
                  FROM {sql_candidates(False)} GROUP BY ALL),

@@ -52,6 +52,26 @@ def grow_unique_set(hashes: DataFrame, out: str, checkpoint: str) -> StreamingQu
             .trigger(availableNow=True).start())
 
 
+def grow_unique_table(hashes: DataFrame, table: str, checkpoint: str, buckets: int) -> StreamingQuery:
+    """The same for a catalog table bucketed by (ksize, hash).
+
+    The stored side of the difference is read in place, bucket by bucket: only the
+    hashes of the micro-batch are shuffled, however large the table has become. Their
+    shuffle follows the buckets, so each batch adds one file per bucket.
+    """
+
+    def add(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = unique_hashes(batch)
+        if spark.catalog.tableExists(table):
+            new = difference(new, spark.table(table).hint("merge"))
+        (new.repartition(buckets, "ksize", "hash").write.mode("append")
+         .bucketBy(buckets, "ksize", "hash").sortBy("ksize", "hash").saveAsTable(table))
+
+    return (hashes.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version:08d}"
 
