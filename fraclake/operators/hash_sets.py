@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from fraclake.functions.mixing import low_bits
 from fraclake.functions.unsigned import unsigned_key
 from fraclake.operators.sketching import max_hash_for
+from fraclake.shared import stored
 
 KEY = ("ksize", "hash")
 
@@ -110,16 +111,18 @@ def first_rows_distinct(bag: DataFrame, rows: int, scaled: int = 1) -> DataFrame
     hashes are grouped into at most 2^16 equal ranges: a running total over the
     ranges tells which lie wholly inside the cap, and only the range that straddles
     it needs a running total over its own hashes. ``scaled`` says how far the hashes
-    reach, so that the ranges share them evenly.
+    reach, so that the ranges share them evenly. NULL hashes come first.
+
+    The counted hashes are written once, as three steps read them.
     """
     shift = max(0, max_hash_for(scaled).bit_length() - 16)
-    counted = bag.groupBy("hash").agg(F.count(F.lit(1)).alias("_n"))
-    ranged = counted.withColumn("_range", F.shiftrightunsigned("hash", shift))
+    counted = stored(bag.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")), "counted")
+    ranged = counted.withColumn("_range", F.coalesce(F.shiftrightunsigned("hash", shift), F.lit(-1)))
     totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     reached = totals.select("_range", "_rows", F.coalesce(before, F.lit(0)).alias("_before"))
     reached = reached.where(F.col("_before") < rows)
-    placed = ranged.join(F.broadcast(reached), "_range")  # at most 2^16 rows
+    placed = ranged.join(F.broadcast(reached), "_range")  # at most 2^16 + 1 rows
     whole = placed.where(F.col("_before") + F.col("_rows") <= rows).select("hash")
     earlier = F.sum("_n").over(Window.partitionBy("_range").orderBy("hash")
                                .rowsBetween(Window.unboundedPreceding, -1))

@@ -76,6 +76,11 @@ def test_row_cap_matches_a_sort(spark, scaled):
         assert sorted(got) == sorted({signed(v) for v in ordered[:cap]})
 
 
+def test_row_cap_keeps_null_hashes(spark):
+    df = spark.createDataFrame([(5,), (None,), (None,), (7,)], "hash bigint")
+    assert [{r.hash for r in sets.first_rows_distinct(df, n).collect()} for n in (1, 3, 9)] == [{None}, {None, 5}, {None, 5, 7}]
+
+
 def test_unsigned_sort(spark):
     values = [0, (1 << 63) - 1, 1 << 63, (1 << 64) - 1]
     rows = sets.sorted_hashes(frame(spark, [signed(v) for v in reversed(values)])).collect()
