@@ -190,7 +190,7 @@ def generated_sketches(archives: DataFrame, number: str, members: int = 2, ksize
 
     Values are spread evenly below the threshold of ``scaled`` and are a function of
     (archive, member, k, draw), so a task that runs again draws the same values.
-    Repeated values within a sketch are removed.
+    Repeated values within a sketch are removed in its row, so nothing is shuffled.
     """
     i = F.col(number)
     folders = F.array(*[F.lit(f) for f in GENERATED_FOLDERS])
@@ -199,8 +199,8 @@ def generated_sketches(archives: DataFrame, number: str, members: int = 2, ksize
              .select("*", F.explode(F.array(*[F.lit(k) for k in ksizes])).alias("ksize")))
     draws = F.lit(DRAWS_BASE) + F.pmod(F.col("archive") + F.col("member") + F.col("ksize"),
                                        F.lit(DRAWS_SPREAD)).cast("int")
-    drawn = cells.select("*", F.explode(F.sequence(F.lit(1), draws)).alias("_draw"))
-    seed = F.concat_ws("/", "archive", "member", "ksize", "_draw")
-    value = F.shiftrightunsigned(md5_64(seed), 1) % F.lit(max_hash_for(scaled))
+    value = F.transform(F.sequence(F.lit(1), draws), lambda draw: F.shiftrightunsigned(
+        md5_64(F.concat_ws("/", "archive", "member", "ksize", draw)), 1) % F.lit(max_hash_for(scaled)))
     folder = F.element_at(folders, (F.pmod(F.col("archive"), F.lit(len(GENERATED_FOLDERS))) + 1).cast("int"))
-    return drawn.select("archive", folder.alias("folder"), "member", "ksize", value.alias("hash")).distinct()
+    return cells.select("archive", folder.alias("folder"), "member", "ksize",
+                        F.explode_outer(F.array_distinct(value)).alias("hash"))

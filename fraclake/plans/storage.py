@@ -14,7 +14,7 @@ from fraclake.shared import shared_folder
 from fraclake.sinks import hash_sets as layouts
 from fraclake.sinks.archives import write_vectors
 from fraclake.sinks.reports import write_report
-from fraclake.sources.hash_sets import (discover_ksizes, manifests_agree, read_bucketed_set, read_manifest,
+from fraclake.sources.hash_sets import (OWN_TYPE, discover_ksizes, manifests_agree, read_bucketed_set, read_manifest,
                                          read_unique_set)
 from fraclake.sources.vectors import find_vectors, read_vectors
 
@@ -30,14 +30,14 @@ def stored_set(spark: SparkSession, hashes: DataFrame, bits: int = BITS,
     root = shared_folder(spark, "unique")
     layouts.write_unique_set(sets.unique_hashes(hashes), root, bits, mode)
     layouts.require_parquet(spark, root)
-    layouts.write_manifest(layouts.manifest(read_unique_set(spark, root), bits, mode, CREATED_AT), root)
+    layouts.write_manifest(layouts.manifest(read_unique_set(spark, root, hash_type=OWN_TYPE), bits, mode, CREATED_AT), root)
     return root
 
 
 def parquet_set_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = stored_set(spark, sold_keys(spark, sf_dir))
-    wanted = discover_ksizes(read_unique_set(spark, root), (15, 31))
-    return read_unique_set(spark, root, wanted).select("ksize", "part", "hash")
+    wanted = discover_ksizes(read_unique_set(spark, root, hash_type=OWN_TYPE), (15, 31))
+    return read_unique_set(spark, root, wanted, OWN_TYPE).select("ksize", "part", "hash")
 
 
 def unique_per_k_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "bucketed")
     layouts.write_bucketed(sets.keep_ksizes(sold_keys(spark, sf_dir), [15]), root, BITS)
-    return read_bucketed_set(spark, root).select("bucket", "hash")
+    return read_bucketed_set(spark, root, OWN_TYPE).select("bucket", "hash")
 
 
 def sketch_union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,9 +91,9 @@ def written_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Difference of two stored sets, itself written and read back as a stored set."""
     lhs, rhs = stored_set(spark, sold_keys(spark, sf_dir)), stored_set(spark, known_keys(spark, sf_dir))
     out = shared_folder(spark, "difference")
-    lost = sets.difference(read_unique_set(spark, rhs), read_unique_set(spark, lhs))
+    lost = sets.difference(read_unique_set(spark, rhs, hash_type=OWN_TYPE), read_unique_set(spark, lhs, hash_type=OWN_TYPE))
     layouts.write_difference(lost, out, BITS)
-    return read_unique_set(spark, out).select("ksize", "part", "hash")
+    return read_unique_set(spark, out, hash_type=OWN_TYPE).select("ksize", "part", "hash")
 
 
 def diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +103,7 @@ def diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         roots[side] = shared_folder(spark, f"export-{side}")
         layouts.write_bucketed(bag, roots[side], BITS)
         layouts.require_parquet(spark, roots[side])
-    a, b = (read_bucketed_set(spark, roots[s]) for s in "ab")
+    a, b = (read_bucketed_set(spark, roots[s], OWN_TYPE) for s in "ab")
     counts = sets.difference_counts(sets.membership(a, b, ["hash"]))
     facts = counts.select(F.lit(1).alias("_one"), "a_not_b", "b_not_a")
     for side, root in roots.items():

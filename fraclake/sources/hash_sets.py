@@ -15,18 +15,25 @@ MANIFEST_FOLDER = "_manifest"
 SINGLE_MANIFEST = "_MANIFEST.json"
 
 
-def read_unique_set(spark: SparkSession, root: str, ksizes: Collection[int] | None = None) -> DataFrame:
+#: Type of the hash column in files written by this package.
+OWN_TYPE = "bigint"
+
+
+def read_unique_set(spark: SparkSession, root: str, ksizes: Collection[int] | None = None,
+                    hash_type: str | None = None) -> DataFrame:
     """(hash, ksize, part) of a set stored as ksize=K/part=HEX.
 
     Partition types are given, never inferred: labels such as ``1e10`` would turn into
-    numbers. Files with unsigned columns are converted to bit patterns.
+    numbers. Files with unsigned columns are converted to bit patterns. Naming the
+    type of the stored column (OWN_TYPE) saves looking at a file for it, and with it
+    one more listing of the set.
     """
-    return _partitioned(spark, root, "ksize int, part string", ksizes)
+    return _partitioned(spark, root, "ksize int, part string", ksizes, hash_type)
 
 
-def read_bucketed_set(spark: SparkSession, root: str) -> DataFrame:
+def read_bucketed_set(spark: SparkSession, root: str, hash_type: str | None = None) -> DataFrame:
     """(hash, bucket) of a set stored as bucket=N."""
-    return _partitioned(spark, root, "bucket int", None)
+    return _partitioned(spark, root, "bucket int", None, hash_type)
 
 
 def read_flat_hashes(spark: SparkSession, path: str) -> DataFrame:
@@ -34,8 +41,9 @@ def read_flat_hashes(spark: SparkSession, path: str) -> DataFrame:
     return _as_bits(spark.read.parquet(path).select("hash"))
 
 
-def _partitioned(spark: SparkSession, root: str, partitions: str, ksizes: Collection[int] | None) -> DataFrame:
-    stored = spark.read.parquet(root).schema["hash"].dataType.simpleString()
+def _partitioned(spark: SparkSession, root: str, partitions: str, ksizes: Collection[int] | None,
+                 hash_type: str | None) -> DataFrame:
+    stored = hash_type or spark.read.parquet(root).schema["hash"].dataType.simpleString()
     df = spark.read.schema(f"hash {stored}, {partitions}").parquet(root)
     if ksizes is not None:
         df = df.where(F.col("ksize").isin(*ksizes))
