@@ -176,7 +176,9 @@ def candidates(ledger: DataFrame, now: float, cooldown: float = ERROR_COOLDOWN,
 def skip_produced(ledger: DataFrame, produced: DataFrame, root: str, path_of) -> tuple[DataFrame, DataFrame]:
     """Split the ledger into rows whose output exists already, and the rest.
 
-    ``produced`` lists existing outputs (path); ``path_of`` builds the expected one.
+    ``produced`` lists existing outputs (path), for instance of found archives;
+    ``path_of`` builds the expected one, so ``root`` must be spelled as in the listing
+    (Spark lists local files as ``file:/...``). Both halves share the two shuffles.
     """
     expected = ledger.withColumn("path", path_of(root, "subdir", "filename"))
     known = produced.select("path").distinct()
