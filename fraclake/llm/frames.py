@@ -41,3 +41,15 @@ def by_text(one: Callable[..., pa.Array], kind: str) -> Callable[..., Column]:
         return F.arrow_udf(run, kind)(*columns)
 
     return call
+
+
+#: A side of fewer rows and bytes than this may be sent to every executor.
+SMALL_ROWS, SMALL_BYTES = 1_000_000, 64 << 20
+
+
+def small_side(side: DataFrame) -> DataFrame:
+    """``side`` marked for broadcast if its counted rows and the bytes of its arrays are few,
+    else as it is, so that the join is a shuffle."""
+    arrays = [F.coalesce(F.size(f.name), F.lit(0)) * 16 for f in side.schema if f.dataType.typeName() == "array"]
+    rows, size = side.agg(F.count("*"), F.coalesce(F.sum(sum(arrays, F.lit(64))), F.lit(0))).first()
+    return F.broadcast(side) if rows <= SMALL_ROWS and size <= SMALL_BYTES else side

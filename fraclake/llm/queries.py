@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraclake.llm import decontamination, near_duplicates
+from fraclake.llm import decontamination, importance, line_frequency, near_duplicates, packing, token_counts
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op9_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.report(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.link(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_benchmark_decontamination, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {"op4_benchmark_decontamination": decontamination.SQL, "op10_minhash_near_dedup": near_duplicates.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_importance_resampling, op3_token_counts, op4_benchmark_decontamination, op5_sum_of_squares_packing,
+    op9_site_line_frequency, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op4_benchmark_decontamination": decontamination.SQL, "op9_site_line_frequency": line_frequency.SQL,
+                           "op10_minhash_near_dedup": near_duplicates.SQL}
