@@ -13,8 +13,11 @@ a million, and is let go by the estimate only if that is off by six standard dev
 Groups do not become pairs. First each member of a band's bucket is compared with the
 bucket's smallest member, and confirmed links are closed to components. Then, in buckets
 that still hold several components, members outside the bucket's main component are compared
-with members of other components. So copies and near copies cost a pair each per bucket, and
-no link between components is missed.
+with members of other components. A text can share no more shingles than those that occur in
+two or more of the texts in question, which are counted first; this count, the size, the
+signature and the set travel with a member, and the join compares them in this order, so
+that only links become rows. So copies and near copies cost a pair each per bucket, other
+texts with much in common cost none, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -110,21 +113,45 @@ def shared_shingles(a: pa.Array, b: pa.Array) -> pa.Array:
                                        pa.array(common, pa.int64())], names=["n_a", "n_b", "common"])
 
 
-def confirmed(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct (a, b) pairs whose full sets are similar enough."""
-    left = signatures.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a"), F.col("n").alias("n_a"))
-    right = signatures.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b"), F.col("n").alias("n_b"))
-    likely = (pairs.join(left, "a").join(right, "b")
-              .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-              .where(similarity("bits_a", "bits_b") >= LET_GO - (0.75 - percent / 100)).select("a", "b"))
-    likely = stored(likely, "likely-pairs")
-    wanted = likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
-    texts = stored(docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi").groupBy("doc_id", "text").agg(F.lit(1)).select("doc_id", "text"), "pair-texts")
-    both = (likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
+def likely(percent: int) -> Column:
+    """Whether a pair of (n_a, bits_a) and (n_b, bits_b) may have that similarity."""
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return sizes & (similarity("bits_a", "bits_b") >= LET_GO - (0.75 - percent / 100))
+
+
+def shingle_lists(column: pa.Array) -> pa.Array:
+    shingles, first = shingle_sets(column)
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(shingles.view(np.int64)))
+
+
+def open_sets(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, full, c): the shingles of these texts, and how many occur in another one of them too."""
+    found = docs.join(reps.hint("merge"), docs["doc_id"] == reps["rep"], "left_semi").groupBy("doc_id", "text").agg(F.lit(1))
+    sets = stored(found.select(F.col("doc_id").alias("rep"), by_text(shingle_lists, "array<bigint>")("text").alias("full")), "open-sets")
+    shingled = sets.select("rep", F.explode("full").alias("shingle"))
+    repeated = shingled.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    counted = shingled.join(repeated.hint("merge"), "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("c"))
+    return sets.join(counted, "rep")
+
+
+def side(rows: DataFrame, letter: str) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"{c}_{letter}" if c in ("n", "c", "bits", "full", "component") else c) for c in rows.columns])
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Those of the (a, b) pairs whose full sets are similar enough.
+
+    The texts of a pair are brought to it by sort-merge joins at every size: broadcasting
+    would send documents through the driver.
+    """
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"], "left_semi")
+    texts = stored(found.groupBy("doc_id", "text").agg(F.lit(1)).select("doc_id", "text"), "pair-texts")
+    left, right = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     shared = by_text(shared_shingles, "struct<n_a:bigint,n_b:bigint,common:bigint>")("text_a", "text_b")
-    found = both.select("a", "b", shared.alias("s"))
-    return found.where(100 * F.col("s.common") >= percent * (F.col("s.n_a") + F.col("s.n_b") - F.col("s.common"))).select("a", "b").distinct()
+    checked = both.select("a", "b", shared.alias("s"))
+    return checked.where(100 * F.col("s.common") >= percent * (F.col("s.n_a") + F.col("s.n_b") - F.col("s.common"))).select("a", "b").distinct()
 
 
 def link(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -146,7 +173,9 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     met = stored(members.join(hubs.select("key", "hub"), "key").where("rep != hub").select("key", "rep", "hub"), "bucket-members")
     star = met.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     signatures = classes.select("rep", "n", "bits")
-    linked = stored(confirmed(star, signatures, named, percent), "links")
+    hub_side, member_side = (side(signatures, x).withColumnRenamed("rep", x) for x in "ab")
+    near = stored(star.join(hub_side, "a").join(member_side, "b").where(likely(percent)).select("a", "b"), "star-pairs")
+    linked = stored(confirmed(near, named, percent), "links")
     labels = closed(linked)
 
     # Buckets whose members are still in several components.
@@ -156,13 +185,17 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     spread = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = (spread.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
             .where("parts > 1").select("key", "main"))
-    open_members = placed.join(main, "key")
-    outside = open_members.where("component != main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    others = open_members.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"))
-    across = (outside.join(others, "key").where("cx != cy")
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    more = confirmed(across, signatures, named, percent)
-    labels = closed(linked.union(more))
+    open_members = stored(placed.join(main, "key"), "open-members")
+    sets = open_sets(open_members.select("rep").distinct(), named)
+    enough = sets.join(signatures, "rep").where(100 * F.col("c") >= percent * F.col("n"))
+    open_members = stored(open_members.join(enough, "rep"), "linkable-members")
+    outside = side(open_members.where("component != main").withColumnRenamed("rep", "a").drop("main"), "a")
+    others = side(open_members.withColumnRenamed("rep", "b").drop("main"), "b")
+    needed = percent * (F.size("full_a") + F.size("full_b"))
+    possible = (100 + percent) * F.least("c_a", "c_b") >= needed
+    exact = (100 + percent) * F.size(F.array_intersect("full_a", "full_b")) >= needed
+    across = outside.join(others, "key").where((F.col("component_a") != F.col("component_b")) & possible & likely(percent) & exact)
+    labels = closed(linked.union(across.select("a", "b").distinct()))
     resolved = classes.join(labels, classes["rep"] == labels["node"], "left").select("n", "set", F.coalesce("label", "rep").alias("component_id"))
     out = sketched.join(resolved, ["n", "set"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
