@@ -203,6 +203,24 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
                       F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
+def representatives(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that are kept: one document of each group, the smallest doc_id.
+
+    Rows that repeat the kept doc_id with the same text are copies too: one of them stays.
+    """
+    linked = link(docs, percent)
+    gone = stored(linked.where(~F.col("kept")).select("doc_id").distinct(), "near-copies")
+    left = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    if not _repeats(linked):
+        return left
+    return left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(left.where("doc_id is null"))
+
+
+def _repeats(linked: DataFrame) -> bool:
+    """Whether a kept doc_id occurs more than once."""
+    return not linked.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
 SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
  s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraclake.llm import decontamination, importance, line_frequency, near_duplicates, packing, token_counts
+from fraclake.llm import (decision_lists, decontamination, importance, language, line_frequency, near_duplicates, packing, token_counts,
+                          toxicity, training_order)
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -20,6 +21,10 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -32,6 +37,18 @@ def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.report(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op7_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op8_nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.report(table(spark, sf_dir, "documents"))
 
@@ -41,7 +58,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_importance_resampling, op3_token_counts, op4_benchmark_decontamination, op5_sum_of_squares_packing,
-    op9_site_line_frequency, op10_minhash_near_dedup)}
+    op1_importance_resampling, op2_decision_lists, op3_token_counts, op4_benchmark_decontamination, op5_sum_of_squares_packing,
+    op6_training_order, op7_string_kernel_language, op8_nearest_toxic, op9_site_line_frequency, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op4_benchmark_decontamination": decontamination.SQL, "op9_site_line_frequency": line_frequency.SQL,
                            "op10_minhash_near_dedup": near_duplicates.SQL}
