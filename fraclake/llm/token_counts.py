@@ -24,24 +24,22 @@ _BLANKS = frozenset(map(chr, BLANKS))
 
 def chunked(encoder: Encoder, text: str, chunk: int, overlap: int) -> int:
     """Tokens of one text from its chunks; memory is bounded by a chunk and its overlap."""
-    total, begin, ahead = 0, 0, None
+    total, since, cut = 0, 0, chunk  # tokens before ``since`` are counted; ``cut`` is where the next chunk begins
     left = _tokens(encoder, text, 0, chunk + overlap)
-    while begin + chunk < len(text):
-        cut, width = begin + chunk, overlap
-        right = _tokens(encoder, text, cut, cut + chunk + overlap)
+    while cut < len(text):
+        width = overlap
+        right = _tokens(encoder, text, cut, cut + chunk + width)
         seam = _seam(text, left[0], right[0], cut, min(cut + width, len(text)))
         while seam is None and cut + width < len(text):
             width *= 2
-            left = _tokens(encoder, text, begin if ahead is None else ahead, cut + width)
+            left = _tokens(encoder, text, since, cut + width)
             right = _tokens(encoder, text, cut, cut + chunk + width)
             seam = _seam(text, left[0], right[0], cut, min(cut + width, len(text)))
         if seam is None:  # the left chunk has reached the end of the text
-            return total + int(left[1][left[0] >= (0 if ahead is None else ahead)].sum())
-        since = 0 if ahead is None else ahead
+            break
         total += int(left[1][(left[0] >= since) & (left[0] < seam)].sum())
-        # from now on only what follows the seam counts
-        begin, ahead, left = cut, seam, right
-    return total + int(left[1][left[0] >= (0 if ahead is None else ahead)].sum())
+        since, left, cut = seam, right, max(cut + chunk, seam)
+    return total + int(left[1][left[0] >= since].sum())
 
 
 def _tokens(encoder: Encoder, text: str, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
