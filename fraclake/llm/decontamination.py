@@ -11,7 +11,6 @@ the tasks has a fixed bound; a document's hits are then merged.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraclake.llm.frames import by_text, fresh
+from fraclake.llm.frames import by_text, fresh, stored
 from fraclake.llm.words import ALPHANUMERIC, window_rows, windows, words
 
 #: Windows in one block: about 100 bytes each, so at most some 50 MB.
@@ -104,13 +103,15 @@ def _row_byte(column: pa.Array, row: int) -> int:
 
 
 def blocks(items: DataFrame, size: int, block: int = BLOCK_WINDOWS) -> list[Index]:
-    """Indexes of at most ``block`` windows each; few unless the benchmark is huge."""
-    found = item_windows(items.select("item_id", "text"), size)
+    """Indexes of at most twice ``block`` windows each; one unless the benchmark is huge."""
+    found = stored(item_windows(items.select("item_id", "text"), size), "item-windows")
     parts = max(1, -(-found.count() // block))
-    if parts == 1:
-        return [index_of(found.collect())]
-    split = F.pmod(F.xxhash64("window"), F.lit(parts))
-    return [index_of(found.where(split == k).limit(2 * block).collect()) for k in range(parts)]
+    while True:
+        part = F.pmod(F.xxhash64("item_id", "window"), F.lit(parts))
+        largest = found.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] or 0
+        if parts == 1 or largest <= 2 * block:
+            return [index_of(found.where(part == k).collect()) for k in range(parts)]
+        parts *= 2
 
 
 def merged(reports: list[Column]) -> Column:
