@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from fraclake.functions.mixing import low_bits
 from fraclake.functions.unsigned import unsigned_key
-from fraclake.operators.sketching import max_hash_for
 from fraclake.shared import stored
 
 KEY = ("ksize", "hash")
@@ -103,30 +102,54 @@ def sorted_hashes(hashes: DataFrame) -> DataFrame:
     return hashes.orderBy("ksize", unsigned_key("hash"))
 
 
-def first_rows_distinct(bag: DataFrame, rows: int, scaled: int = 1) -> DataFrame:
+def first_rows_distinct(bag: DataFrame, rows: int) -> DataFrame:
     """Distinct hashes among the first ``rows`` rows of a bag in unsigned hash order.
 
     The cap of a trial run can be billions of rows, too many to pass through one
-    sorted partition. Instead each distinct hash gets its number of rows, and the
-    hashes are grouped into at most 2^16 equal ranges: a running total over the
-    ranges tells which lie wholly inside the cap, and only the range that straddles
-    it needs a running total over its own hashes. ``scaled`` says how far the hashes
-    reach, so that the ranges share them evenly. NULL hashes come first.
+    sorted partition. Instead each distinct hash gets its number of rows, and the hashes
+    between two bounds, at first the smallest and the largest there are, are counted in at
+    most 2^12 equal ranges; a running total tells in which range the cap lies, and its
+    bounds are the next ones, until it holds a single hash or few. So everything that is
+    windowed or collected has a fixed size, whatever the hashes. NULL hashes come first.
 
-    The counted hashes are written once, as three steps read them.
+    The counted hashes are written once, as every step reads them.
     """
-    shift = max(0, max_hash_for(scaled).bit_length() - 16)
     counted = stored(bag.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")), "counted")
-    ranged = counted.withColumn("_range", F.coalesce(F.shiftrightunsigned("hash", shift), F.lit(-1)))
-    totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_rows"))
-    before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    reached = totals.select("_range", "_rows", F.coalesce(before, F.lit(0)).alias("_before"))
-    reached = reached.where(F.col("_before") < rows)
-    placed = ranged.join(F.broadcast(reached), "_range")  # at most 2^16 + 1 rows
-    whole = placed.where(F.col("_before") + F.col("_rows") <= rows).select("hash")
-    earlier = F.sum("_n").over(Window.partitionBy("_range").orderBy("hash")
-                               .rowsBetween(Window.unboundedPreceding, -1))
-    split = (placed.where(F.col("_before") + F.col("_rows") > rows)
-             .withColumn("_earlier", F.col("_before") + F.coalesce(earlier, F.lit(0)))
-             .where(F.col("_earlier") < rows).select("hash"))
-    return whole.unionByName(split)
+    keyed = counted.withColumn("_key", unsigned_key("hash"))
+    last = _last_key(keyed, rows)
+    if last is None:
+        return counted.select("hash")
+    return keyed.where((F.col("_key") <= last) | (F.col("hash").isNull() & F.lit(rows > 0))).select("hash")
+
+
+#: Ranges of one step, and hashes that may be looked at one by one.
+_RANGES, _FEW = 1 << 12, 1 << 14
+
+
+def _last_key(keyed: DataFrame, rows: int) -> int | None:
+    """The order key of the last hash inside the cap; None if all are, below every key if none is."""
+    low, high, total, nulls = keyed.agg(F.min("_key"), F.max("_key"), F.sum("_n"), F.sum(F.when(F.col("hash").isNull(), F.col("_n")))).first()
+    if total is None or total <= rows:
+        return None
+    left = rows - (nulls or 0)
+    if left <= 0 or low is None:
+        return -(1 << 63)
+    while True:
+        width = max(1, -(-(high - low + 1) // _RANGES))
+        inside = keyed.where(F.col("_key").between(low, high))
+        # the distance can pass the largest BIGINT, so it is taken as a decimal
+        part = F.expr(f"cast((cast(_key as decimal(20,0)) - cast({low} as decimal(20,0))) div cast({width} as decimal(20,0)) as int)")
+        counts = sorted((r["part"], r["n"], r["hashes"]) for r in inside.groupBy(part.alias("part")).agg(
+            F.sum("_n").alias("n"), F.count(F.lit(1)).alias("hashes")).collect())
+        for at, n, hashes in counts:
+            if n >= left:
+                break
+            left -= n
+        low, high = low + at * width, min(high, low + (at + 1) * width - 1)
+        if low == high or hashes == 1:
+            return high
+        if hashes <= _FEW:
+            for key, n in keyed.where(F.col("_key").between(low, high)).select("_key", "_n").orderBy("_key").collect():
+                if n >= left:
+                    return key
+                left -= n

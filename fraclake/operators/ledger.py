@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fraclake.functions.paths import retry_delay
+from fraclake.shared import stored
 from fraclake.types import LEDGER
 
 IN_PROGRESS = ("DOWNLOADING", "SKETCHING")
@@ -42,17 +43,19 @@ def upsert(ledger: DataFrame, listed: DataFrame, now: float, order: str | None =
     seen = latest_listing(listed, order).select(
         *_KEY, F.col("url").alias("_url"), F.col("size").alias("_size"), F.col("mtime").alias("_mtime"),
         F.lit(True).alias("_listed"))
-    known = ledger.withColumn("_known", F.lit(True)).join(seen, _KEY, "left")
+    # one join says which rows stay, are refreshed, and are new; the new ones are numbered apart
+    joined = stored(ledger.withColumn("_known", F.lit(True)).join(seen, _KEY, "full_outer"), "ledger-listing")
     listed_now = F.col("_listed").isNotNull()
 
     def fresh(new: str, old: str) -> Column:
         return F.when(listed_now, F.col(new)).otherwise(F.col(old)).alias(old)
 
     stamp = F.lit(float(now)) if touch else F.col("updated_at")
-    kept = known.select("id", *_KEY, fresh("_url", "url"), fresh("_size", "size"), fresh("_mtime", "mtime"),
-                        "status", "tries", "last_error", "out_path",
-                        F.when(listed_now, stamp).otherwise(F.col("updated_at")).alias("updated_at"), "created_at")
-    added = _numbered(seen.join(ledger.select(*_KEY), _KEY, "left_anti"), ledger)
+    kept = joined.where("_known").select(
+        "id", *_KEY, fresh("_url", "url"), fresh("_size", "size"), fresh("_mtime", "mtime"),
+        "status", "tries", "last_error", "out_path",
+        F.when(listed_now, stamp).otherwise(F.col("updated_at")).alias("updated_at"), "created_at")
+    added = _numbered(joined.where("_known IS NULL").select(*_KEY, "_url", "_size", "_mtime"), joined.where("_known"))
     new = added.select("id", *_KEY, F.col("_url").alias("url"), F.col("_size").alias("size"),
                        F.col("_mtime").alias("mtime"), F.lit("PENDING").alias("status"),
                        F.lit(0).alias("tries"), F.lit(None).cast("string").alias("last_error"),
@@ -92,11 +95,12 @@ def requeue_stale(ledger: DataFrame, now: float, stale_seconds: float = STALE_SE
 def apply_outcomes(ledger: DataFrame, outcomes: DataFrame, keep_error: bool = False) -> DataFrame:
     """Record results: the last outcome of a row decides, every failed try counts.
 
-    Status, out_path and last_error are overwritten, also with NULL. ``keep_error``
+    Outcomes with the same time are ordered by status, DONE last, so that a success is never
+    hidden by a failure. Status, out_path and last_error are overwritten, also with NULL. ``keep_error``
     is the other convention in use: success leaves the error text alone and failure
     leaves out_path alone.
     """
-    result = F.struct("ts", "status", "out_path", "error")
+    result = F.struct("ts", (F.col("status") == "DONE").alias("won"), "status", "out_path", "error")
     last = outcomes.groupBy("id").agg(F.max(result).alias("_o"), F.count_if("inc_tries").alias("_more"))
     joined = ledger.join(last, "id", "left")
     done = F.col("_o").isNotNull()

@@ -57,11 +57,11 @@ def _entry(name: str | Column, text: Column, plain: Column | bool = False) -> Co
                     (F.lit(plain) if isinstance(plain, bool) else plain).alias("plain"))
 
 
-def write_document_archives(sketched: DataFrame, root: str) -> None:
+def write_document_archives(sketched: DataFrame, root: str, days_old: int = 0) -> None:
     members = F.array(_entry("MANIFEST.csv", F.lit("not,used\n"), True),
                       _entry("signatures/a.3.sig.gz", signature_json("h3", 3)),
                       _entry("nested/signatures/a.5.sig.gz", signature_json("h5", 5)))
-    write_files(pack_archives(sketched.select(archive_path(root).alias("path"), members.alias("members"))))
+    write_files(pack_archives(sketched.select(archive_path(root).alias("path"), members.alias("members"))), days_old)
 
 
 def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,24 +89,30 @@ def archive_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "num_hashes")
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded archives of all documents, most of them damaged in one way or another."""
-    kind = F.pmod("doc_id", F.lit(6))
+def damaged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): archives of all documents, most of them damaged in one way or another."""
+    kind = F.pmod("doc_id", F.lit(9))
     good = signature_json("h5", 5)
     text = F.when(kind == 2, F.concat(F.lit("{"), good)).when(
         kind == 5, signature_json("h5", 5, F.lit(str(1 << 64)))).otherwise(good)
     # The shapes that keep hashes as keys take the impossible value there.
     text = F.when((kind == 5) & (F.pmod("doc_id", F.lit(4)) == 3), F.lit(
         f'{{"ksize":5,"hashes":{{"{1 << 64}":1}}}}')).otherwise(text)
+    # Metadata that fits no column: a name that is a number, a scale and a bound out of range.
+    for wrong, fields in ((6, '"filename":7,"ksize":5'), (7, f'"ksize":5,"scaled":{1 << 63}'), (8, '"ksize":5,"max_hash":-1000000000000000000000')):
+        text = F.when(kind == wrong, F.lit('{' + fields + ',"mins":[1]}')).otherwise(text)
     folder = F.when(kind == 4, "other/").otherwise("signatures/")
     members = F.array(_entry(F.concat(folder, F.lit("a.3.sig.gz")), signature_json("h3", 3)),
                       _entry(F.concat(folder, F.lit("a.5.sig.gz")), text, kind == 3))
     sketched = sketched_documents(spark, sf_dir)
     packed = pack_archives(sketched.select(F.col("doc_id").cast("string").alias("path"), members.alias("members")))
     cut = F.expr("substring(content, 1, length(content) div 2)")
-    damaged = packed.withColumn("content", F.when(F.pmod(F.col("path").cast("bigint"), F.lit(6)) == 1, cut)
-                                .otherwise(F.col("content")))
-    return decode_archives(damaged, (5,))
+    return packed.withColumn("content", F.when(F.pmod(F.col("path").cast("bigint"), F.lit(9)) == 1, cut)
+                             .otherwise(F.col("content")))
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_archives(damaged_archives(spark, sf_dir), (5,))
 
 
 def archive_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,12 +150,12 @@ QUERIES = {
 SQL_NAME = "'wgs.DOC' || lpad(doc_id::VARCHAR, 8, '0') || '.1.fsa_nt.gz.sig.zip'"
 _BAG = sql_word_bag("documents", "doc_id")
 _FIVE = sql_word_bag("documents", "doc_id", (5,))
-_KINDS = f"""
+SQL_KINDS = f"""
   WITH n AS (SELECT doc_id, count(*) AS n FROM {_FIVE} GROUP BY doc_id),
-  d AS (SELECT doc_id, doc_id % 6 AS kind, coalesce(n, 0) AS n FROM documents LEFT JOIN n USING (doc_id)),
+  d AS (SELECT doc_id, doc_id % 9 AS kind, coalesce(n, 0) AS n FROM documents LEFT JOIN n USING (doc_id)),
   m AS (SELECT 'no_match' AS status, d.* FROM d WHERE kind NOT IN (1, 4) UNION ALL
         SELECT CASE kind WHEN 1 THEN 'bad_archive' WHEN 2 THEN 'bad_content' WHEN 3 THEN 'bad_read' WHEN 4 THEN 'empty'
-               WHEN 5 THEN 'bad_content' ELSE CASE WHEN n > 0 THEN 'ok' ELSE 'no_match' END END, d.* FROM d)"""
+               WHEN 5 THEN 'bad_content' WHEN 6 THEN 'bad_content' WHEN 7 THEN 'bad_content' WHEN 8 THEN 'bad_content' ELSE CASE WHEN n > 0 THEN 'ok' ELSE 'no_match' END END, d.* FROM d)"""
 
 ORACLES = {
     "archive_roundtrip": f"""
@@ -160,8 +166,8 @@ ORACLES = {
       SELECT {SQL_NAME} AS source_file, ksize, {WORD_SCALED}::BIGINT AS scaled,
              CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS num_hashes
       FROM {_BAG} GROUP BY doc_id, ksize""",
-    "archive_status": f"{_KINDS} SELECT status, count(*) AS n FROM m GROUP BY status",
-    "archive_counters": f"""{_KINDS}
+    "archive_status": f"{SQL_KINDS} SELECT status, count(*) AS n FROM m GROUP BY status",
+    "archive_counters": f"""{SQL_KINDS}
       SELECT count(DISTINCT doc_id) AS archives,
              count(*) FILTER (status IN ('ok', 'no_match', 'bad_content')) AS members_read,
              count(*) FILTER (status = 'ok') AS members_ok,
@@ -169,9 +175,9 @@ ORACLES = {
     "archive_run_stats": f"""
       WITH n AS (SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS n
                  FROM {_FIVE} GROUP BY doc_id)
-      SELECT count(*) AS total_files, count(*) FILTER (doc_id % 6 <> 1) AS processed_files,
-             count(*) FILTER (doc_id % 6 = 1) AS failed_files,
-             coalesce(sum(n) FILTER (doc_id % 6 = 0), 0)::BIGINT AS total_hashes
+      SELECT count(*) AS total_files, count(*) FILTER (doc_id % 9 <> 1) AS processed_files,
+             count(*) FILTER (doc_id % 9 = 1) AS failed_files,
+             coalesce(sum(n) FILTER (doc_id % 9 = 0), 0)::BIGINT AS total_hashes
       FROM documents LEFT JOIN n USING (doc_id)""",
     "signature_json_decode": f"""
       WITH b AS (SELECT * FROM {_FIVE} WHERE doc_id % 5 <> 4 OR doc_id % 4 = 3),

@@ -71,13 +71,13 @@ def set_compare_external(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def diff_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trial run: cap each side by rows in hash order before removing repeats."""
-    a = sets.first_rows_distinct(_documents(spark, sf_dir, (5,)), ROW_CAP, WORD_SCALED)
-    b = sets.first_rows_distinct(_benchmark(spark, sf_dir, (5,)), ROW_CAP, WORD_SCALED)
+    a = sets.first_rows_distinct(_documents(spark, sf_dir, (5,)), ROW_CAP)
+    b = sets.first_rows_distinct(_benchmark(spark, sf_dir, (5,)), ROW_CAP)
     return sets.difference_counts(sets.membership(a, b, ["hash"]))
 
 
 def limited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sets.first_rows_distinct(sold_keys(spark, sf_dir), ROW_CAP, KEY_SCALED)
+    return sets.first_rows_distinct(sold_keys(spark, sf_dir), ROW_CAP)
 
 
 def unique_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:

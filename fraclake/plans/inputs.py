@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def wide(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of a table, ready for heavy per-row work on every core."""
-    return widen(table(spark, sf_dir, name).select(*columns), columns[0])
+    return widen(table(spark, sf_dir, name).select(*columns))
 
 
 def hex_bound(scaled: int) -> str:

@@ -2,39 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraclake.operators import hash_sets as sets
 from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, known_keys, sold_keys
 from fraclake.plans.storage import CREATED_AT, stored_set
-from fraclake.shared import shared_folder
+from fraclake.shared import fresh_database
 from fraclake.sinks.tables import DATASET_TABLE, KSIZE_TABLE, ingest
 
 
-def fresh_schema(spark: SparkSession) -> str:
-    """A new database kept in the shared folder."""
-    name = f"fraclake_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark, 'warehouse')}'")
-    return name
-
-
 def load_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = fresh_schema(spark)
+    schema = fresh_database(spark)
     ingest(spark, stored_set(spark, sold_keys(spark, sf_dir)), schema, "single", ksizes=[15, 33], analyze=True)
     return spark.table(f"{schema}.hashes").select("ksize", "hash")
 
 
 def load_per_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = fresh_schema(spark)
+    schema = fresh_database(spark)
     ingest(spark, stored_set(spark, sold_keys(spark, sf_dir)), schema, "per-ksize", analyze=True)
     return spark.table(f"{schema}.hashes_31").select("hash")
 
 
 def load_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the metadata tables say after one load of either kind; folders left out."""
-    schema = fresh_schema(spark)
+    schema = fresh_database(spark)
     root = stored_set(spark, sold_keys(spark, sf_dir))
     ingest(spark, root, schema, "per-ksize")
     ingest(spark, root, schema, "single")
@@ -47,13 +38,13 @@ def load_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = ingest(spark, stored_set(spark, sold_keys(spark, sf_dir)), fresh_schema(spark), "single")
+    summary = ingest(spark, stored_set(spark, sold_keys(spark, sf_dir)), fresh_database(spark), "single")
     return summary.select("mode", "table", "ksizes", "rows_ingested")
 
 
 def bucketed_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Difference of two tables stored bucketed by hash: the join itself shuffles nothing."""
-    left, right = fresh_schema(spark), fresh_schema(spark)
+    left, right = fresh_database(spark), fresh_database(spark)
     for schema, bag in ((left, sold_keys(spark, sf_dir)), (right, known_keys(spark, sf_dir))):
         ingest(spark, stored_set(spark, bag), schema, "per-ksize", ksizes=[15], hash_buckets=8)
     return sets.difference(spark.table(f"{right}.hashes_15"), spark.table(f"{left}.hashes_15"), ["hash"])

@@ -8,6 +8,7 @@ from fraclake.operators import hash_sets as sets
 from fraclake.operators.counting import row_count, sized_counts, unique_per_k
 from fraclake.plans.comparisons import _benchmark, _documents
 from fraclake.operators.sketching import word_hashes
+from fraclake.operators.stored_comparison import compare_stored
 from fraclake.plans.inputs import (SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, WORD_SCALED, known_keys, sold_keys,
                                    sql_word_bag, wide)
 from fraclake.shared import shared_folder
@@ -36,7 +37,7 @@ def stored_set(spark: SparkSession, hashes: DataFrame, bits: int = BITS,
 
 def parquet_set_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = stored_set(spark, sold_keys(spark, sf_dir))
-    wanted = discover_ksizes(read_unique_set(spark, root, hash_type=OWN_TYPE), (15, 31))
+    wanted = discover_ksizes(spark, root, (15, 31))
     return read_unique_set(spark, root, wanted, OWN_TYPE).select("ksize", "part", "hash")
 
 
@@ -117,6 +118,19 @@ def diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(report.schema).json(f"{folder}/json")
 
 
+def stored_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored sets with manifests compared as they are, the report written and both copies read."""
+    lhs, rhs = (stored_set(spark, bag(spark, sf_dir)) for bag in (sold_keys, known_keys))
+    report = compare_stored(spark, lhs, rhs, (15, 31), shared_folder(spark, "missing"), BITS)
+    folder = shared_folder(spark, "report")
+    write_report(report, folder)
+    facts = spark.read.schema(report.schema).json(f"{folder}/json")
+    line = spark.read.text(f"{folder}/text").where(F.col("value").startswith("total: ")).select(F.split("value", ": ")[1].cast("bigint").alias("text_total"))
+    one = facts.join(line)  # one row each
+    return one.select("rhs_not_in_lhs", "total", "text_total", "lhs_partitions", "rhs_partitions",
+                      (F.col("lhs_files") >= F.col("lhs_partitions")).alias("lhs_files_fit"), (F.col("rhs_bytes") > 0).alias("rhs_has_bytes"))
+
+
 def manifest_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """May these pairs of stored sets be compared partition by partition?"""
     low = stored_set(spark, sold_keys(spark, sf_dir))
@@ -160,6 +174,7 @@ QUERIES = {
     "sketch_union_batches": sketch_union_batches,
     "written_difference": written_difference,
     "diff_report": diff_report,
+    "stored_diff_report": stored_diff_report,
     "manifest_guard": manifest_guard,
     "bin_vectors": bin_vectors,
     "bin_roundtrip_counts": bin_roundtrip_counts,
@@ -199,6 +214,13 @@ ORACLES = {
              (SELECT count(*) FROM b ANTI JOIN a USING (hash)) AS b_not_a,
              (SELECT count(DISTINCT hash & 31) FROM a) AS a_buckets,
              (SELECT count(DISTINCT hash & 31) FROM b) AS b_buckets""",
+    "stored_diff_report": f"""
+      WITH l AS ({_SOLD}), r AS (SELECT DISTINCT ksize, hash FROM {SQL_KNOWN_KEYS}),
+      lost AS (SELECT ksize, count(l.hash IS NULL OR NULL) AS n FROM r LEFT JOIN l USING (ksize, hash) WHERE ksize IN (15, 31) GROUP BY ksize)
+      SELECT '{{' || string_agg('"' || ksize || '":' || n, ',' ORDER BY ksize) || '}}' AS rhs_not_in_lhs,
+             sum(n)::BIGINT AS total, sum(n)::BIGINT AS text_total,
+             (SELECT count(DISTINCT hash & 31) FROM l) AS lhs_partitions, (SELECT count(DISTINCT hash & 31) FROM r) AS rhs_partitions,
+             true AS lhs_files_fit, true AS rhs_has_bytes FROM lost""",
     "manifest_guard": f"""
       WITH n AS (SELECT count(*) AS lhs_distinct FROM ({_SOLD}))
       SELECT pair, lhs_distinct, compatible, 5::INTEGER AS lhs_bits, rhs_bits::INTEGER AS rhs_bits, 'low' AS lhs_mode,

@@ -1,4 +1,5 @@
-"""Where intermediate tables go, and how narrow inputs are widened."""
+"""Where intermediate tables go and how they are removed, folders on any file system, and
+how narrow inputs are widened."""
 
 from __future__ import annotations
 
@@ -8,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: list[str] = []
+_folders: list[str] = []
+_databases: list[str] = []
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -24,7 +27,58 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="fraclake-"))
         root = _local_root[0]
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _folders.append(f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _folders[-1]
+
+
+def fresh_database(spark: SparkSession) -> str:
+    """A new database kept in a shared folder."""
+    _databases.append(f"fraclake_{uuid.uuid4().hex}")
+    spark.sql(f"CREATE DATABASE {_databases[-1]} LOCATION '{shared_folder(spark, 'warehouse')}'")
+    return _databases[-1]
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Drop the databases and remove the folders that this process has made so far.
+
+    Results are lazy, so call it when they have been read or written elsewhere.
+    """
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    while _folders:
+        store, path = _hadoop(spark, _folders.pop())
+        store.delete(path, True)
+
+
+def _hadoop(spark: SparkSession, uri: str) -> tuple:
+    """The file system of a path as Spark itself resolves it, and the path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, uri: str) -> bool:
+    store, path = _hadoop(spark, uri)
+    return store.exists(path)
+
+
+def entries(spark: SparkSession, uri: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    store, path = _hadoop(spark, uri)
+    return sorted(s.getPath().getName() for s in store.listStatus(path)) if store.exists(path) else []
+
+
+def small_text(spark: SparkSession, uri: str, limit: int = 1 << 24) -> str | None:
+    """The text of one small file, whatever its name; None if there is none or it is no such text."""
+    store, path = _hadoop(spark, uri)
+    if not store.exists(path) or not 0 <= store.getFileStatus(path).getLen() <= limit:
+        return None
+    stream = store.open(path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    except UnicodeDecodeError:
+        return None
+    finally:
+        stream.close()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -35,14 +89,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def widen(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a file scan over all cores when it has fewer splits than cores.
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a file scan evenly over all cores when it has fewer splits than cores.
 
     Large inputs already have far more splits than cores and are left alone, so
-    the extra shuffle is only ever paid on small or single-file inputs. Pass a
-    plain scan: asking a plan with shuffles for its partitions would run them.
+    the extra shuffle is only ever paid on small or single-file inputs; it deals rows
+    in turn, so no key is heavy. Pass a plain scan: asking a plan with shuffles for its
+    partitions would run them.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= 2 * cores:
         return scan
-    return scan.repartition(2 * cores, *keys)
+    return scan.repartition(2 * cores)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import os
 import zipfile
 from collections.abc import Iterator
 
@@ -44,6 +45,19 @@ def zip_of(members: list[dict]) -> bytes:
     return out.getvalue()
 
 
+#: Names that Spark uses for a store, and the one pyarrow knows.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store and the path of anything that Spark would take as a path, relative ones too."""
+    scheme, mark, rest = uri.partition("://")
+    if mark:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    local = uri.removeprefix("file:")
+    return fs.LocalFileSystem(), os.path.abspath(local)
+
+
 def put_file(store: fs.FileSystem, path: str, content: bytes, tag: str) -> None:
     """Write under another name, then rename: a task that is lost leaves no half file,
     and one that runs twice leaves the same file."""
@@ -54,15 +68,22 @@ def put_file(store: fs.FileSystem, path: str, content: bytes, tag: str) -> None:
     store.move(partial, path)
 
 
-def write_files(files: DataFrame) -> None:
-    """Write (path, content) rows, each to its own file on the shared file system."""
+def write_files(files: DataFrame, days_old: int = 0) -> None:
+    """Write (path, content) rows, each to its own file on the shared file system.
+
+    On a local file system ``days_old`` sets the files' times back, as copies that keep
+    times would have them.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tag = str(TaskContext.get().taskAttemptId())
         for batch in batches:
             for uri, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                store, path = fs.FileSystem.from_uri(uri)
+                store, path = file_system(uri)
                 put_file(store, path, content.as_py(), tag)
+                if days_old and isinstance(store, fs.LocalFileSystem):
+                    then = os.stat(path).st_mtime - 86400 * days_old
+                    os.utime(path, (then, then))
             yield batch.select(["path"])
 
     files.select("path", "content").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
@@ -81,7 +102,7 @@ def write_vectors(hashes: DataFrame, root: str, bits: int = 8, mode: str = "low"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = file_system(root)
         name, tag = f"w{context.partitionId()}.bin", f"{context.taskAttemptId()}.part"
         key, stream, path = None, None, None
         for batch in batches:

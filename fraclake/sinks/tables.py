@@ -34,9 +34,10 @@ def load_per_k(spark: SparkSession, root: str, schema: str, ksizes: Iterable[int
     aggregations on the hash then need no shuffle. Worth it for sets compared often.
     """
     tables = {}
+    whole = read_unique_set(spark, root)  # listed once; each k prunes its folder
     for k in ksizes:
         name = f"{schema}.hashes_{k}"
-        rows = read_unique_set(spark, root, [k]).select("hash")
+        rows = whole.where(F.col("ksize") == k).select("hash")
         if hash_buckets:
             writer = rows.repartition(hash_buckets, "hash").write.bucketBy(hash_buckets, "hash").sortBy("hash")
         else:
@@ -79,7 +80,7 @@ def ingest(spark: SparkSession, root: str, schema: str = "hashes", mode: str = "
     """
     if mode not in ("single", "per-ksize"):
         raise ValueError("mode must be single or per-ksize")
-    wanted = list(ksizes) if ksizes else discover_ksizes(read_unique_set(spark, root))
+    wanted = list(ksizes) if ksizes else discover_ksizes(spark, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     record_dataset(spark, schema, root, wanted)
     if mode == "single":

@@ -15,10 +15,13 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fraclake.functions.paths import ARCHIVE_SUFFIX, MEMBER_FOLDER, MEMBER_SUFFIX
-from fraclake.types import ARCHIVE_ROWS, BINARY_FILE
+from fraclake.shared import entries
+from fraclake.sinks.archives import file_system
+from fraclake.types import ARCHIVE_ROWS
 
 _SLICE = 1 << 16
 _ROWS_PER_BATCH = 256
@@ -40,13 +43,27 @@ def find_archives(spark: SparkSession, root: str, recursive: bool = True) -> Dat
     return reader.load(f"{root.rstrip('/')}/*/*{ARCHIVE_SUFFIX}")
 
 
-def stream_archives(spark: SparkSession, root: str, per_trigger: int | None = None) -> DataFrame:
-    """The same files as an unbounded source: each archive is delivered once."""
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
-              .option("recursiveFileLookup", True).option("pathGlobFilter", "*" + ARCHIVE_SUFFIX))
-    if per_trigger:
-        reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.load(root)
+def list_archives(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length) of all archives under ``root``.
+
+    The folders at the top are listed once; each of them is walked by a task, so the list
+    of files is a table and never held by the driver.
+    """
+    base = root.rstrip("/")
+    names = entries(spark, base)
+    tops = spark.createDataFrame([(f"{base}/{n}",) for n in names], "path string").repartition(max(1, min(len(names), 1024)))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column("path").to_pylist():
+                store, path = file_system(uri)
+                top = store.get_file_info(path)
+                found = [top] if top.is_file else store.get_file_info(fs.FileSelector(path, recursive=True))
+                files = [f for f in found if f.is_file and f.path.endswith(ARCHIVE_SUFFIX)]
+                yield pa.record_batch({"path": pa.array([uri + f.path.removeprefix(path) for f in files], pa.string()),
+                                       "length": pa.array([f.size for f in files], pa.int64())})
+
+    return tops.mapInArrow(walk, "path string, length bigint")
 
 
 def decode_archives(files: DataFrame, ksizes: Collection[int] | None = None,
@@ -83,16 +100,48 @@ def decode_archives(files: DataFrame, ksizes: Collection[int] | None = None,
     return files.select("path", "content").mapInArrow(unpack, ARCHIVE_ROWS)
 
 
+def decode_archive_files(paths: DataFrame, ksizes: Collection[int] | None = None, root_only: bool = False) -> DataFrame:
+    """The same for (path,) rows: each file is opened by its task, which seeks to the members it
+    wants. So a file of any size is read, member by member, and no file passes through Spark."""
+    wanted = None if ksizes is None else frozenset(ksizes)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for uri in batch.column("path").to_pylist():
+                for row in opened_rows(uri, wanted, root_only):
+                    rows.append(row)
+                    if len(rows) >= _ROWS_PER_BATCH:
+                        yield _record_batch(rows)
+                        rows = []
+        if rows:
+            yield _record_batch(rows)
+
+    return paths.select("path").mapInArrow(unpack, ARCHIVE_ROWS)
+
+
+def opened_rows(uri: str, wanted: frozenset | None, root_only: bool) -> Iterator[tuple]:
+    """Rows of one archive that is opened by its path."""
+    try:
+        store, path = file_system(uri)
+        file = store.open_input_file(path)
+    except Exception as problem:
+        yield (uri, None, "bad_archive", str(problem), True, False, False) + (None,) * 6
+        return
+    with file:
+        yield from archive_rows(uri, file, wanted, root_only)
+
+
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
 
-def archive_rows(path: str, content: bytes, wanted: frozenset | None, root_only: bool) -> Iterator[tuple]:
-    """Rows of one archive."""
+def archive_rows(path: str, content: bytes | pa.NativeFile, wanted: frozenset | None, root_only: bool) -> Iterator[tuple]:
+    """Rows of one archive, given as bytes or as an open file."""
     first = True
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as archive:
             for name in archive.namelist():
                 inside = name.startswith(MEMBER_FOLDER) or (not root_only and "/" + MEMBER_FOLDER in name)
                 if not inside or not name.endswith(MEMBER_SUFFIX):
@@ -109,7 +158,7 @@ def archive_rows(path: str, content: bytes, wanted: frozenset | None, root_only:
                                len(bits), bits[lo:lo + _SLICE])
                         first = head = False
     except Exception as problem:  # an unreadable archive must not fail the task
-        yield (path, None, "bad_archive", str(problem)[:500], first, False, False) + (None,) * 6
+        yield (path, None, "bad_archive", str(problem), first, False, False) + (None,) * 6
         return
     if first:
         yield (path, None, "empty", None, True, False, False) + (None,) * 6
@@ -120,11 +169,11 @@ def _member(archive: zipfile.ZipFile, name: str, wanted: frozenset | None) -> tu
     try:
         raw = gzip.decompress(archive.read(name))
     except Exception as problem:
-        return "bad_read", str(problem)[:500], []
+        return "bad_read", str(problem), []
     try:
         sketches = list(_sketches(json.loads(raw), wanted))
     except Exception as problem:
-        return "bad_content", str(problem)[:500], []
+        return "bad_content", str(problem), []
     return ("ok" if sketches else "no_match"), None, sketches
 
 
@@ -147,9 +196,20 @@ def _sketches(document: object, wanted: frozenset | None) -> Iterator[tuple]:
             if isinstance(values, dict):
                 values = [int(v) for v in values]
             bits = np.asarray(values, dtype=np.uint64).view(np.int64)
-            scaled, top = signature.get("scaled"), signature.get("max_hash")
-            yield (record.get("filename"), int(k), None if scaled is None else int(scaled),
-                   Decimal(min(int(top), 1 << 64)) if top else None, bits)
+            scaled, top, name = signature.get("scaled"), signature.get("max_hash"), record.get("filename")
+            if name is not None and not isinstance(name, str):
+                raise ValueError(f"filename is no text: {name!r}")
+            top = _whole(top, "max_hash", 0, None) if top else None
+            yield (name, _whole(k, "ksize", 1, (1 << 31) - 1), None if scaled is None else _whole(scaled, "scaled", 0, (1 << 63) - 1),
+                   None if top is None else Decimal(min(top, 1 << 64)), bits)
+
+
+def _whole(value: object, name: str, least: int, most: int | None) -> int:
+    """A number from the metadata, checked to fit its column."""
+    number = int(value)
+    if number < least or most is not None and number > most:
+        raise ValueError(f"{name} out of range: {value!r}")
+    return number
 
 
 def resolved_scale() -> Column:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyarrow import fs
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fraclake.functions.unsigned import bits_from_decimal
+from fraclake.shared import entries, exists, small_text
 from fraclake.types import MANIFEST
 
 MANIFEST_FOLDER = "_manifest"
@@ -56,13 +55,13 @@ def _as_bits(df: DataFrame) -> DataFrame:
     return df.withColumn("hash", bits_from_decimal("hash"))
 
 
-def discover_ksizes(stored: DataFrame, requested: Collection[int] | None = None) -> list[int]:
+def discover_ksizes(spark: SparkSession, root: str, requested: Collection[int] | None = None) -> list[int]:
     """k-sizes present in a stored set, cut to those requested; none is an error.
 
-    Only the partition column is read, and there are a handful of k-sizes.
+    They are the names of the folders at the top of the set: no file is opened.
     """
-    present = stored if requested is None else stored.where(F.col("ksize").isin(*requested))
-    found = sorted(r["ksize"] for r in present.select("ksize").distinct().toLocalIterator())
+    found = sorted(int(n.removeprefix("ksize=")) for n in entries(spark, root) if n.startswith("ksize="))
+    found = [k for k in found if requested is None or k in requested]
     if not found:
         raise ValueError("the stored set has none of the k-sizes asked for")
     return found
@@ -72,25 +71,18 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The manifest as at most one row; none when missing or unreadable.
 
     Sets written elsewhere keep it in a file whose name Spark treats as hidden; that
-    one small file is opened directly.
+    one small file is opened directly, on whatever file system the set is.
     """
-    try:
-        rows = spark.read.schema(MANIFEST).json(f"{root.rstrip('/')}/{MANIFEST_FOLDER}")
-    except AnalysisException:
-        text = spark.createDataFrame(_single_file(f"{root.rstrip('/')}/{SINGLE_MANIFEST}"), "value string")
-        rows = text.select(F.from_json("value", MANIFEST).alias("m")).select("m.*")
+    folder = f"{root.rstrip('/')}/{MANIFEST_FOLDER}"
+    if exists(spark, folder):
+        rows = spark.read.schema(MANIFEST).json(folder)
+    else:
+        text = small_text(spark, f"{root.rstrip('/')}/{SINGLE_MANIFEST}")
+        rows = spark.createDataFrame([] if text is None else [(text,)], "value string")
+        rows = rows.select(F.from_json("value", MANIFEST).alias("m")).select("m.*")
     return rows.where(F.col("format").isNotNull())
 
 
-def _single_file(uri: str) -> list[tuple[str]]:
-    try:
-        store, path = fs.FileSystem.from_uri(uri)
-        with store.open_input_stream(path) as stream:
-            return [(stream.read().decode(),)]
-    except (OSError, UnicodeDecodeError):
-        return []
-
-
 def manifests_agree(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: compatible BOOLEAN plus what each side says. A missing manifest never conflicts."""
     sides = left.select(F.lit("l").alias("_side"), "partition_bits", "partition_mode").unionByName(

@@ -8,31 +8,78 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fraclake.operators.hash_sets import difference, unique_hashes
-from fraclake.operators.ledger import upsert
+from fraclake.operators.ledger import apply_outcomes, upsert
 from fraclake.operators.listing import listing_candidates
-from fraclake.sources.archives import decode_archives, flat_hashes, stream_archives
+from fraclake.shared import entries, exists, stored
+from fraclake.sources.archives import decode_archive_files, flat_hashes, list_archives
 from fraclake.types import LEDGER
 
+FLAT = "hash bigint, scaled bigint, source_file string, sketch_name string, run int, ksize int"
+INGESTED = "path string, length bigint, member string, status string, error string, run int"
 
-def ingest_archives(spark: SparkSession, root: str, out: str, checkpoint: str,
-                    ksizes: Collection[int] | None = None, per_trigger: int | None = None) -> StreamingQuery:
-    """Decode archives that appeared since the last run into a flat table split by k."""
-    flat = flat_hashes(decode_archives(stream_archives(spark, root, per_trigger), ksizes))
-    return (flat.writeStream.format("parquet").partitionBy("ksize").option("path", out)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+def ingest_archives(spark: SparkSession, root: str, out: str, log: str, ksizes: Collection[int] | None = None) -> int:
+    """Decode the archives that no earlier run has ingested; returns the number of this run.
+
+    The worklist is the listing of archives less the paths in the log, so neither a file's
+    age nor the order of arrival matters. A run writes its hashes under ``out`` and then what
+    became of each archive and member under ``log``; the log commits the run. A run that
+    broke off is not in the log: the next one has the same number and writes it anew.
+    """
+    run = 1 + max(committed(spark, log, "run"), default=0)
+    listed = list_archives(spark, root)
+    work = stored(listed.join(ingested(spark, log).select("path").distinct(), "path", "left_anti"), "worklist")
+    # the same rows give hashes and outcomes: they are decoded once
+    spread = work.repartition(spark.sparkContext.defaultParallelism * 4)
+    rows = stored(decode_archive_files(spread, ksizes), "decoded")
+    flat_hashes(rows).write.mode("overwrite").partitionBy("ksize").parquet(f"{out}/run={run}")
+    heads = rows.where(F.col("member_head") | F.col("member").isNull()).select("path", "member", "status", "error")
+    work.join(heads, "path").select("path", "length", "member", "status", "error").write.mode("overwrite").parquet(f"{log}/run={run}")
+    return run
+
+
+def committed(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Numbers of the folders ``name``=N that were written to the end."""
+    found = [int(n.split("=")[1]) for n in entries(spark, root) if n.startswith(f"{name}=")]
+    return [n for n in found if exists(spark, f"{root}/{name}={n}/_SUCCESS")]
+
+
+def ingested(spark: SparkSession, log: str) -> DataFrame:
+    """What became of each archive and member, bad ones with their whole errors."""
+    runs = committed(spark, log, "run")
+    rows = spark.read.schema(INGESTED).option("basePath", log).parquet(*[f"{log}/run={r}" for r in runs]) if runs else None
+    return spark.createDataFrame([], INGESTED) if rows is None else rows
+
+
+def ingested_hashes(spark: SparkSession, out: str, log: str) -> DataFrame:
+    """The flat table of all committed runs."""
+    runs = committed(spark, log, "run")
+    if not runs:
+        return spark.createDataFrame([], FLAT)
+    return spark.read.schema(FLAT).parquet(out).where(F.col("run").isin(*runs))
 
 
 def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A stored table, or no rows when it does not exist yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    """A stored table, or no rows when it does not exist yet; other faults are faults."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def missing_hashes(hashes: DataFrame, stored_set: DataFrame, hint: str | None = None) -> DataFrame:
+    """Distinct (ksize, hash) rows that the stored set lacks; a NULL hash is one value per k.
+
+    NULL rows are few after deduplication and are compared by k apart from the others, so
+    that the join on the hash stays an equality that fits stored buckets.
+    """
+    new = unique_hashes(hashes)
+    named = stored_set.hint(hint) if hint else stored_set
+    plain = difference(new.where("hash is not null"), named)
+    known = stored_set.where("hash is null").select(F.col("ksize").alias("_k")).distinct()
+    nulls = new.where("hash is null").join(known, F.col("ksize").eqNullSafe(F.col("_k")), "left_anti")
+    return plain.unionByName(nulls)
 
 
 def grow_unique_set(hashes: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -40,12 +87,13 @@ def grow_unique_set(hashes: DataFrame, out: str, checkpoint: str) -> StreamingQu
 
     Each micro-batch appends what the set does not hold yet. A batch that is replayed
     finds its own rows there and appends nothing; deduplication state in the stream
-    would instead have to hold every hash for ever.
+    would instead have to hold every hash for ever. The stored side is shuffled every
+    time: for a set that grows large use ``grow_unique_table``.
     """
 
     def add(batch: DataFrame, _batch_id: int) -> None:
-        stored = read_stored(batch.sparkSession, out, "hash bigint, ksize int")
-        new = difference(unique_hashes(batch), stored)
+        present = read_stored(batch.sparkSession, out, "hash bigint, ksize int")
+        new = missing_hashes(batch, present)
         new.hint("rebalance", "ksize").write.mode("append").partitionBy("ksize").parquet(out)
 
     return (hashes.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
@@ -57,38 +105,100 @@ def grow_unique_table(hashes: DataFrame, table: str, checkpoint: str, buckets: i
 
     The stored side of the difference is read in place, bucket by bucket: only the
     hashes of the micro-batch are shuffled, however large the table has become. Their
-    shuffle follows the buckets, so each batch adds one file per bucket.
+    shuffle follows the buckets, so each batch adds one file per bucket; ``compact_table``
+    makes them one again.
     """
 
     def add(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        new = unique_hashes(batch)
-        if spark.catalog.tableExists(table):
-            new = difference(new, spark.table(table).hint("merge"))
-        (new.repartition(buckets, "ksize", "hash").write.mode("append")
-         .bucketBy(buckets, "ksize", "hash").sortBy("ksize", "hash").saveAsTable(table))
+        present = spark.table(table) if spark.catalog.tableExists(table) else spark.createDataFrame([], "ksize int, hash bigint")
+        _append_buckets(missing_hashes(batch, present, "merge"), table, buckets)
 
     return (hashes.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def _append_buckets(rows: DataFrame, table: str, buckets: int) -> None:
+    (rows.repartition(buckets, "ksize", "hash").write.mode("append")
+     .bucketBy(buckets, "ksize", "hash").sortBy("ksize", "hash").saveAsTable(table))
+
+
+def compact_table(spark: SparkSession, table: str, buckets: int) -> None:
+    """Rewrite a bucketed table with one file per bucket. Not while a stream appends to it."""
+    fresh = f"{table}_compacted"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    _append_buckets(spark.table(table), fresh, buckets)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
+
 def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/version={version:08d}"
+    return f"{root.rstrip('/')}/version={version}"
+
+
+def newest_version(spark: SparkSession, root: str) -> int:
+    """The last version of the ledger that was written to the end; 0 before the first."""
+    return max(committed(spark, root.rstrip("/"), "version"), default=0)
 
 
-def feed_ledger(pages: DataFrame, base_url: str, root: str, checkpoint: str,
-                clock: Callable[[int], float]) -> StreamingQuery:
+def read_ledger_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The newest version of the stored ledger, or the one named."""
+    version = newest_version(spark, root) if version is None else version
+    return spark.read.schema(LEDGER).parquet(version_path(root, version)) if version else spark.createDataFrame([], LEDGER)
+
+
+def publish(spark: SparkSession, root: str, source: str, change: Callable[[DataFrame], DataFrame], keep: int | None = None) -> int:
+    """Write the next version of the ledger, and return its number.
+
+    A version is never overwritten once it is complete. ``source`` names what is applied: a
+    source that has been applied before, in any order with others, changes nothing, so
+    replays are harmless. ``keep`` removes all but the last versions.
+    """
+    mark = f"{root.rstrip('/')}/applied"
+    newest = newest_version(spark, root)
+    done = {n.split("@")[0]: int(n.split("@")[1]) for n in entries(spark, mark)}
+    if done.get(source, newest + 1) <= newest:
+        return newest
+    number = newest + 1
+    # the mark comes first, with the version that makes it count
+    for n in entries(spark, mark):
+        if n.split("@")[1] == str(number):
+            _delete(spark, f"{mark}/{n}")
+    _make(spark, f"{mark}/{source}@{number}")
+    change(read_ledger_version(spark, root, newest)).write.mode("overwrite").parquet(version_path(root, number))
+    for old in committed(spark, root.rstrip("/"), "version") if keep else []:
+        if old <= number - keep:
+            _delete(spark, version_path(root, old))
+    return number
+
+
+def _delete(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _make(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def feed_ledger(pages: DataFrame, base_url: str, root: str, checkpoint: str, clock: Callable[[int], float],
+                name: str = "listing") -> StreamingQuery:
     """Upsert the files of new listing pages into the ledger.
 
-    Batch n reads version n and writes version n + 1, so nothing is overwritten while
-    it is read, and a replayed batch writes the same version again. ``clock`` gives
-    the time stamp of a batch.
+    A batch is applied to the newest version, which outcomes may have written since the last
+    one, and gives a new version. ``clock`` gives the time stamp of a batch. ``name`` stands
+    for the stream: a stream that starts over with a new checkpoint takes another name.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        before = read_stored(batch.sparkSession, version_path(root, batch_id), LEDGER)
-        after = upsert(before, listing_candidates(batch, base_url, follow_root=False), clock(batch_id))
-        after.write.mode("overwrite").parquet(version_path(root, batch_id + 1))
+        listed = listing_candidates(batch, base_url, follow_root=False)
+        publish(batch.sparkSession, root, f"{name}-{batch_id}", lambda before: upsert(before, listed, clock(batch_id)))
 
     return (pages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def record_outcomes(spark: SparkSession, root: str, outcomes: DataFrame, name: str, keep_error: bool = False) -> int:
+    """Apply results of finished work to the newest version; ``name`` stands for these results."""
+    return publish(spark, root, name, lambda before: apply_outcomes(before, outcomes, keep_error))

@@ -73,11 +73,3 @@ OUTCOMES = T.StructType([
     T.StructField("inc_tries", T.BooleanType()),
     T.StructField("ts", T.DoubleType()),
 ])
-
-#: What a `binaryFile` stream needs to be told.
-BINARY_FILE = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-])

@@ -1,12 +1,15 @@
 """Ledger transitions, listings and streams against plain Python models."""
 
+import os
+
 import pytest
 
 from fraclake.operators import ledger as work
 from fraclake.operators.hash_sets import difference
 from fraclake.operators.listing import classified_links, listing_candidates, page_links
 from fraclake.sources.listings import read_pages
-from fraclake.streaming.ingest import (feed_ledger, grow_unique_set, grow_unique_table, ingest_archives, version_path)
+from fraclake.streaming.ingest import (compact_table, feed_ledger, grow_unique_set, grow_unique_table, ingest_archives, ingested,
+                                       ingested_hashes, newest_version, publish, read_ledger_version, record_outcomes)
 from fraclake.types import LEDGER, OUTCOMES
 
 NOW = 10_000.0
@@ -126,17 +129,50 @@ def test_saved_pages(spark, tmp_path):
 
 
 def test_stream_ledger_replays_safely(spark, tmp_path):
-    def arrive(name, content):
-        spark.createDataFrame(content, "url string, html string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "out")
+
+    def arrive(checkpoint, content, name="listing"):
+        if content:
+            spark.createDataFrame(content, "url string, html string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         pages = spark.readStream.schema("url string, html string").parquet(str(tmp_path / "in"))
-        feed_ledger(pages, "http://h/w", str(tmp_path / "out"), str(tmp_path / name), lambda n: 100.0 + n).awaitTermination()
+        feed_ledger(pages, "http://h/w", root, str(tmp_path / checkpoint), lambda n: 100.0 + n, name).awaitTermination()
 
+    now = lambda: sorted(map(tuple, read_ledger_version(spark, root).collect()))
     arrive("cp", [(f"http://h/w/{p}", PAGES[p]) for p in ("", "AAS/")])
+    done = spark.createDataFrame([(1, "DONE", "/x", None, False, 100.5)], OUTCOMES)
+    assert record_outcomes(spark, root, done, "w1") == 2 and record_outcomes(spark, root, done, "w1") == 2
     arrive("cp", [("http://h/w/Z/", PAGES["Z/"])])
-    final = lambda: sorted(map(tuple, spark.read.parquet(version_path(str(tmp_path / "out"), 2)).collect()))
-    once = final()
+    once = now()
     assert [r[:3] for r in once] == [(1, "AAS", "wgs.AASD.1.fsa_nt.gz"), (2, "Z", "wgs.Z1.fsa_nt.gz")]
-    assert [r[-1] for r in once] == [100.0, 101.0]
+    assert [r[6] for r in once] == ["DONE", "PENDING"] and [r[-1] for r in once] == [100.0, 101.0]
+    assert newest_version(spark, root) == 3
+    arrive("a new checkpoint, same name", [])  # its batch 0 is known
+    assert now() == once
+    arrive("a new checkpoint, another name", [], "again")  # all pages once more: nothing is lost
+    assert [(r[0], r[6], r[9], r[-1]) for r in now()] == [(r[0], r[6], r[9], r[-1]) for r in once]
+
+
+def test_unfinished_version_is_written_anew(spark, tmp_path):
+    root = str(tmp_path / "out")
+    listed = spark.createDataFrame([("AAA", "f", "u", 1, "m")], "subdir string, filename string, url string, size bigint, mtime string")
+
+    def fails(before):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        publish(spark, root, "a", fails)
+    assert newest_version(spark, root) == 0
+    assert publish(spark, root, "b", lambda before: work.upsert(before, listed, 1.0)) == 1
+    assert publish(spark, root, "a", lambda before: work.upsert(before, listed, 2.0), keep=1) == 2
+    assert [r.updated_at for r in read_ledger_version(spark, root).collect()] == [2.0]
+    assert not (tmp_path / "out" / "version=1").exists()
+
+
+def test_ties_between_outcomes_go_to_success(spark):
+    ledger = spark.createDataFrame([(1, "s", "f", "u", None, None, "SKETCHING", 0, None, None, 1.0, 1.0)], LEDGER)
+    outcomes = spark.createDataFrame([(1, "DONE", "/x", None, False, 5.0), (1, "ERROR", None, "late", True, 5.0)], OUTCOMES)
+    row = work.apply_outcomes(ledger, outcomes).first()
+    assert (row.status, row.out_path, row.tries) == ("DONE", "/x", 1)
 
 
 def test_stream_unique_set_is_idempotent(spark, tmp_path):
@@ -167,10 +203,44 @@ def test_stream_unique_table_does_not_shuffle_the_stored_side(spark, tmp_path):
 
 def test_stream_archives_reads_each_once(spark, tmp_path):
     from test_archives import FILES
+    root, out, log = (str(tmp_path / x) for x in ("in", "out", "log"))
     for names in (["AAA/good.sig.zip"], ["AAB/half.sig.zip", "AAC/broken.sig.zip"], []):
         for name in names:
             path = tmp_path / "in" / name
             path.parent.mkdir(parents=True, exist_ok=True)
             path.write_bytes(FILES[name])
-        ingest_archives(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), (15, 31, 33)).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 11
+            os.utime(path, (1e9, 1e9))  # older than anything seen
+        run = ingest_archives(spark, root, out, log, (15, 31, 33))
+    assert run == 3 and ingested_hashes(spark, out, log).count() == 11
+    seen = ingested(spark, log).collect()
+    assert {r.path.rsplit("/", 1)[1] for r in seen} == {"good.sig.zip", "half.sig.zip", "broken.sig.zip"}
+    assert all(r.error for r in seen if r.status.startswith("bad")) and {r.status for r in seen} >= {"ok", "bad_archive"}
+    # a run that broke off before its commit leaves hashes that do not count, and is done again
+    (tmp_path / "log" / "run=2" / "_SUCCESS").unlink()
+    (tmp_path / "log" / "run=3" / "_SUCCESS").unlink()
+    assert ingest_archives(spark, root, out, log, (15, 31, 33)) == 2
+    assert ingested_hashes(spark, out, log).count() == 11
+
+
+def test_null_hashes_are_kept_once(spark, tmp_path):
+    spark.createDataFrame([(31, None), (31, None), (31, 1)], "ksize int, hash bigint").write.parquet(str(tmp_path / "in"))
+    for name in ("one", "two"):
+        stream = spark.readStream.schema("ksize int, hash bigint").parquet(str(tmp_path / "in"))
+        grow_unique_set(stream, str(tmp_path / "out"), str(tmp_path / f"a{name}")).awaitTermination()
+        grow_unique_table(stream, "grown_with_null", str(tmp_path / f"b{name}"), 4).awaitTermination()
+    compact_table(spark, "grown_with_null", 4)
+    for rows in (spark.read.parquet(str(tmp_path / "out")), spark.table("grown_with_null")):
+        assert sorted((r.hash or 0) for r in rows.collect()) == [0, 1]
+
+
+def test_clean_up_leaves_nothing(spark):
+    from fraclake import shared
+
+    shared.clean_up(spark)
+    database = shared.fresh_database(spark)
+    spark.range(5).write.saveAsTable(f"{database}.t")
+    shared.stored(spark.range(5), "five")
+    folders = list(shared._folders)
+    assert all(shared.exists(spark, f) for f in folders) and len(folders) == 2
+    shared.clean_up(spark)
+    assert not any(shared.exists(spark, f) for f in folders) and not spark.catalog.databaseExists(database)

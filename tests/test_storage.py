@@ -8,7 +8,7 @@ import pytest
 
 from fraclake.functions.unsigned import signed
 from fraclake.operators.hash_sets import difference
-from fraclake.plans.loads import fresh_schema
+from fraclake.shared import fresh_database
 from fraclake.sinks import hash_sets as layouts
 from fraclake.sinks.reports import write_report
 from fraclake.sinks.tables import ingest
@@ -70,10 +70,10 @@ def test_labels_are_not_read_as_numbers(spark, tmp_path):
 
 def test_discovery_of_ksizes(spark, tmp_path):
     root = stored(spark, str(tmp_path / "s"))
-    assert discover_ksizes(read_unique_set(spark, root)) == [15, 31]
-    assert discover_ksizes(read_unique_set(spark, root), [31, 33]) == [31]
+    assert discover_ksizes(spark, root) == [15, 31]
+    assert discover_ksizes(spark, root, [31, 33]) == [31]
     with pytest.raises(ValueError):
-        discover_ksizes(read_unique_set(spark, root), [33])
+        discover_ksizes(spark, root, [33])
 
 
 def test_manifest_guard(spark, tmp_path):
@@ -109,7 +109,7 @@ def test_empty_difference_writes_no_partitions(spark, tmp_path):
 def test_ingest_without_manifest(spark, tmp_path):
     root = str(tmp_path / "s")
     layouts.write_unique_set(sample(spark), root, 2)
-    schema = fresh_schema(spark)
+    schema = fresh_database(spark)
     assert ingest(spark, root, schema, "per-ksize", analyze=True).first().rows_ingested == 3000
     meta = spark.table(f"{schema}.meta_dataset").first()
     assert meta.format is None and meta.source_manifest is None and meta.ksizes == "15,31"
@@ -122,7 +122,7 @@ def test_ingest_without_manifest(spark, tmp_path):
 
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     root = stored(spark, str(tmp_path / "s"))
-    schemas = [fresh_schema(spark) for _ in range(2)]
+    schemas = [fresh_database(spark) for _ in range(2)]
     for schema in schemas:
         ingest(spark, root, schema, "per-ksize", ksizes=[15], hash_buckets=4)
     a, b = (spark.table(f"{s}.hashes_15") for s in schemas)
