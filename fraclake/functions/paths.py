@@ -42,7 +42,7 @@ def is_signature_member(name: Column | str, root_only: bool = False) -> Column:
 def shard_of(path: Column | str) -> Column:
     """First three characters after ``wgs.``, up to the next dot."""
     b = base_name(path)
-    token = F.substring(F.split_part(F.substring(b, 5, 1 << 20), F.lit("."), F.lit(1)), 1, 3)
+    token = F.substring(F.split_part(F.substring(b, F.lit(5), F.length(b)), F.lit("."), F.lit(1)), 1, 3)
     return F.when(b.startswith("wgs."), F.coalesce(F.nullif(token, F.lit("")), F.lit(FALLBACK_SHARD))
                   ).otherwise(FALLBACK_SHARD)
 

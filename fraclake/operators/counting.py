@@ -36,6 +36,11 @@ def run_statistics(rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("sketch_head"), F.col("num_hashes"))), F.lit(0)).alias("total_hashes"))
 
 
+def distinct_per_k(flat: DataFrame) -> DataFrame:
+    """Distinct hashes per k of flat rows, repeats dropped before the shuffle."""
+    return flat.select("ksize", "hash").distinct().groupBy("ksize").agg(F.count(F.lit(1)).alias("unique_hashes"))
+
+
 def sized_counts(files: DataFrame) -> DataFrame:
     """Values and files of raw vectors from file sizes alone: 8 bytes per value.
 

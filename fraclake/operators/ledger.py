@@ -170,23 +170,22 @@ def mark_claimed(ledger: DataFrame, claimed: DataFrame, now: float) -> DataFrame
 def candidates(ledger: DataFrame, now: float, cooldown: float = ERROR_COOLDOWN,
                max_tries: int = ERROR_MAX_TRIES, limit: int | None = None) -> DataFrame:
     """Waiting rows and retryable failed rows together, by id; optionally the first few."""
-    columns = ["id", "subdir", "filename", "url"]
-    waiting = ledger.where(F.col("status") == "PENDING").select(*columns)
-    again = ledger.where(_retryable(now, cooldown, max_tries)).select(*columns)
-    ordered = waiting.unionByName(again).orderBy("id")
+    ready = ledger.where((F.col("status") == "PENDING") | _retryable(now, cooldown, max_tries))
+    ordered = ready.select("id", "subdir", "filename", "url").orderBy("id")
     return ordered.limit(limit) if limit else ordered
 
 
-def skip_produced(ledger: DataFrame, produced: DataFrame, root: str, path_of) -> tuple[DataFrame, DataFrame]:
-    """Split the ledger into rows whose output exists already, and the rest.
+def with_produced(ledger: DataFrame, produced: DataFrame, root: str, path_of) -> DataFrame:
+    """The ledger with the expected output of each row (path) and whether it exists (produced).
 
     ``produced`` lists existing outputs (path), for instance of found archives;
     ``path_of`` builds the expected one, so ``root`` must be spelled as in the listing
-    (Spark lists local files as ``file:/...``). Both halves share the two shuffles.
+    (Spark lists local files as ``file:/...``).
     """
     expected = ledger.withColumn("path", path_of(root, "subdir", "filename"))
-    known = produced.select("path").distinct()
-    return expected.join(known, "path", "left_semi"), expected.join(known, "path", "left_anti")
+    known = produced.select("path").distinct().withColumn("_produced", F.lit(True))
+    joined = expected.join(known, "path", "left")
+    return joined.withColumn("produced", F.col("_produced").isNotNull()).drop("_produced")
 
 
 def status_counts(ledger: DataFrame) -> DataFrame:

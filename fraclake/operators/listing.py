@@ -28,7 +28,7 @@ def listing_candidates(pages: DataFrame, base_url: str, pattern: str = TARGET_FI
     """
     base = base_url.rstrip("/")
     links = classified_links(pages)
-    folder = F.substring("url", len(base) + 2, 1 << 20)
+    folder = F.substring("url", F.lit(len(base) + 2), F.length("url"))
     files = links.where((F.col("kind") == "file") & is_target_file("href", pattern))
     if follow_root:
         listed = links.where((F.col("url") == f"{base}/") & (F.col("kind") == "dir"))

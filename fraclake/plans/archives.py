@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fraclake.operators.counting import extraction_counts, run_statistics
+from fraclake.operators.counting import distinct_per_k, extraction_counts, run_statistics
 from fraclake.operators.hash_sets import unique_hashes
 from fraclake.operators.sketching import GENERATED_FOLDERS, max_hash_for, word_sketch_arrays
 from fraclake.plans.inputs import WORD_KSIZES, WORD_SCALED, sql_word_bag, wide
@@ -128,6 +128,10 @@ def archive_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_statistics(_damaged(spark, sf_dir))
 
 
+def archive_unique_per_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_per_k(flat_hashes(_damaged(spark, sf_dir)))
+
+
 def signature_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loose JSON decoded by Spark; every fifth document holds an impossible value."""
     extra = F.when(F.pmod("doc_id", F.lit(5)) == 4, F.lit(str(1 << 64)))
@@ -144,6 +148,7 @@ QUERIES = {
     "archive_status": archive_status,
     "archive_counters": archive_counters,
     "archive_run_stats": archive_run_stats,
+    "archive_unique_per_k": archive_unique_per_k,
     "signature_json_decode": signature_json_decode,
 }
 
@@ -179,6 +184,7 @@ ORACLES = {
              count(*) FILTER (doc_id % 9 = 1) AS failed_files,
              coalesce(sum(n) FILTER (doc_id % 9 = 0), 0)::BIGINT AS total_hashes
       FROM documents LEFT JOIN n USING (doc_id)""",
+    "archive_unique_per_k": f"SELECT ksize, count(DISTINCT hash) AS unique_hashes FROM {_FIVE} WHERE doc_id % 9 = 0 GROUP BY ksize",
     "signature_json_decode": f"""
       WITH b AS (SELECT * FROM {_FIVE} WHERE doc_id % 5 <> 4 OR doc_id % 4 = 3),
       n AS (SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS num_hashes

@@ -100,9 +100,7 @@ def skip_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = event_files(spark, sf_dir)
     made = files.where(F.col("v") % 3 == 0).select(output_path("sketches", "subdir", "filename").alias("path"))
     waiting = files.where(F.col("status") == "PENDING").drop("t", "v")
-    present, missing = work.skip_produced(waiting, made, "sketches", output_path)
-    return present.select("id", "path", F.lit(True).alias("produced")).unionByName(
-        missing.select("id", "path", F.lit(False).alias("produced")))
+    return work.with_produced(waiting, made, "sketches", output_path).select("id", "path", "produced")
 
 
 def output_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

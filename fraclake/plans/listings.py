@@ -8,6 +8,9 @@ from fraclake.functions.paths import (HREF, SHARD_DIRECTORY, TARGET_FILE, base_n
                                       is_target_file, output_path, shard_of)
 from fraclake.operators.listing import classified_links, listing_candidates, page_links
 from fraclake.plans.inputs import table
+from fraclake.shared import shared_folder
+from fraclake.sinks.archives import write_files
+from fraclake.sources.listings import read_pages
 
 BASE = "https://files.example.org/assemblies"
 
@@ -43,6 +46,16 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing_candidates(listing_pages(table(spark, sf_dir, "pages")), BASE)
 
 
+def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates from pages that were saved as files and are read again."""
+    folder = shared_folder(spark, "pages")
+    pages = listing_pages(table(spark, sf_dir, "pages"))
+    below = F.concat(F.substring("url", F.lit(len(BASE) + 1), F.length("url")), "page_id", F.lit(".html"))
+    write_files(pages.select(F.concat(F.lit(folder), below).alias("path"), F.encode("html", "utf-8").alias("content")))
+    read = read_pages(spark, folder, f"{BASE}/")
+    return listing_candidates(read.withColumn("url", F.regexp_replace("url", "[^/]+$", "")), BASE)
+
+
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicates and paths for names of many forms, made from the page addresses."""
     code = _code()
@@ -73,6 +86,7 @@ QUERIES = {
     "href_links": href_links,
     "href_kinds": classified,
     "listing_candidates": candidates,
+    "saved_pages": saved_pages,
     "file_names": file_names,
     "member_names": member_names,
 }
@@ -111,6 +125,7 @@ ORACLES = {
       SELECT url, unnest(regexp_extract_all(html, '{HREF[4:]}', 1, 'i')) AS href FROM pages""",
     "href_kinds": f"SELECT url, href, kind FROM {SQL_KINDS}",
     "listing_candidates": f"SELECT subdir, filename, url, size, mtime FROM {sql_candidates(True)}",
+    "saved_pages": f"SELECT subdir, filename, url, size, mtime FROM {sql_candidates(True)}",
     "file_names": f"""
       SELECT page_id, name, regexp_matches(base, '{TARGET_FILE}') AS is_target, {_SQL_SHARD} AS shard,
              'out/' || {_SQL_SHARD} || '/' || base || '.sig.zip' AS out_path, 'tmp/SUB/' || base AS tmp_path

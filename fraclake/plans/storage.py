@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraclake.operators import hash_sets as sets
-from fraclake.operators.counting import row_count, sized_counts, unique_per_k
+from fraclake.operators.counting import sized_counts, unique_per_k
 from fraclake.plans.comparisons import _benchmark, _documents
 from fraclake.operators.sketching import word_hashes
 from fraclake.operators.stored_comparison import compare_stored
@@ -157,12 +157,16 @@ def bin_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bin_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The number of stored values from file sizes and from reading them."""
+    """The number of stored values from file sizes and from reading them, and whether files and
+    their mean agree with it: every partition has a file, and the mean times the files is the sum."""
     root = shared_folder(spark, "vectors")
     write_vectors(sold_keys(spark, sf_dir), root, BITS)
     files = find_vectors(spark, root)
-    sized = sized_counts(files.select("path", "length")).select(F.lit("size").alias("method"), "hashes")
-    return sized.unionByName(row_count(read_vectors(files), "hashes").select(F.lit("read").alias("method"), "hashes"))
+    values = read_vectors(files, 1000)
+    read = values.agg(F.count(F.lit(1)).alias("hashes"), F.count_distinct("ksize", "part").alias("parts"))
+    both = sized_counts(files).withColumnRenamed("hashes", "sized").join(read)  # one row each
+    return both.select("sized", "hashes", F.round(F.col("mean_per_file") * F.col("files")).cast("bigint").alias("mean_times_files"),
+                       (F.col("files") >= F.col("parts")).alias("file_for_each_part"))
 
 
 QUERIES = {
@@ -231,5 +235,5 @@ ORACLES = {
       SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash) AS distinct_hashes
       FROM {SQL_SOLD_KEYS} GROUP BY ALL""",
     "bin_roundtrip_counts": f"""
-      SELECT method, (SELECT count(*) FROM {SQL_SOLD_KEYS}) AS hashes FROM (VALUES ('size'), ('read')) AS m(method)""",
+      SELECT n AS sized, n AS hashes, n AS mean_times_files, true AS file_for_each_part FROM (SELECT count(*) AS n FROM {SQL_SOLD_KEYS})""",
 }

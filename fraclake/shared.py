@@ -61,6 +61,14 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return store.exists(path)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder its final name; an empty job leaves an empty folder."""
+    store, path = _hadoop(spark, source)
+    _, to = _hadoop(spark, target)
+    if not (store.rename(path, to) if store.exists(path) else store.mkdirs(to)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def entries(spark: SparkSession, uri: str) -> list[str]:
     """Names directly below a folder; none if it does not exist."""
     store, path = _hadoop(spark, uri)

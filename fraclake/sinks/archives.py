@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import os
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -15,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from fraclake.functions.mixing import with_partition_id
+from fraclake.shared import exists, rename
 
 
 def pack_archives(df: DataFrame) -> DataFrame:
@@ -95,7 +97,13 @@ def write_vectors(hashes: DataFrame, root: str, bits: int = 8, mode: str = "low"
     Rows of a partition are gathered so that it gets few files; a hot partition is
     split over several tasks, each with a file of its own. Within a task the rows are
     sorted by partition, so one file is open at a time and nothing is held back.
+
+    The files are written beside ``root`` and the folder gets its name when the job has
+    ended, so a job that breaks off leaves nothing there; ``root`` must not exist before.
     """
+    if exists(hashes.sparkSession, root):
+        raise FileExistsError(root)
+    target, root = root, f"{root.rstrip('/')}.writing-{uuid.uuid4().hex}"
     width = -(-bits // 4)
     placed = with_partition_id(hashes.select("ksize", "hash"), bits, mode)
     ordered = placed.hint("rebalance", "ksize", "part_id").sortWithinPartitions("ksize", "part_id")
@@ -127,3 +135,4 @@ def write_vectors(hashes: DataFrame, root: str, bits: int = 8, mode: str = "low"
 
     (ordered.select("ksize", "part_id", "hash").mapInArrow(write, "hash bigint")
      .write.format("noop").mode("overwrite").save())
+    rename(hashes.sparkSession, root, target)

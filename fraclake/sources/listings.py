@@ -4,16 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraclake.types import LEDGER
-
 
 def read_pages(spark: SparkSession, folder: str, url_prefix: str) -> DataFrame:
     """Saved pages, one file each; the url is the prefix plus the path below ``folder``."""
     raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder)
     below = F.split_part(F.col("_metadata.file_path"), F.lit(f"{folder.rstrip('/')}/"), F.lit(-1))
     return raw.select(F.concat(F.lit(url_prefix), below).alias("url"), F.col("value").alias("html"))
-
-
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """A stored version of the work ledger."""
-    return spark.read.schema(LEDGER).parquet(path)

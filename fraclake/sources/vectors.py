@@ -2,49 +2,68 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fraclake.sinks.archives import file_system
+
 _SLICE = 1 << 16
 _SCHEMA = "path string, hashes array<bigint>"
 _ARROW = pa.schema([("path", pa.string()), ("hashes", pa.list_(pa.int64()))])
 
+#: Values that one task reads from one file at a time: 32 MB.
+RANGE = 1 << 22
+
 
 def find_vectors(spark: SparkSession, root: str, suffix: str = ".bin") -> DataFrame:
-    """Files as (path, length, content); selecting path and length reads no content."""
+    """Files as (path, length); no content is read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*" + suffix).load(root))
+            .option("pathGlobFilter", "*" + suffix).load(root).select("path", "length"))
+
 
+def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
+    """(ksize, part, hash) for every stored value; unreadable or empty files give none.
 
-def read_vectors(files: DataFrame) -> DataFrame:
-    """(ksize, part, hash) for every stored value; unreadable or empty files give none."""
+    A file is read in ranges of ``values`` values, each opened and sought to by the task it
+    falls to, so a file of any size is shared between tasks and no task holds more than a
+    slice of one.
+    """
+    pieces = F.sequence(F.lit(0), F.floor((F.col("length") - 1) / F.lit(8 * values)).cast("bigint"))
+    ranges = files.where("length > 0").select("path", F.explode(pieces).alias("piece")).hint("rebalance")
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                bits = vector_bits(path, content.as_py())
-                for lo in range(0, len(bits), _SLICE):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path]), pa.array([bits[lo:lo + _SLICE]], type=pa.list_(pa.int64()))],
-                        schema=_ARROW)
-
-    values = files.where("length > 0").select("path", "content").mapInArrow(slices, _SCHEMA)
-    return values.select(F.regexp_extract("path", r"ksize=(\d+)/", 1).cast("int").alias("ksize"),
-                         F.regexp_extract("path", r"part=([0-9a-f]+)/", 1).alias("part"),
-                         F.explode("hashes").alias("hash"))
-
-
-def vector_bits(path: str, content: bytes) -> np.ndarray:
-    """Bit patterns of one file; trailing bytes that fill no value are dropped."""
-    try:
+            for path, piece in zip(batch.column("path").to_pylist(), batch.column("piece").to_pylist()):
+                for bits in vector_slices(path, piece * values, values):
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([bits], type=pa.list_(pa.int64()))], schema=_ARROW)
+
+    read = ranges.mapInArrow(slices, _SCHEMA)
+    return read.select(F.regexp_extract("path", r"ksize=(\d+)/", 1).cast("int").alias("ksize"),
+                       F.regexp_extract("path", r"part=([0-9a-f]+)/", 1).alias("part"),
+                       F.explode("hashes").alias("hash"))
+
+
+def vector_slices(uri: str, first: int, count: int) -> Iterator[np.ndarray]:
+    """Bit patterns of some values of one file; trailing bytes that fill no value are dropped."""
+    store, path = file_system(uri)
+    with store.open_input_file(path) as file:
+        kind, begin = np.dtype("<u8"), 0
         if path.endswith(".npy"):
-            values = np.load(io.BytesIO(content), allow_pickle=False).astype(np.uint64, copy=False)
-        else:
-            values = np.frombuffer(content, dtype="<u8", count=len(content) // 8)
-    except ValueError:
-        return np.zeros(0, dtype=np.int64)
-    return np.ascontiguousarray(values).view(np.int64)
+            try:
+                version = np.lib.format.read_magic(file)
+                header = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
+                kind, begin = header(file)[2], file.tell()
+            except ValueError:
+                return
+            if kind.kind not in "iu":
+                return
+        size = kind.itemsize
+        for at in range(first, first + count, _SLICE):
+            raw = file.read_at(min(_SLICE, first + count - at) * size, begin + at * size)
+            values = np.frombuffer(raw, kind, len(raw) // size)
+            if not len(values):
+                return
+            yield np.ascontiguousarray(values.astype(np.uint64, copy=False)).view(np.int64)

@@ -144,7 +144,11 @@ def test_vectors(spark, tmp_path):
 
 def test_written_vectors_come_back(spark, tmp_path):
     bag = spark.range(5000).selectExpr("CAST(IF(id % 3 = 0, 15, 31) AS INT) AS ksize", "id * 7 AS hash")
-    write_vectors(bag, str(tmp_path), bits=6)
-    back = read_vectors(find_vectors(spark, str(tmp_path)))
+    root = str(tmp_path / "vectors")
+    write_vectors(bag, root, bits=6)
+    back = read_vectors(find_vectors(spark, root), 7)  # ranges of seven values
+    assert not [p for p in tmp_path.iterdir() if "writing" in p.name]
+    with pytest.raises(FileExistsError):
+        write_vectors(bag, root, bits=6)
     assert back.selectExpr("ksize", "hash").exceptAll(bag).isEmpty() and back.count() == 5000
     assert back.where("conv(part, 16, 10) <> (hash & 63)").isEmpty()
