@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraclake.llm.frames import by_text, fresh, stored
-from fraclake.llm.words import ALPHANUMERIC, window_rows, windows, words
+from fraclake.llm.words import ALPHANUMERIC, text_bytes, window_rows, windows, words
 
 #: Windows in one block: about 100 bytes each, so at most some 50 MB.
 BLOCK_WINDOWS = 500_000
@@ -78,15 +78,14 @@ def scan(index: Index, column: pa.Array) -> pa.Array:
             hit[at + n] -= 1
             row = int(np.searchsorted(found.row, at, "right")) - 1
             items.setdefault(row, set()).update(o for o in owners if o is not None)
+    _, origin = text_bytes(column)
     covered = np.cumsum(hit[:-1]) > 0
     count = np.concatenate(([0], np.cumsum(covered)))
     spans: dict[int, list[dict]] = {}
     for row in np.flatnonzero(np.diff(count[found.row])):
         lo, hi = found.row[row], found.row[row + 1]
         edge = np.diff(covered[lo:hi].astype(np.int8), prepend=0, append=0)
-        base = found.row[row]
-        origin = _row_byte(column, int(row))
-        spans[int(row)] = [{"start": int(found.start[base + a] - origin), "stop": int(found.end[base + b - 1] - origin)}
+        spans[int(row)] = [{"start": int(found.start[lo + a] - origin[row]), "stop": int(found.end[lo + b - 1] - origin[row])}
                            for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
     rows = range(len(column))
     return pa.StructArray.from_arrays([
@@ -96,12 +95,6 @@ def scan(index: Index, column: pa.Array) -> pa.Array:
     ], names=["n_words", "n_hit", "items", "spans"])
 
 
-def _row_byte(column: pa.Array, row: int) -> int:
-    from fraclake.llm.words import text_bytes
-
-    return int(text_bytes(column)[1][row])
-
-
 def blocks(items: DataFrame, size: int, block: int = BLOCK_WINDOWS) -> list[Index]:
     """Indexes of at most twice ``block`` windows each; one unless the benchmark is huge."""
     found = stored(item_windows(items.select("item_id", "text"), size), "item-windows")
@@ -120,7 +113,7 @@ def merged(reports: list[Column]) -> Column:
         return reports[0]
 
     def merge(column: pa.Array, *parts: pa.Array) -> pa.Array:
-        code = words(column, ALPHANUMERIC, lower=True)
+        code, (_, origin) = words(column, ALPHANUMERIC, lower=True), text_bytes(column)
         out = []
         lists = [p.to_pylist() for p in parts]
         for row, reports in enumerate(zip(*lists)):
@@ -131,7 +124,7 @@ def merged(reports: list[Column]) -> Column:
                 else:
                     spans.append([start, stop])
             lo, hi = code.row[row], code.row[row + 1]
-            begins = code.start[lo:hi] - _row_byte(column, row)
+            begins = code.start[lo:hi] - origin[row]
             hit = sum(int(np.searchsorted(begins, b) - np.searchsorted(begins, a)) for a, b in spans)
             out.append({"n_words": reports[0]["n_words"], "n_hit": hit,
                         "items": sorted({i for r in reports for i in r["items"]}),
