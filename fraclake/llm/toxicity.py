@@ -100,23 +100,33 @@ class BlockMaxIndex:
         self.blocks = blocks
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best (cosine, example) with a cosine above 0; ties go to the smaller example."""
+        """The k best (cosine, example) with a cosine above 0; ties go to the smaller example.
+
+        Blocks are read in the order of their bounds, each time twice as many as before.
+        """
         if not len(terms):
             return []
         bounds = weights @ self.bound[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1][0] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                at = t * self.blocks + block
-                lo, hi = self.begin[at], self.begin[at + 1]
-                if lo < hi:
-                    scores[self.doc[lo:hi] - block * BLOCK] += w * self.weight[lo:hi]
-            hits = np.flatnonzero(scores > 0)
-            best = sorted(best + [(float(scores[h]), block * BLOCK + int(h)) for h in hits], key=lambda x: (-round(x[0], 9), x[1]))[:k]
-        return best
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        cosines, examples, at, step = np.zeros(0), np.zeros(0, np.int64), 0, 4
+        while at < len(order) and (len(cosines) < k or bounds[order[at]] >= cosines[-1] - 1e-9):
+            found, scores = self._cosines(terms, weights, order[at:at + step])
+            cosines, examples = np.append(cosines, scores), np.append(examples, found)
+            best = np.lexsort((examples, -np.round(cosines, 9)))[:k]
+            cosines, examples = cosines[best], examples[best]
+            at, step = at + step, 2 * step
+        return list(zip(cosines.tolist(), examples.tolist()))
+
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The examples in some blocks that share a term, and their cosines."""
+        cell = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
+        begin, size = self.begin[cell], self.begin[cell + 1] - self.begin[cell]
+        ends = np.cumsum(size)
+        posting = np.arange(ends[-1]) - np.repeat(ends - size - begin, size)
+        share = np.repeat(np.repeat(weights, len(blocks)), size) * self.weight[posting]
+        found, back = np.unique(self.doc[posting], return_inverse=True)
+        return found, np.bincount(back, share, minlength=len(found))
 
 
 @dataclass
