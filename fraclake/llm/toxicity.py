@@ -2,7 +2,7 @@
 
 Terms are lower-cased runs of letters. The vocabulary is the terms that toxic training
 documents hold significantly more often than others (likelihood ratio over all training
-documents), at most VOCABULARY of them. A bounded sample of labelled documents is indexed:
+documents, near copies counted once), at most VOCABULARY of them. A bounded sample of labelled documents is indexed:
 postings per term, examples in blocks, and per term and block the largest weight. A query adds
 up those bounds per block, reads blocks from the highest bound on, and stops when no block
 left can reach the k-th best cosine; so the k nearest are exact. Votes are weighted by
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from fraclake.llm.frames import by_text, small_side, stored
 from fraclake.llm.language import held_out
+from fraclake.llm.near_duplicates import shingle_sets
 from fraclake.llm.words import LETTERS, words
 
 VOCABULARY, EXAMPLES, CALIBRATION = 4096, 4000, 4000
@@ -35,6 +36,23 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.where(~held_out()).join(small_side(stored(known, "toxic-labels")), "doc_id").select("doc_id", F.lower("text").alias("text"), "toxic")
 
 
+def least_shingle(column: pa.Array) -> pa.Array:
+    """The smallest shingle hash of each text, which near copies mostly share."""
+    shingles, first = shingle_sets(column)
+    full = np.diff(first) > 0
+    out = np.zeros(len(column), np.uint64)
+    out[full] = shingles[first[:-1][full]]
+    return pa.array(out.view(np.int64))
+
+
+def one_of_each(train: DataFrame) -> DataFrame:
+    """Training documents with one of each group of near copies: otherwise every word of a
+    text that was copied often would look significant."""
+    keyed = stored(train.select("doc_id", "toxic", by_text(least_shingle, "bigint")("text").alias("key")), "least-shingles")
+    chosen = keyed.groupBy("toxic", "key").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
+    return train.join(small_side(stored(chosen, "chosen-copies")), ["doc_id", "toxic"], "left_semi")
+
+
 def vocabulary(train: DataFrame, size: int = VOCABULARY) -> tuple[list[tuple[str, float]], int, int]:
     """(term, idf) by descending likelihood ratio, and the numbers of toxic and of all training documents."""
     total = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)).cast("long"), F.count("*")).first()
@@ -173,7 +191,9 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     their own, and are at most EXAMPLES and CALIBRATION in number.
     """
     train = labelled(docs, labels)
-    chosen, toxic, n = vocabulary(train)
+    chosen, toxic, n = vocabulary(one_of_each(train))
+    if chosen:
+        toxic, n = train.agg(F.sum("toxic").cast("long"), F.count("*")).first()
     if not chosen:
         return None
     terms = Terms.of(chosen)
