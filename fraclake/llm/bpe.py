@@ -29,6 +29,8 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Runs remembered by one worker, some 100 bytes each; beyond it the memory starts anew.
 REMEMBERED = 1_500_000
 _JOINED = 64
+#: Bytes of text to give to an encoder at a time; its vectors take some 50 times as much.
+SLICE = 1 << 20
 
 
 def of_worker() -> dict:
@@ -132,11 +134,9 @@ class Encoder:
         if new.any():
             which = example[new]
             counts, places = self._learn([points[start[i]:start[i] + size[i]].tobytes().decode("utf-32-le") for i in which], kind[start[which] + size[which] - 1] == BLANK)
-            merged = np.concatenate((self.known, distinct[new]))
-            order = np.argsort(merged, kind="stable")
-            self.known = merged[order]
-            self.count = np.concatenate((self.count, counts))[order]
-            self.place = np.concatenate((self.place, places))[order]
+            place = np.searchsorted(self.known, distinct[new])
+            self.known, self.count, self.place = (np.insert(old, place, more) for old, more in (
+                (self.known, distinct[new]), (self.count, counts), (self.place, places)))
             at = np.searchsorted(self.known, distinct)
         return self.count[at][back], self.place[at][back]
 

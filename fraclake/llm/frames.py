@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraclake.llm.words import cuts
+from fraclake.llm.words import BLOCK, cuts
 from fraclake.shared import stored
 
 __all__ = ["by_text", "fresh", "stored"]
@@ -22,17 +22,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def by_text(one: Callable[..., pa.Array], kind: str) -> Callable[..., Column]:
+def by_text(one: Callable[..., pa.Array], kind: str, limit: int = 4 * BLOCK) -> Callable[..., Column]:
     """A column function of (text, ...) from ``one``, which gets arrays of bounded size.
 
-    Batches are cut by bytes of text, so memory is bounded by the longest single text
-    however many rows Spark puts into a batch.
+    Batches are cut at about ``limit`` bytes of text, so memory is bounded by the longest
+    single text however many rows Spark puts into a batch.
     """
 
     def run(batches):
         for columns in batches:
             columns = (columns,) if isinstance(columns, pa.Array) else columns
-            parts = [one(*(c.slice(lo, hi - lo) for c in columns)) for lo, hi in cuts(columns[0])]
+            parts = [one(*(c.slice(lo, hi - lo) for c in columns)) for lo, hi in cuts(columns[0], limit)]
             yield pa.concat_arrays(parts) if parts else one(*columns)
 
     def call(*columns: Column | str) -> Column:

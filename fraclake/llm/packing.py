@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraclake.llm.bpe import Encoder, texts_of
+from fraclake.llm.bpe import SLICE, Encoder, texts_of
 from fraclake.llm.frames import by_text, stored
 
 CAPACITY, END, GROUP = 1024, 2, 65_536
@@ -51,7 +51,7 @@ def cutter(path: str, capacity: int = CAPACITY, end: int = END):
         items = pa.StructArray.from_arrays(fields, names=["piece", "start", "length", "ids_crc32"])
         return pa.ListArray.from_arrays(pa.array(out, pa.int32()), items)
 
-    return by_text(cut, PIECES)
+    return by_text(cut, PIECES, SLICE)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraclake.llm.bpe import BLANKS, Encoder, texts_of
+from fraclake.llm.bpe import BLANKS, SLICE, Encoder, texts_of
 from fraclake.llm.frames import by_text
 
 CHUNK, OVERLAP = 1 << 15, 1 << 9
@@ -69,7 +69,7 @@ def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
                 out[i] = chunked(encoder, text, chunk, overlap)
         return pa.array(out)
 
-    return by_text(count, "bigint")
+    return by_text(count, "bigint", SLICE)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:

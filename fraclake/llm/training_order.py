@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraclake.llm.bpe import Encoder, texts_of
+from fraclake.llm.bpe import SLICE, Encoder, texts_of
 from fraclake.llm.frames import by_text
 from fraclake.llm.words import keys, mix
 from fraclake.shared import shared_folder
@@ -85,7 +85,7 @@ def sequences(docs: DataFrame, path: str, length: int, end: int) -> DataFrame:
             out.append([raw[at:at + 2 * length] for at in range(0, len(raw), 2 * length)])
         return pa.array(out, pa.list_(pa.binary()))
 
-    return docs.select("doc_id", F.posexplode(by_text(cut, "array<binary>")("text")).alias("piece", "ids"))
+    return docs.select("doc_id", F.posexplode(by_text(cut, "array<binary>", SLICE)("text")).alias("piece", "ids"))
 
 
 def numbered(docs: DataFrame, path: str, length: int, end: int) -> tuple[DataFrame, int]:
