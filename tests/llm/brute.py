@@ -4,6 +4,9 @@ import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Texts that are null, empty, long, repetitive, or hold more than ASCII.
+TEXTS = [None, "", "   \n\t ", "one", "two words", "The IDIOT said: it's 10 o'clock!", "a b c d e f g h i j k l m n o p",
+         "é à ü ß 日本語 ñandú", "x" * 3000, "word " * 400, "line one\nline two\n\nline one\n  line one  "]
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 

@@ -5,8 +5,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pytest
 
-TEXTS = [None, "", "   \n\t ", "one", "two words", "The IDIOT said: it's 10 o'clock!", "a b c d e f g h i j k l m n o p",
-         "é à ü ß 日本語 ñandú", "x" * 3000, "word " * 400, "line one\nline two\n\nline one\n  line one  "]
+from brute import TEXTS
 
 
 @pytest.fixture(scope="session")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from conftest import TEXTS
+from brute import TEXTS
 from fraclake.llm import decontamination, line_frequency, near_duplicates, queries
 from fraclake.llm.components import closed
 from check import compare

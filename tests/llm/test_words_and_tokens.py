@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import brute
-from conftest import TEXTS
+from brute import TEXTS
 from fraclake.llm import bpe, packing, token_counts, training_order, words
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
