@@ -22,7 +22,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def by_text(one: Callable[..., pa.Array], kind: str, limit: int = 4 * BLOCK) -> Callable[..., Column]:
+def by_text(one: Callable[..., pa.Array], kind: str, limit: int = 2 * BLOCK) -> Callable[..., Column]:
     """A column function of (text, ...) from ``one``, which gets arrays of bounded size.
 
     Batches are cut at about ``limit`` bytes of text, so memory is bounded by the longest

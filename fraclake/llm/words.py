@@ -127,13 +127,13 @@ def window_rows(row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(total) + n <= ends, ends
 
 
-def in_slices(batch: pa.RecordBatch, column: str, limit: int = 4 * BLOCK) -> Iterator[pa.RecordBatch]:
+def in_slices(batch: pa.RecordBatch, column: str, limit: int = 2 * BLOCK) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has about ``limit`` bytes of text, but one row at least."""
     for lo, hi in cuts(batch.column(column), limit):
         yield batch.slice(lo, hi - lo)
 
 
-def cuts(column: pa.Array, limit: int = 4 * BLOCK) -> Iterator[tuple[int, int]]:
+def cuts(column: pa.Array, limit: int = 2 * BLOCK) -> Iterator[tuple[int, int]]:
     _, offsets = text_bytes(column)
     lo = 0
     while lo < len(column):
