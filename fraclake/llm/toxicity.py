@@ -1,10 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are lower-cased runs of letters. The vocabulary is the terms that toxic training
-documents hold significantly more often than others (likelihood ratio over all training
-documents, near copies counted once), at most VOCABULARY of them. A bounded sample of labelled documents is indexed:
-postings per term, examples in blocks, and per term and block the largest weight. A query adds
-up those bounds per block, reads blocks from the highest bound on, and stops when no block
+documents hold significantly and several times more often than others (likelihood ratio over
+all training documents, near copies counted once), at most VOCABULARY of them. A bounded
+sample of labelled documents is indexed: postings per term, examples in blocks, and per term
+and block the largest weight. A query adds up those bounds per block, reads blocks from the highest bound on, and stops when no block
 left can reach the k-th best cosine; so the k nearest are exact. Votes are weighted by
 1 / (distance + c), and a monotone curve fitted on other training documents turns the vote
 into a probability. Texts without any term have the training share of such texts.
@@ -26,6 +26,8 @@ from fraclake.llm.words import LETTERS, words
 
 VOCABULARY, EXAMPLES, CALIBRATION = 4096, 4000, 4000
 NEIGHBOURS, BLOCK, LEAST_TEXTS, SIGNIFICANT = 15, 64, 3, 30.0
+#: How many times the overall share of toxic documents a term's own share must be.
+LIFT = 3.0
 #: Fixed value: what separates terms among ASCII characters.
 NO_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -64,7 +66,7 @@ def vocabulary(train: DataFrame, size: int = VOCABULARY) -> tuple[list[tuple[str
     share, a, df = toxic / n, F.col("a"), F.col("df")
     clean = df - a
     gain = 2 * (a * F.log(a / (df * share)) + F.when(clean > 0, clean * F.log(clean / (df * (1 - share)))).otherwise(0.0))
-    often = counts.where(a > df * share).withColumn("gain", gain).where(F.col("gain") >= SIGNIFICANT)
+    often = counts.where(a >= df * min(LIFT * share, (1 + share) / 2)).withColumn("gain", gain).where(F.col("gain") >= SIGNIFICANT)
     chosen = often.orderBy(F.desc("gain"), "term").limit(size).collect()
     return [(r.term, float(np.log((n + 1) / (r.df + 1)) + 1)) for r in chosen], toxic, n
 
