@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ from fraclake.llm.bpe import SLICE, Encoder, texts_of
 from fraclake.llm.frames import by_text
 from fraclake.llm.words import keys, mix
 from fraclake.shared import shared_folder
-from fraclake.sinks.archives import put_file
+from fraclake.sinks.archives import file_system, put_file
 
 LENGTH, ROWS, WAVES, ROUNDS, KEY, END = 256, 8192, 8, 6, 20240229, 50256
 #: A row: doc_id, number of the piece in its document, number of own ids, ids.
@@ -137,7 +136,7 @@ def materialised(docs: DataFrame, path: str, root: str, length: int = LENGTH, ro
         for i, raw in enumerate(table.column("ids").to_pylist()):
             block["n"][i] = len(raw) // 2
             block["ids"][i, :len(raw) // 2] = np.frombuffer(raw, "<u2")
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = file_system(root)
         name = shard_file(base, shard)
         if store.get_file_info(name).size != n * width:
             put_file(store, name, block.tobytes(), str(TaskContext.get().taskAttemptId()))
@@ -168,7 +167,7 @@ def read(spark: SparkSession, root: str, total: int, first: int = 0, last: int |
     width = stride(length)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = file_system(root)
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 lo, hi = max(first, shard * rows), min(last, (shard + 1) * rows)
@@ -186,10 +185,6 @@ def read(spark: SparkSession, root: str, total: int, first: int = 0, last: int |
 def report(docs: DataFrame, path: str) -> DataFrame:
     """Materialise ``docs`` and read all of it back: one row per sequence, with a checksum of its ids."""
     root = shared_folder(docs.sparkSession, "training-order")
-    total = materialised(docs.select("doc_id", "text"), path, _uri(root))
-    rows = read(docs.sparkSession, _uri(root), total)
+    total = materialised(docs.select("doc_id", "text"), path, root)
+    rows = read(docs.sparkSession, root, total)
     return rows.select("slot", F.floor(F.col("slot") / ROWS).alias("shard"), "doc_id", "piece", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-
-def _uri(folder: str) -> str:
-    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
