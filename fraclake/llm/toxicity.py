@@ -1,13 +1,16 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased runs of letters. The vocabulary is the terms that toxic training
-documents hold significantly and several times more often than others (likelihood ratio over
-all training documents, near copies counted once), at most VOCABULARY of them. A bounded
-sample of labelled documents is indexed: postings per term, examples in blocks, and per term
-and block the largest weight. A query adds up those bounds per block, reads blocks from the highest bound on, and stops when no block
-left can reach the k-th best cosine; so the k nearest are exact. Votes are weighted by
+Terms are lower-cased runs of letters, and a vector holds every term of its text. A term's
+weight is (1 + log tf) times its idf times its relevance: 1 for most terms, more for those
+that toxic training documents hold significantly more often (near copies counted once). The
+idf counts all training documents; a term that at most one of them holds counts as held by
+one and has relevance 1, so only the others are listed. A bounded sample of labelled documents is
+indexed: postings per term, examples in blocks, and per term and block the largest weight. A
+query adds up those bounds per block, reads blocks from the highest bound on, and stops when no
+block left can reach the k-th best cosine; so the k nearest are exact. Votes are weighted by
 1 / (distance + c), and a monotone curve fitted on other training documents turns the vote
-into a probability. Texts without any term have the training share of such texts.
+into a probability. Texts that share no term with an example have the training share of such
+texts.
 """
 
 from __future__ import annotations
@@ -24,12 +27,10 @@ from fraclake.llm.language import held_out
 from fraclake.llm.near_duplicates import shingle_sets
 from fraclake.llm.words import LETTERS, words
 
-VOCABULARY, EXAMPLES, CALIBRATION = 4096, 4000, 4000
-NEIGHBOURS, BLOCK, LEAST_TEXTS, SIGNIFICANT = 15, 64, 3, 30.0
-#: How many times the overall share of toxic documents a term's own share must be.
-LIFT = 3.0
-#: Fixed value: what separates terms among ASCII characters.
-NO_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+EXAMPLES, CALIBRATION = 4000, 4000
+NEIGHBOURS, BLOCK = 15, 64
+#: What a unit of log odds adds to a term's relevance, and the standard errors taken off first.
+RELEVANCE, ERRORS = 10.0, 3.0
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -47,111 +48,155 @@ def least_shingle(column: pa.Array) -> pa.Array:
     return pa.array(out.view(np.int64))
 
 
-def one_of_each(train: DataFrame) -> DataFrame:
-    """Training documents with one of each group of near copies: otherwise every word of a
-    text that was copied often would look significant."""
+def with_first(train: DataFrame) -> DataFrame:
+    """Training documents with ``first``, 1 for one of each group of near copies and else 0:
+    otherwise every word of a text that was copied often would look significant."""
     keyed = stored(train.select("doc_id", "toxic", by_text(least_shingle, "bigint")("text").alias("key")), "least-shingles")
-    chosen = keyed.groupBy("toxic", "key").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
-    return train.join(small_side(stored(chosen, "chosen-copies")), ["doc_id", "toxic"], "left_semi")
+    chosen = keyed.groupBy("toxic", "key").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic", F.lit(1).alias("first"))
+    return train.join(small_side(stored(chosen, "chosen-copies")), ["doc_id", "toxic"], "left").withColumn("first", F.coalesce("first", F.lit(0)))
 
 
-def vocabulary(train: DataFrame, size: int = VOCABULARY) -> tuple[list[tuple[str, float]], int, int]:
-    """(term, idf) by descending likelihood ratio, and the numbers of toxic and of all training documents."""
-    total = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)).cast("long"), F.count("*")).first()
-    toxic, n = int(total[0]), int(total[1])
-    if not toxic or toxic == n:
-        return [], toxic, n
-    terms = train.select("toxic", F.explode(F.array_distinct(F.split("text", NO_LETTERS))).alias("term")).where("term <> ''")
-    counts = terms.groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("df")).where(F.col("df") >= LEAST_TEXTS)
-    share, a, df = toxic / n, F.col("a"), F.col("df")
-    clean = df - a
-    gain = 2 * (a * F.log(a / (df * share)) + F.when(clean > 0, clean * F.log(clean / (df * (1 - share)))).otherwise(0.0))
-    often = counts.where(a >= df * min(LIFT * share, (1 + share) / 2)).withColumn("gain", gain).where(F.col("gain") >= SIGNIFICANT)
-    chosen = often.orderBy(F.desc("gain"), "term").limit(size).collect()
-    return [(r.term, float(np.log((n + 1) / (r.df + 1)) + 1)) for r in chosen], toxic, n
+def distinct_terms(column: pa.Array) -> pa.Array:
+    """Hashes of the distinct terms of each lower-cased text."""
+    found = words(column, LETTERS)
+    sets = [np.unique(found.hash[lo:hi]) for lo, hi in zip(found.row, found.row[1:])]
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, found.hash[:0]]).view(np.int64)))
 
 
 @dataclass
 class Terms:
-    """Hashes of the vocabulary, sorted, with the number and idf of each term."""
+    """Hashes of the terms that two or more training documents hold, sorted, with idf times
+    relevance; and the idf of all other terms."""
 
     hashes: np.ndarray
-    number: np.ndarray
     idf: np.ndarray
+    rare: float
 
     @staticmethod
-    def of(chosen: list[tuple[str, float]]) -> Terms:
-        hashes = words(pa.array([t for t, _ in chosen], pa.string()), LETTERS).hash if chosen else np.zeros(0, np.uint64)
+    def of(train: DataFrame, n: int) -> Terms:
+        """Of ``n`` training documents of both labels."""
+        marked = with_first(train)
+        totals = marked.agg(F.sum(F.col("first") * F.col("toxic")).alias("toxic"), F.sum(F.col("first") * (1 - F.col("toxic"))).alias("clean")).first()
+        terms = marked.select("toxic", "first", F.explode(by_text(distinct_terms, "array<bigint>")("text")).alias("term"))
+        counts = terms.groupBy("term").agg(F.count("*").alias("df"), F.sum(F.col("first") * F.col("toxic")).alias("a"), F.sum(F.col("first")).alias("of")).where("df > 1")
+        a, c = F.col("a") + 0.5, F.col("of") - F.col("a") + 0.5
+        odds = F.log(a / (totals.toxic + 1)) - F.log(c / (totals.clean + 1)) - ERRORS * F.sqrt(1 / a + 1 / c)
+        weight = (F.log((n + 1) / (F.col("df") + 1)) + 1) * (1 + RELEVANCE * F.greatest(odds, F.lit(0.0)))
+        got = counts.select("term", weight.alias("weight")).toArrow()
+        hashes = got["term"].to_numpy().view(np.uint64)
         order = np.argsort(hashes)
-        return Terms(hashes[order], order, np.array([i for _, i in chosen]))
+        return Terms(hashes[order], got["weight"].to_numpy()[order], float(np.log((n + 1) / 2) + 1))
 
     def vectors(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Unit TF-IDF vectors of lower-cased texts as (terms ascending, weights)."""
+        """Unit TF-IDF vectors of lower-cased texts as (hashes of terms ascending, weights)."""
         found = words(column, LETTERS)
-        if not len(self.hashes):
-            return [(np.zeros(0, np.int64), np.zeros(0))] * len(column)
-        at = np.minimum(np.searchsorted(self.hashes, found.hash), len(self.hashes) - 1)
-        known = np.flatnonzero(self.hashes[at] == found.hash)
-        term = self.number[at[known]]
-        bounds = np.searchsorted(known, found.row)
         out = []
-        for lo, hi in zip(bounds, bounds[1:]):
-            terms, times = np.unique(term[lo:hi], return_counts=True)
-            weights = (1 + np.log(times)) * self.idf[terms]
+        for lo, hi in zip(found.row, found.row[1:]):
+            terms, times = np.unique(found.hash[lo:hi], return_counts=True)
+            idf = np.full(len(terms), self.rare)
+            at, known = places(self.hashes, terms)
+            idf[known] = self.idf[at]
+            weights = (1 + np.log(times)) * idf
             out.append((terms, weights / max(1e-12, np.sqrt((weights**2).sum()))))
         return out
 
 
+def places(listed: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in ``listed`` (ascending) those of ``wanted`` stand that are in it, and which these are."""
+    if not len(listed):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(listed, wanted), len(listed) - 1)
+    known = np.flatnonzero(listed[at] == wanted)
+    return at[known], known
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of some ranges one after another."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - ends + size, size)
+
+
+def joined(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The values in some ranges one after another."""
+    return np.concatenate([values[lo:hi] for lo, hi in zip(begin.tolist(), end.tolist())])
+
+
 class BlockMaxIndex:
-    """Postings of the examples' vectors, with the largest weight per term and block."""
+    """Postings of the examples' vectors, with the largest weight per term and block.
+
+    A cell is a pair of term and block that has postings.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> None:
         self.size = len(vectors)
-        blocks = -(-self.size // BLOCK) or 1
-        self.bound = np.zeros((terms, blocks))
-        triples = [(t, d, w) for d, (ts, ws) in enumerate(vectors) for t, w in zip(ts.tolist(), ws.tolist())]
-        triples.sort()
-        term = np.array([x[0] for x in triples], np.int64)
-        self.doc = np.array([x[1] for x in triples], np.int64)
-        self.weight = np.array([x[2] for x in triples])
-        np.maximum.at(self.bound, (term, self.doc // BLOCK), self.weight)
-        # where the postings of (term, block) begin
-        self.begin = np.searchsorted(term * blocks + self.doc // BLOCK, np.arange(terms * blocks + 1)) if len(triples) else np.zeros(terms * blocks + 1, np.int64)
-        self.blocks = blocks
+        self.blocks = -(-self.size // BLOCK) or 1
+        term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        doc = np.repeat(np.arange(self.size), np.array([len(t) for t, _ in vectors], np.int64))
+        order = np.lexsort((doc, term))
+        self.doc = doc[order]
+        self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
+        cell, first = np.unique(term[order] * self.blocks + self.doc // BLOCK, return_index=True)
+        # where the postings of a cell begin, and the cells of a term
+        self.begin = np.append(first, len(order))
+        self.cells = np.searchsorted(cell, np.arange(terms + 1) * self.blocks)
+        self.block = cell % self.blocks
+        self.bound = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k best (cosine, example) with a cosine above 0; ties go to the smaller example.
 
-        Blocks are read in the order of their bounds, each time twice as many as before.
+        Blocks are read in the order of their bounds, each time twice as many as before. Where
+        most blocks may hold one of the k, all postings are read in one go.
         """
         if not len(terms):
             return []
-        bounds = weights @ self.bound[terms]
+        lo, hi = self.cells[terms], self.cells[terms + 1]
+        weight, cells = np.repeat(weights, hi - lo), ranges(lo, hi - lo)
+        block = self.block[cells]
+        bounds = np.bincount(block, weight * self.bound[cells], minlength=self.blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
+        place = np.full(self.blocks, self.blocks)
+        place[order] = np.arange(len(order))
+        turn = place[block]
         cosines, examples, at, step = np.zeros(0), np.zeros(0, np.int64), 0, 4
         while at < len(order) and (len(cosines) < k or bounds[order[at]] >= cosines[-1] - 1e-9):
-            found, scores = self._cosines(terms, weights, order[at:at + step])
-            cosines, examples = np.append(cosines, scores), np.append(examples, found)
+            if at and (len(cosines) < k or 2 * (bounds[order[at:]] >= cosines[-1] - 1e-9).sum() > self.blocks):
+                (examples, cosines), at = self._all(terms, weights), len(order)
+            else:
+                now = np.flatnonzero((turn >= at) & (turn < at + step))
+                found, scores = self._cosines(cells[now], weight[now])
+                cosines, examples = np.append(cosines, scores), np.append(examples, found)
+                at, step = at + step, 2 * step
+            if len(cosines) > k:  # most are far from the best, and sorting them all is slow
+                least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] - 1e-8
+                cosines, examples = cosines[cosines >= least], examples[cosines >= least]
             best = np.lexsort((examples, -np.round(cosines, 9)))[:k]
             cosines, examples = cosines[best], examples[best]
-            at, step = at + step, 2 * step
         return list(zip(cosines.tolist(), examples.tolist()))
 
-    def _cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The examples in some blocks that share a term, and their cosines."""
-        cell = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
-        begin, size = self.begin[cell], self.begin[cell + 1] - self.begin[cell]
-        ends = np.cumsum(size)
-        posting = np.arange(ends[-1]) - np.repeat(ends - size - begin, size)
-        share = np.repeat(np.repeat(weights, len(blocks)), size) * self.weight[posting]
-        found, back = np.unique(self.doc[posting], return_inverse=True)
-        return found, np.bincount(back, share, minlength=len(found))
+    def _cosines(self, cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The examples with postings in some cells, and their cosines; a weight for each cell."""
+        begin, size = self.begin[cells], self.begin[cells + 1] - self.begin[cells]
+        posting = ranges(begin, size)
+        cosines = np.bincount(self.doc[posting], np.repeat(weights, size) * self.weight[posting], minlength=self.size)
+        found = np.flatnonzero(cosines)
+        return found, cosines[found]
+
+    def _all(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All examples that share a term, and their cosines."""
+        lo, hi = self.begin[self.cells[terms]], self.begin[self.cells[terms + 1]]
+        cosines = np.bincount(joined(self.doc, lo, hi), np.repeat(weights, hi - lo) * joined(self.weight, lo, hi), minlength=self.size)
+        found = np.flatnonzero(cosines)
+        return found, cosines[found]
 
 
 @dataclass
 class Model:
     terms: Terms
+    #: hashes of the examples' terms, ascending; the index numbers them in this order
+    known: np.ndarray
     index: BlockMaxIndex
     toxic: np.ndarray
     ids: np.ndarray
@@ -160,7 +205,8 @@ class Model:
     without_terms: float
 
     def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float | None, list[tuple[float, int]]]:
-        near = self.index.nearest(terms, weights, NEIGHBOURS)
+        at, known = places(self.known, terms)
+        near = self.index.nearest(at, weights[known], NEIGHBOURS)
         if not near:
             return None, near
         pull = np.array([1 / (1 - min(1.0, c) + 0.05) for c, _ in near])
@@ -193,39 +239,46 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     their own, and are at most EXAMPLES and CALIBRATION in number.
     """
     train = labelled(docs, labels)
-    chosen, toxic, n = vocabulary(one_of_each(train))
-    if chosen:
-        toxic, n = train.agg(F.sum("toxic").cast("long"), F.count("*")).first()
-    if not chosen:
+    toxic, n = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)).cast("long"), F.count("*")).first()
+    if not toxic or toxic == n:
         return None
-    terms = Terms.of(chosen)
+    terms = Terms.of(train, n)
 
     def entry(column: pa.Array) -> pa.Array:
         found = terms.vectors(column)
         kinds = pa.list_(pa.int64()), pa.list_(pa.float64())
-        return pa.StructArray.from_arrays([pa.array([t.tolist() for t, _ in found], kinds[0]), pa.array([w.tolist() for _, w in found], kinds[1])], names=["t", "w"])
+        return pa.StructArray.from_arrays([pa.array([t.view(np.int64) for t, _ in found], kinds[0]), pa.array([w for _, w in found], kinds[1])], names=["t", "w"])
 
     total = EXAMPLES + CALIBRATION
     shares = {1: min(1.0, total / 2 / toxic), 0: min(1.0, total / 2 / (n - toxic))}
     chance = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 30))
     limit = F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30)))
     drawn = train.where(chance < limit).select("doc_id", "toxic", chance.alias("chance"), by_text(entry, "struct<t:array<bigint>,w:array<double>>")("text").alias("v"))
-    rows = sorted(drawn.limit(2 * total).collect(), key=lambda r: (r.doc_id, r.toxic))
+    got = drawn.limit(2 * total).toArrow().combine_chunks()
+    ids, ys, v = got["doc_id"].to_pylist(), got["toxic"].to_pylist(), pa.chunked_array(got["v"]).combine_chunks()
+    t, w = v.field("t"), v.field("w")
+    rows = sorted(range(len(ids)), key=lambda i: (ids[i], ys[i]))
     # a hash independent of the chance deals the rows to the index and to calibration
-    pick = [hash_of(r.doc_id) for r in rows]
-    examples = [r for r, p in zip(rows, pick) if p % 3][:EXAMPLES]
-    others = [r for r, p in zip(rows, pick) if p % 3 == 0][:CALIBRATION]
-    vectors = [(np.array(r.v.t, np.int64), np.array(r.v.w)) for r in examples]
-    # examples with like strongest terms stand together, so that blocks differ in their bounds
-    order = sorted(range(len(examples)), key=lambda i: (vectors[i][0][np.argmax(vectors[i][1])] if len(vectors[i][0]) else -1, examples[i].doc_id))
-    order = [i for i in order if len(vectors[i][0])]
-    index = BlockMaxIndex([vectors[i] for i in order], len(chosen))
-    model = Model(terms, index, np.array([float(examples[i].toxic) for i in order]), np.array([examples[i].doc_id for i in order]), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), toxic / n)
+    pick = [hash_of(ids[i]) for i in rows]
+    examples = [i for i, p in zip(rows, pick) if p % 3][:EXAMPLES]
+    others = [i for i, p in zip(rows, pick) if p % 3 == 0][:CALIBRATION]
+
+    def vector(i: int) -> tuple[np.ndarray, np.ndarray]:
+        return t[i].values.to_numpy().view(np.uint64), w[i].values.to_numpy()
+
+    examples = [i for i in examples if len(t[i].values)]
+    known, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *(vector(i)[0] for i in examples)]), return_counts=True)
+    vectors = {i: (np.searchsorted(known, vector(i)[0]), vector(i)[1]) for i in examples}
+    # examples with like strongest shared terms stand together, so that blocks differ in their bounds
+    shared = held >= BLOCK // 8
+    order = sorted(examples, key=lambda i: (vectors[i][0][np.argmax(vectors[i][1] * shared[vectors[i][0]])], ids[i]))
+    index = BlockMaxIndex([vectors[i] for i in order], len(known))
+    model = Model(terms, known, index, np.array([float(ys[i]) for i in order]), np.array([ids[i] for i in order]), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), toxic / n)
+    votes = [(model.vote(*vector(i))[0], ys[i]) for i in others]
     # undo the drawing shares: a sampled clean document stands for more than a toxic one
     weight = {k: 1 / s for k, s in shares.items()}
-    empty = {k: sum(weight[k] for r in others if not r.v.t and r.toxic == k) for k in (0, 1)}
+    empty = {k: sum(weight[k] for v, y in votes if v is None and y == k) for k in (0, 1)}
     model.without_terms = (empty[1] + toxic / n) / (empty[0] + empty[1] + 1)
-    votes = [(model.vote(np.array(r.v.t, np.int64), np.array(r.v.w))[0], r.toxic) for r in others if r.v.t]
     votes = [(v, y) for v, y in votes if v is not None]
     if len({y for _, y in votes}) == 2 and len(votes) >= 20:
         model.curve = monotone(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))

@@ -167,6 +167,22 @@ def test_toxic_documents_are_found(spark):
     assert all(r.evidence for r in found if r.predicted)
 
 
+def test_toxic_text_without_telling_words_has_its_twin_as_evidence(spark):
+    rng = np.random.default_rng(6)
+    plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(plain, 40)), int(i % 10 == 0)) for i in range(400)]
+    held = {r.doc_id for r in spark.createDataFrame([(i,) for i in range(2000)], "doc_id bigint").where(toxicity.held_out()).collect()}
+    learned = [i for i in range(400) if i % 10 == 0 and i not in held and toxicity.hash_of(i) % 3]
+    twins = dict(zip([i for i in range(1000, 2000) if i in held], learned))
+    texts = {i: t for i, t, _ in rows}
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(i, texts[j].upper()) for i, j in twins.items()], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    found = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    assert len(twins) > 10 and all(found[i].evidence[0] == j for i, j in twins.items())
+    clean = [found[i].score for i, _, y in rows if i in held and not y]
+    assert min(found[i].score for i in twins) > np.mean(clean)
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     rows = toxicity.toxicity(odd, labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
