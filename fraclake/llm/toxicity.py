@@ -29,6 +29,8 @@ from fraclake.llm.words import LETTERS, words
 
 EXAMPLES, CALIBRATION = 4000, 4000
 NEIGHBOURS, BLOCK = 15, 64
+#: Fewer votes than this are no curve: the vote itself is the score.
+LEAST_VOTES = 20
 #: What a unit of log odds adds to a term's relevance, and the standard errors taken off first.
 RELEVANCE, ERRORS = 10.0, 3.0
 
@@ -223,7 +225,7 @@ def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     """A rising curve through smoothed shares of equal-sized groups of votes (pooled where they fall)."""
     order = np.argsort(votes, kind="stable")
     pools: list[list[float]] = []
-    for part in np.array_split(order, max(1, min(20, len(order) // 20))):
+    for part in np.array_split(order, max(1, min(20, len(order) // 5))):
         pools.append([votes[part].sum(), labels[part].sum(), len(part)])
         while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
             last = pools.pop()
@@ -280,7 +282,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     empty = {k: sum(weight[k] for v, y in votes if v is None and y == k) for k in (0, 1)}
     model.without_terms = (empty[1] + toxic / n) / (empty[0] + empty[1] + 1)
     votes = [(v, y) for v, y in votes if v is not None]
-    if len({y for _, y in votes}) == 2 and len(votes) >= 20:
+    if len({y for _, y in votes}) == 2 and len(votes) >= LEAST_VOTES:
         model.curve = monotone(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
     return model
 

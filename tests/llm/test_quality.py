@@ -183,6 +183,14 @@ def test_toxic_text_without_telling_words_has_its_twin_as_evidence(spark):
     assert min(found[i].score for i in twins) > np.mean(clean)
 
 
+def test_toxic_documents_outrank_clean_ones_on_a_small_table(spark, small, documents):
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    rows = toxicity.toxicity(documents, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    toxic, clean = ([r.score for r in rows if r.toxic == y] for y in (1, 0))
+    assert toxic and clean and np.mean(toxic) > np.mean(clean)
+    assert all(r.evidence for r in rows)
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     rows = toxicity.toxicity(odd, labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
