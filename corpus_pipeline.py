@@ -21,8 +21,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines their source repeats."""
-    return line_frequency.without_boilerplate(docs)
+    """Documents without the lines their source repeats; near copies, one of which the next
+    stage keeps, count once."""
+    return line_frequency.without_boilerplate(docs, near=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

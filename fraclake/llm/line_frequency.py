@@ -2,8 +2,9 @@
 
 Pages are grouped by site. A line's frequency is the number of the site's pages that hold it
 over the number of the site's pages; copies of one page count as one page on both sides, so a
-page that was fetched often does not make its own text look like boilerplate. Lines at or
-above the ratio are dropped from every page of the site.
+page that was fetched often does not make its own text look like boilerplate. On request near
+copies count as one page too, with the links of near-dedup. Lines at or above the ratio are
+dropped from every page of the site.
 
 Lines are compared without blanks around them, by a 64-bit hash; blank lines stay. Only
 hashes are shuffled for counting, pre-aggregated per (site, line), so a site with a third of
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraclake.llm.frames import fresh, small_side, stored
+from fraclake.llm.near_duplicates import link
+from fraclake.shared import passing
 
 RATIO, LEAST_PAGES = 0.02, 5
 #: Fixed value: the blanks taken off both ends of a line.
@@ -30,22 +33,41 @@ def _hash(line: Column) -> Column:
     return F.xxhash64(_bare(line))
 
 
-def boilerplate(pages: DataFrame, site: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES) -> DataFrame:
-    """(site, lines): hashes of the lines on at least ``ratio`` of the site's pages, and on ``least`` of them."""
+def copy_groups(pages: DataFrame) -> DataFrame:
+    """(t1, copies): the group of near copies that each text with a doc_id is in."""
+    with passing(pages.sparkSession) as made:
+        linked = link(pages.select("doc_id", "text", F.xxhash64("text").alias("copy_t1")), also=("copy_t1",)).where("component_id is not null")
+        groups = stored(linked.groupBy(F.col("copy_t1").alias("t1")).agg(F.min("component_id").alias("copies")), "copy-groups")
+        made.pop()
+    return groups
+
+
+def boilerplate(pages: DataFrame, site: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES, near: bool = False) -> DataFrame:
+    """(site, lines): hashes of the lines on at least ``ratio`` of the site's pages, and on ``least`` of them.
+
+    With ``near``, a group of near copies is one page that holds the lines of all.
+    """
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: _bare(x) != "")
     page = pages.select(F.col(site).alias("site"), F.xxhash64("text").alias("t1"), F.hash("text").alias("t2"),
                         F.array_distinct(F.transform(lines, _hash)).alias("lines"))
     distinct = stored(page.groupBy("site", "t1", "t2").agg(F.any_value("lines").alias("lines")), "site-pages")
-    totals = distinct.groupBy("site").agg(F.count("*").alias("pages"))
-    counts = distinct.select("site", F.explode("lines").alias("line")).groupBy("site", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    each, found = distinct, distinct.select("site", F.explode("lines").alias("line"))
+    if near:
+        named = distinct.join(copy_groups(pages), "t1", "left")
+        # a text in no group is told apart by its hashes
+        own = [F.when(F.col("copies").isNull(), F.col(c)).alias(c) for c in ("t1", "t2")]
+        each = named.select("site", "copies", *own).distinct()
+        found = named.select("site", "copies", *own, F.explode("lines").alias("line")).distinct()
+    totals = each.groupBy("site").agg(F.count("*").alias("pages"))
+    counts = found.groupBy("site", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     joined = counts.join(totals.withColumnRenamed("site", "s"), F.col("site").eqNullSafe(F.col("s")))
     often = joined.where(F.col("n") >= ratio * F.col("pages"))
     return often.groupBy("site").agg(F.collect_set("line").alias("lines"))
 
 
-def reported(pages: DataFrame, site: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES) -> tuple[DataFrame, str]:
+def reported(pages: DataFrame, site: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES, near: bool = False) -> tuple[DataFrame, str]:
     """``pages`` with a struct column (n_lines, n_dropped, text), and that column's name."""
-    found = stored(boilerplate(pages, site, ratio, least), "boilerplate")
+    found = stored(boilerplate(pages, site, ratio, least, near), "boilerplate")
     name, key, bad = (fresh(pages, n) for n in ("cleaned", "site_key", "site_lines"))
     renamed = found.select(F.col("site").alias(key), F.col("lines").alias(bad))
     joined = pages.join(small_side(renamed), F.col(f"`{site}`").eqNullSafe(F.col(key)), "left")
@@ -60,14 +82,15 @@ def reported(pages: DataFrame, site: str = "source", ratio: float = RATIO, least
     return joined.withColumn(name, cleaned).drop(key, bad), name
 
 
-def without_boilerplate(docs: DataFrame, site: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES) -> DataFrame:
+def without_boilerplate(docs: DataFrame, site: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES, near: bool = False) -> DataFrame:
     """``docs`` without their sites' boilerplate lines.
 
     ``n_chars``, where there is one, follows the text. Documents of which only blanks are
     left are dropped; documents without such lines stay untouched, empty and null ones too.
-    Rows without a site form a site. Repeated rows are cleaned alike.
+    Rows without a site form a site. Repeated rows are cleaned alike. With ``near``, near
+    copies count as one page; that needs a doc_id.
     """
-    found, name = reported(docs, site, ratio, least)
+    found, name = reported(docs, site, ratio, least, near)
     cut = F.col(f"{name}.n_dropped") > 0
     text = F.col(f"{name}.text")
     out = found.where(~cut | (_bare(F.replace(text, F.lit("\n"), F.lit(""))) != ""))

@@ -154,8 +154,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return checked.where(100 * F.col("s.common") >= percent * (F.col("s.n_a") + F.col("s.n_b") - F.col("s.common"))).select("a", "b").distinct()
 
 
-def link(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of (doc_id, text).
+def link(docs: DataFrame, percent: int = 75, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) and the columns ``also`` for each row of (doc_id, text).
 
     Texts are linked when their sets of shingles have a similarity of ``percent`` / 100 or
     more; component_id is the smallest doc_id reachable by links. A text with fewer words
@@ -164,7 +164,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     component_id and is kept. Rows that repeat a doc_id each stand for themselves.
     """
     named = docs.select("doc_id", "text")
-    sketched = stored(named.select("doc_id", by_text(sketches, f"struct<{SKETCH}>")("text").alias("s")).select("doc_id", "s.*"), "sketches")
+    sketched = stored(docs.select("doc_id", *also, by_text(sketches, f"struct<{SKETCH}>")("text").alias("s")).select("doc_id", *also, "s.*"), "sketches")
     full = sketched.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = stored(full.groupBy("n", "set").agg(F.min_by(F.struct("doc_id", "bands", "bits"), "doc_id").alias("r"))
                      .select("n", "set", F.col("r.doc_id").alias("rep"), "r.bands", "r.bits"), "classes")
@@ -200,7 +200,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     out = sketched.join(resolved, ["n", "set"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), *also)
 
 
 def representatives(docs: DataFrame, percent: int = 75) -> DataFrame:

@@ -3,14 +3,18 @@ how narrow inputs are widened."""
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: list[str] = []
 _folders: list[str] = []
 _databases: list[str] = []
+_passing: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("passing", default=None)
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -27,8 +31,26 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="fraclake-"))
         root = _local_root[0]
-    _folders.append(f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}")
-    return _folders[-1]
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _folders.append(path)
+    if (made := _passing.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """Folders made inside are removed at the end, but for those taken out of the list."""
+    made: list[str] = []
+    token = _passing.set(made)
+    try:
+        yield made
+    finally:
+        _passing.reset(token)
+        for folder in made:
+            store, path = _hadoop(spark, folder)
+            store.delete(path, True)
+            _folders.remove(folder)
 
 
 def fresh_database(spark: SparkSession) -> str:

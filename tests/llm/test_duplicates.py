@@ -153,3 +153,20 @@ def queries_stored(df, name):
     from fraclake.llm.frames import stored
 
     return stored(df, name.replace(" ", "-"))
+
+
+def test_near_copies_leave_their_representative_whole(spark):
+    import corpus_pipeline
+
+    def lines(key, n):
+        return [" ".join(f"{key}w{i}x{j}" for j in range(20)) for i in range(n)]
+
+    copied = lines("copied", 6)
+    rows = [(i, "\n".join([*copied, f"changed to {i}", "the footer"]), "site") for i in range(80)]
+    rows += [(i, "\n".join([*lines(f"own{i}", 2), "the footer"]), "site") for i in range(80, 120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    cleaned = corpus_pipeline.lines(spark, docs, "")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.near_copies(spark, cleaned, "").collect()}
+    assert sorted(kept) == [0, *range(80, 120)]
+    assert kept[0] == "\n".join([*copied, "changed to 0"])
+    assert all("the footer" not in t for t in kept.values())
