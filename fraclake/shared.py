@@ -4,7 +4,6 @@ how narrow inputs are widened."""
 from __future__ import annotations
 
 import contextlib
-import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 _local_root: list[str] = []
 _folders: list[str] = []
 _databases: list[str] = []
-_passing: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("passing", default=None)
+#: one list for each ``passing`` block that is open; plain lists, since functions sent to tasks may take globals along
+_passing: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -33,8 +33,8 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         root = _local_root[0]
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _folders.append(path)
-    if (made := _passing.get()) is not None:
-        made.append(path)
+    if _passing:
+        _passing[-1].append(path)
     return path
 
 
@@ -42,11 +42,11 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 def passing(spark: SparkSession) -> Iterator[list[str]]:
     """Folders made inside are removed at the end, but for those taken out of the list."""
     made: list[str] = []
-    token = _passing.set(made)
+    _passing.append(made)
     try:
         yield made
     finally:
-        _passing.reset(token)
+        _passing.remove(made)
         for folder in made:
             store, path = _hadoop(spark, folder)
             store.delete(path, True)
