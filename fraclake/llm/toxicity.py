@@ -3,8 +3,9 @@
 Terms are lower-cased runs of letters, and a vector holds every term of its text. A term's
 weight is (1 + log tf) times its idf times its relevance: 1 for most terms, more for those
 that toxic training documents hold significantly more often (near copies counted once). The
-idf counts all training documents; a term that at most one of them holds counts as held by
-one and has relevance 1, so only the others are listed. A bounded sample of labelled documents is
+idf counts all training documents for every term of the examples; a term that no example holds
+counts as held by one document and has relevance 1, so what a task needs to know of terms is
+bounded by the examples. A bounded sample of labelled documents is
 indexed: postings per term, examples in blocks, and per term and block the largest weight. A
 query adds up those bounds per block, reads blocks from the highest bound on, and stops when no
 block left can reach the k-th best cosine; so the k nearest are exact. Votes are weighted by
@@ -29,8 +30,6 @@ from fraclake.llm.words import LETTERS, words
 
 EXAMPLES, CALIBRATION = 4000, 4000
 NEIGHBOURS, BLOCK = 15, 64
-#: Fewer votes than this are no curve: the vote itself is the score.
-LEAST_VOTES = 20
 #: What a unit of log odds adds to a term's relevance, and the standard errors taken off first.
 RELEVANCE, ERRORS = 10.0, 3.0
 
@@ -58,50 +57,59 @@ def with_first(train: DataFrame) -> DataFrame:
     return train.join(small_side(stored(chosen, "chosen-copies")), ["doc_id", "toxic"], "left").withColumn("first", F.coalesce("first", F.lit(0)))
 
 
-def distinct_terms(column: pa.Array) -> pa.Array:
-    """Hashes of the distinct terms of each lower-cased text."""
-    found = words(column, LETTERS)
-    sets = [np.unique(found.hash[lo:hi]) for lo, hi in zip(found.row, found.row[1:])]
-    ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, found.hash[:0]]).view(np.int64)))
-
-
 @dataclass
 class Terms:
-    """Hashes of the terms that two or more training documents hold, sorted, with idf times
-    relevance; and the idf of all other terms."""
+    """Hashes of the examples' terms, sorted, with idf times relevance; and the idf of all other terms."""
 
     hashes: np.ndarray
     idf: np.ndarray
     rare: float
 
-    @staticmethod
-    def of(train: DataFrame, n: int) -> Terms:
-        """Of ``n`` training documents of both labels."""
-        marked = with_first(train)
-        totals = marked.agg(F.sum(F.col("first") * F.col("toxic")).alias("toxic"), F.sum(F.col("first") * (1 - F.col("toxic"))).alias("clean")).first()
-        terms = marked.select("toxic", "first", F.explode(by_text(distinct_terms, "array<bigint>")("text")).alias("term"))
-        counts = terms.groupBy("term").agg(F.count("*").alias("df"), F.sum(F.col("first") * F.col("toxic")).alias("a"), F.sum(F.col("first")).alias("of")).where("df > 1")
-        a, c = F.col("a") + 0.5, F.col("of") - F.col("a") + 0.5
-        odds = F.log(a / (totals.toxic + 1)) - F.log(c / (totals.clean + 1)) - ERRORS * F.sqrt(1 / a + 1 / c)
-        weight = (F.log((n + 1) / (F.col("df") + 1)) + 1) * (1 + RELEVANCE * F.greatest(odds, F.lit(0.0)))
-        got = counts.select("term", weight.alias("weight")).toArrow()
-        hashes = got["term"].to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        return Terms(hashes[order], got["weight"].to_numpy()[order], float(np.log((n + 1) / 2) + 1))
+    def weights(self, terms: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """The unit TF-IDF vector of a text with these terms."""
+        idf = np.full(len(terms), self.rare)
+        at, known = places(self.hashes, terms)
+        idf[known] = self.idf[at]
+        out = (1 + np.log(times)) * idf
+        return out / max(1e-12, np.sqrt((out**2).sum()))
 
     def vectors(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Unit TF-IDF vectors of lower-cased texts as (hashes of terms ascending, weights)."""
+        """Vectors of lower-cased texts as (hashes of terms ascending, weights)."""
+        return [(terms, self.weights(terms, times)) for terms, times in term_counts(column)]
+
+
+def term_counts(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct terms of each lower-cased text, and how often it holds them."""
+    found = words(column, LETTERS)
+    return [np.unique(found.hash[lo:hi], return_counts=True) for lo, hi in zip(found.row, found.row[1:])]
+
+
+def drawn_entry(column: pa.Array) -> pa.Array:
+    found = term_counts(column)
+    kind = pa.list_(pa.int64())
+    return pa.StructArray.from_arrays([pa.array([t.view(np.int64) for t, _ in found], kind), pa.array([n for _, n in found], kind)], names=["t", "n"])
+
+
+def weighed(train: DataFrame, n: int, wanted: np.ndarray) -> Terms:
+    """The terms ``wanted`` (ascending), weighed by all ``n`` training documents of both labels."""
+
+    def held(column: pa.Array) -> pa.Array:
         found = words(column, LETTERS)
-        out = []
-        for lo, hi in zip(found.row, found.row[1:]):
-            terms, times = np.unique(found.hash[lo:hi], return_counts=True)
-            idf = np.full(len(terms), self.rare)
-            at, known = places(self.hashes, terms)
-            idf[known] = self.idf[at]
-            weights = (1 + np.log(times)) * idf
-            out.append((terms, weights / max(1e-12, np.sqrt((weights**2).sum()))))
-        return out
+        sets = [wanted[places(wanted, np.unique(found.hash[lo:hi]))[0]] for lo, hi in zip(found.row, found.row[1:])]
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, wanted[:0]]).view(np.int64)))
+
+    marked = with_first(train)
+    totals = marked.agg(F.sum(F.col("first") * F.col("toxic")).alias("toxic"), F.sum(F.col("first") * (1 - F.col("toxic"))).alias("clean")).first()
+    terms = marked.select("toxic", "first", F.explode(by_text(held, "array<bigint>")("text")).alias("term"))
+    counts = terms.groupBy("term").agg(F.count("*").alias("df"), F.sum(F.col("first") * F.col("toxic")).alias("a"), F.sum(F.col("first")).alias("of")).where("df > 1")
+    a, c = F.col("a") + 0.5, F.col("of") - F.col("a") + 0.5
+    odds = F.log(a / (totals.toxic + 1)) - F.log(c / (totals.clean + 1)) - ERRORS * F.sqrt(1 / a + 1 / c)
+    weight = (F.log((n + 1) / (F.col("df") + 1)) + 1) * (1 + RELEVANCE * F.greatest(odds, F.lit(0.0)))
+    got = counts.select("term", weight.alias("weight")).toArrow()
+    hashes = got["term"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return Terms(hashes[order], got["weight"].to_numpy()[order], float(np.log((n + 1) / 2) + 1))
 
 
 def places(listed: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,16 +229,22 @@ class Model:
         return float(np.interp(vote, *self.curve)), [int(self.ids[i]) for _, i in near]
 
 
-def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A rising curve through smoothed shares of equal-sized groups of votes (pooled where they fall)."""
-    order = np.argsort(votes, kind="stable")
+def monotone(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A rising curve through smoothed shares of equal-sized groups of votes (pooled where they fall).
+
+    Two votes of weight 1 are added, a clean one of 0 and a toxic one of 1, so that the curve
+    is made alike from any number of votes.
+    """
+    votes, labels, weights = np.append(votes, [0.0, 1.0]), np.append(labels, [0.0, 1.0]), np.append(weights, [1.0, 1.0])
+    order = np.lexsort((labels, votes))
     pools: list[list[float]] = []
-    for part in np.array_split(order, max(1, min(20, len(order) // 5))):
-        pools.append([votes[part].sum(), labels[part].sum(), len(part)])
+    for part in np.array_split(order, max(2, min(20, len(order) // 5))):
+        w = weights[part]
+        pools.append([w @ votes[part], w @ labels[part], w.sum()])
         while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
-    share = labels.mean()
+    share = weights @ labels / weights.sum()
     return np.array([p[0] / p[2] for p in pools]), np.array([(p[1] + share) / (p[2] + 1) for p in pools])
 
 
@@ -238,41 +252,40 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model, or None where training documents of one of the two labels are missing.
 
     Examples and calibration documents are drawn by hash of doc_id, toxic ones with a share of
-    their own, and are at most EXAMPLES and CALIBRATION in number.
+    their own, and are the first EXAMPLES and CALIBRATION by that hash. Calibration documents
+    count as many times as there are training documents of their label for one that was drawn.
     """
     train = labelled(docs, labels)
     toxic, n = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)).cast("long"), F.count("*")).first()
     if not toxic or toxic == n:
         return None
-    terms = Terms.of(train, n)
-
-    def entry(column: pa.Array) -> pa.Array:
-        found = terms.vectors(column)
-        kinds = pa.list_(pa.int64()), pa.list_(pa.float64())
-        return pa.StructArray.from_arrays([pa.array([t.view(np.int64) for t, _ in found], kinds[0]), pa.array([w for _, w in found], kinds[1])], names=["t", "w"])
-
     total = EXAMPLES + CALIBRATION
     shares = {1: min(1.0, total / 2 / toxic), 0: min(1.0, total / 2 / (n - toxic))}
     chance = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 30))
     limit = F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30)))
-    drawn = train.where(chance < limit).select("doc_id", "toxic", chance.alias("chance"), by_text(entry, "struct<t:array<bigint>,w:array<double>>")("text").alias("v"))
+    drawn = train.where(chance < limit).select("doc_id", "toxic", chance.alias("chance"), by_text(drawn_entry, "struct<t:array<bigint>,n:array<bigint>>")("text").alias("v"))
     got = drawn.limit(2 * total).toArrow().combine_chunks()
-    ids, ys, v = got["doc_id"].to_pylist(), got["toxic"].to_pylist(), pa.chunked_array(got["v"]).combine_chunks()
-    t, w = v.field("t"), v.field("w")
-    rows = sorted(range(len(ids)), key=lambda i: (ids[i], ys[i]))
+    ids, ys, chances, v = got["doc_id"].to_pylist(), got["toxic"].to_pylist(), got["chance"].to_pylist(), pa.chunked_array(got["v"]).combine_chunks()
+    t, times = v.field("t"), v.field("n")
+    rows = sorted(range(len(ids)), key=lambda i: (chances[i], ids[i], ys[i]))
     # a hash independent of the chance deals the rows to the index and to calibration
     pick = [hash_of(ids[i]) for i in rows]
     examples = [i for i, p in zip(rows, pick) if p % 3][:EXAMPLES]
     others = [i for i, p in zip(rows, pick) if p % 3 == 0][:CALIBRATION]
+    examples = [i for i in examples if len(t[i].values)]
+
+    def held(i: int) -> np.ndarray:
+        return t[i].values.to_numpy().view(np.uint64)
+
+    known, texts = np.unique(np.concatenate([np.zeros(0, np.uint64), *(held(i) for i in examples)]), return_counts=True)
+    terms = weighed(train, n, known)
 
     def vector(i: int) -> tuple[np.ndarray, np.ndarray]:
-        return t[i].values.to_numpy().view(np.uint64), w[i].values.to_numpy()
+        return held(i), terms.weights(held(i), times[i].values.to_numpy())
 
-    examples = [i for i in examples if len(t[i].values)]
-    known, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *(vector(i)[0] for i in examples)]), return_counts=True)
-    vectors = {i: (np.searchsorted(known, vector(i)[0]), vector(i)[1]) for i in examples}
+    vectors = {i: (np.searchsorted(known, held(i)), vector(i)[1]) for i in examples}
     # examples with like strongest shared terms stand together, so that blocks differ in their bounds
-    shared = held >= BLOCK // 8
+    shared = texts >= BLOCK // 8
     order = sorted(examples, key=lambda i: (vectors[i][0][np.argmax(vectors[i][1] * shared[vectors[i][0]])], ids[i]))
     index = BlockMaxIndex([vectors[i] for i in order], len(known))
     model = Model(terms, known, index, np.array([float(ys[i]) for i in order]), np.array([ids[i] for i in order]), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), toxic / n)
@@ -282,8 +295,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     empty = {k: sum(weight[k] for v, y in votes if v is None and y == k) for k in (0, 1)}
     model.without_terms = (empty[1] + toxic / n) / (empty[0] + empty[1] + 1)
     votes = [(v, y) for v, y in votes if v is not None]
-    if len({y for _, y in votes}) == 2 and len(votes) >= LEAST_VOTES:
-        model.curve = monotone(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
+    model.curve = monotone(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]), np.array([weight[y] for _, y in votes]))
     return model
 
 
