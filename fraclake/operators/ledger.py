@@ -55,13 +55,33 @@ def upsert(ledger: DataFrame, listed: DataFrame, now: float, order: str | None =
         "id", *_KEY, fresh("_url", "url"), fresh("_size", "size"), fresh("_mtime", "mtime"),
         "status", "tries", "last_error", "out_path",
         F.when(listed_now, stamp).otherwise(F.col("updated_at")).alias("updated_at"), "created_at")
-    added = _numbered(joined.where("_known IS NULL").select(*_KEY, "_url", "_size", "_mtime"), joined.where("_known"))
+    new = _new_rows(joined.where("_known IS NULL"), joined.where("_known"), now)
+    return kept.select(*_COLUMNS).unionByName(new)
+
+
+def upsert_rows(ledger: DataFrame, listed: DataFrame, now: float, order: str | None = None, touch: bool = True) -> DataFrame:
+    """Only the rows that ``upsert`` refreshes or adds, for a ledger that takes changes as rows.
+
+    The ledger is read once and stays in place where the listing is small: Spark sends
+    the listing to it.
+    """
+    seen = latest_listing(listed, order).select(*_KEY, *[F.col(c).alias(f"_{c}") for c in ("url", "size", "mtime")])
+    known = stored(ledger.join(seen, _KEY), "known-files")
+    stamp = F.lit(float(now)) if touch else F.col("updated_at")
+    kept = known.withColumns({"url": F.col("_url"), "size": F.col("_size"), "mtime": F.col("_mtime"), "updated_at": stamp})
+    new = _new_rows(seen.join(known.select(*_KEY), _KEY, "left_anti"), ledger, now)
+    return kept.select(*_COLUMNS).unionByName(new)
+
+
+def _new_rows(listed: DataFrame, ledger: DataFrame, now: float) -> DataFrame:
+    """Files that are waiting, with ids after those of the ledger."""
+    added = _numbered(listed.select(*_KEY, "_url", "_size", "_mtime"), ledger)
     new = added.select("id", *_KEY, F.col("_url").alias("url"), F.col("_size").alias("size"),
                        F.col("_mtime").alias("mtime"), F.lit("PENDING").alias("status"),
                        F.lit(0).alias("tries"), F.lit(None).cast("string").alias("last_error"),
                        F.lit(None).cast("string").alias("out_path"), F.lit(float(now)).alias("updated_at"),
                        F.lit(float(now)).alias("created_at"))
-    return kept.select(*_COLUMNS).unionByName(new.select(*_COLUMNS))
+    return new.select(*_COLUMNS)
 
 
 def _numbered(new: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -100,9 +120,18 @@ def apply_outcomes(ledger: DataFrame, outcomes: DataFrame, keep_error: bool = Fa
     is the other convention in use: success leaves the error text alone and failure
     leaves out_path alone.
     """
+    return _with_outcomes(ledger, outcomes, keep_error, "left")
+
+
+def outcome_rows(ledger: DataFrame, outcomes: DataFrame, keep_error: bool = False) -> DataFrame:
+    """Only the rows that ``apply_outcomes`` changes."""
+    return _with_outcomes(ledger, outcomes, keep_error, "inner")
+
+
+def _with_outcomes(ledger: DataFrame, outcomes: DataFrame, keep_error: bool, how: str) -> DataFrame:
     result = F.struct("ts", (F.col("status") == "DONE").alias("won"), "status", "out_path", "error")
     last = outcomes.groupBy("id").agg(F.max(result).alias("_o"), F.count_if("inc_tries").alias("_more"))
-    joined = ledger.join(last, "id", "left")
+    joined = ledger.join(last, "id", how)
     done = F.col("_o").isNotNull()
     path, error = F.col("_o.out_path"), F.col("_o.error")
     if keep_error:

@@ -10,8 +10,9 @@ from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, kn
 from fraclake.plans.listings import BASE, listing_pages, sql_candidates
 from fraclake.shared import fresh_database, shared_folder
 from fraclake.sinks.archives import write_files
-from fraclake.streaming.ingest import (compact_table, feed_ledger, grow_unique_set, grow_unique_table, ingest_archives, ingested,
-                                       ingested_hashes, read_ledger_version, record_outcomes)
+from fraclake.streaming.ingest import (compact_table, compact_unique_set, grow_unique_set, grow_unique_table, ingest_archives, ingested,
+                                       ingested_hashes, read_grown_set, read_grown_table)
+from fraclake.streaming.ledger import compact_ledger, feed_ledger, read_ledger_version, record_outcomes
 
 CLOCK = 1705708800.0
 STEP = 100.0
@@ -60,17 +61,18 @@ def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
         hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
         grow_unique_table(hashes, name, f"{base}/checkpoint", 8).awaitTermination()
     compact_table(spark, name, 8)
-    return spark.table(name).select("ksize", "hash")
+    return read_grown_table(spark, name)
 
 
 def stream_unique_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same into a folder split by k."""
+    """The same into a folder whose additions are commits, compacted once there are two."""
     base = shared_folder(spark, "stream-folder")
     for bag in (sold_keys(spark, sf_dir), known_keys(spark, sf_dir)):
         _with_null(bag).write.mode("append").parquet(f"{base}/in")
         hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
         grow_unique_set(hashes, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.schema("hash bigint, ksize int").parquet(f"{base}/out").select("ksize", "hash")
+        compact_unique_set(spark, f"{base}/out", keep=1)
+    return read_grown_set(spark, f"{base}/out")
 
 
 def stream_unique_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,12 +82,12 @@ def stream_unique_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         bag.write.mode("append").parquet(f"{base}/in")
         hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
         grow_unique_table(hashes, table_name, f"{base}/checkpoint", 8).awaitTermination()
-    return spark.table(table_name).select("ksize", "hash")
+    return read_grown_table(spark, table_name)
 
 
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages arrive in two parts; between them, outcomes of every third file are
-    recorded, and the second part leaves them alone."""
+    recorded and all changes are folded into the base; the second part leaves them alone."""
     base = shared_folder(spark, "stream-ledger")
     pages = listing_pages(table(spark, sf_dir, "pages"))
     odd = F.col("page_id") % 2 == 1
@@ -98,7 +100,8 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         done = waiting.where("id % 3 = 0").select(
             "id", F.lit("DONE").alias("status"), F.concat(F.lit("/done/"), "filename").alias("out_path"),
             F.lit(None).cast("string").alias("error"), F.lit(False).alias("inc_tries"), F.lit(CLOCK + 1).alias("ts"))
-        record_outcomes(spark, f"{base}/out", done, "first-outcomes")  # the second time it is known
+        record_outcomes(spark, f"{base}/out", done, "outcomes@noon/1")  # the second time it is known
+        compact_ledger(spark, f"{base}/out")
     return read_ledger_version(spark, f"{base}/out")
 
 

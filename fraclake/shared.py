@@ -4,10 +4,12 @@ how narrow inputs are widened."""
 from __future__ import annotations
 
 import contextlib
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: list[str] = []
@@ -91,6 +93,50 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be renamed to {target}")
 
 
+def delete(spark: SparkSession, uri: str) -> None:
+    store, path = _hadoop(spark, uri)
+    store.delete(path, True)
+
+
+def claim(spark: SparkSession, uri: str, text: str) -> bool:
+    """Create a file with this text; False if there is one already. Of several callers at once one succeeds.
+
+    The text is written under another name first. On a local file system it then gets its
+    name by a link, on HDFS by a rename, both of which fail where there is a file. Other
+    stores publish a file whole when it is closed and are asked not to overwrite.
+    """
+    store, path = _hadoop(spark, uri)
+    scheme = store.getUri().getScheme()
+    store.mkdirs(path.getParent())
+    if scheme not in ("file", "hdfs", "viewfs", "webhdfs"):
+        try:
+            _put(store, path, text)
+        except Py4JJavaError as problem:
+            if "FileAlreadyExists" not in problem.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+    partial = path.suffix(f".{uuid.uuid4().hex}.part")
+    _put(store, partial, text)
+    try:
+        if scheme != "file":
+            return store.rename(partial, path)
+        os.link(partial.toUri().getPath(), path.toUri().getPath())
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        store.delete(partial, False)
+
+
+def _put(store, path, text: str) -> None:
+    stream = store.create(path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def entries(spark: SparkSession, uri: str) -> list[str]:
     """Names directly below a folder; none if it does not exist."""
     store, path = _hadoop(spark, uri)

@@ -7,16 +7,15 @@ executors and of the driver. Replaying a micro-batch changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fraclake.operators.hash_sets import difference, unique_hashes
-from fraclake.operators.ledger import apply_outcomes, upsert
-from fraclake.operators.listing import listing_candidates
 from fraclake.shared import entries, exists, stored
 from fraclake.sources.archives import decode_archive_files, flat_hashes, list_archives
-from fraclake.types import LEDGER
+from fraclake.streaming.commits import State, commit, forget, newest
 
 FLAT = "hash bigint, scaled bigint, source_file string, sketch_name string, run int, ksize int"
 INGESTED = "path string, length bigint, member string, status string, error string, run int"
@@ -63,11 +62,6 @@ def ingested_hashes(spark: SparkSession, out: str, log: str) -> DataFrame:
     return spark.read.schema(FLAT).parquet(out).where(F.col("run").isin(*runs))
 
 
-def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A stored table, or no rows when it does not exist yet; other faults are faults."""
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
-
-
 def missing_hashes(hashes: DataFrame, stored_set: DataFrame, hint: str | None = None) -> DataFrame:
     """Distinct (ksize, hash) rows that the stored set lacks; a NULL hash is one value per k.
 
@@ -85,34 +79,75 @@ def missing_hashes(hashes: DataFrame, stored_set: DataFrame, hint: str | None =
 def grow_unique_set(hashes: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Keep a stored set of distinct (ksize, hash) up to date with a stream of hashes.
 
-    Each micro-batch appends what the set does not hold yet. A batch that is replayed
-    finds its own rows there and appends nothing; deduplication state in the stream
-    would instead have to hold every hash for ever. The stored side is shuffled every
-    time: for a set that grows large use ``grow_unique_table``.
+    Each micro-batch commits a folder with what the set does not hold yet. A batch that is
+    replayed finds its own rows there and adds nothing; deduplication state in the stream
+    would instead have to hold every hash for ever. Streams may share a set, and it may be
+    compacted meanwhile. The stored side is shuffled every time: for a set that grows large
+    use ``grow_unique_table``.
     """
 
     def add(batch: DataFrame, _batch_id: int) -> None:
-        present = read_stored(batch.sparkSession, out, "hash bigint, ksize int")
-        new = missing_hashes(batch, present)
-        new.hint("rebalance", "ksize").write.mode("append").partitionBy("ksize").parquet(out)
+        spark = batch.sparkSession
+
+        def step(state: State, _number: int, folder: Callable[[str], str]) -> State | None:
+            path = f"{out.rstrip('/')}/{(name := folder('added'))}"
+            missing_hashes(batch, _grown(spark, out, state)).hint("rebalance", "ksize").write.partitionBy("ksize").parquet(path)
+            if not any("=" in n for n in entries(spark, path)):
+                return None
+            return state | {"folders": [*state.get("folders", []), name]}
+
+        commit(spark, out, step)
 
     return (hashes.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def read_grown_set(spark: SparkSession, out: str) -> DataFrame:
+    """(ksize, hash) of a set that streams keep up to date."""
+    return _grown(spark, out, newest(spark, out)[1])
+
+
+def _grown(spark: SparkSession, out: str, state: State) -> DataFrame:
+    parts = [spark.read.schema("hash bigint, ksize int").parquet(f"{out.rstrip('/')}/{folder}").select("ksize", "hash")
+             for folder in state.get("folders", [])]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "ksize int, hash bigint")
+
+
+def compact_unique_set(spark: SparkSession, out: str, keep: int | None = None) -> int:
+    """Write the folders of a grown set as one. Streams may go on adding: what they commit
+    meanwhile stays beside it. ``keep`` removes all but the last versions."""
+
+    def step(state: State, _number: int, folder: Callable[[str], str]) -> State | None:
+        if len(state.get("folders", [])) < 2:
+            return None
+        name = folder("whole")
+        rows = _grown(spark, out, state).hint("rebalance", "ksize").sortWithinPartitions("ksize", "hash")
+        rows.write.partitionBy("ksize").parquet(f"{out.rstrip('/')}/{name}")
+        return state | {"folders": [name]}
+
+    def carry(before: State, result: State, now: State) -> State | None:
+        done = before["folders"]
+        return now | {"folders": result["folders"] + now["folders"][len(done):]} if now["folders"][:len(done)] == done else None
+
+    number = commit(spark, out, step, rebase=carry)
+    if keep:
+        forget(spark, out, keep)
+    return number
+
+
 def grow_unique_table(hashes: DataFrame, table: str, checkpoint: str, buckets: int) -> StreamingQuery:
     """The same for a catalog table bucketed by (ksize, hash).
 
     The stored side of the difference is read in place, bucket by bucket: only the
     hashes of the micro-batch are shuffled, however large the table has become. Their
     shuffle follows the buckets, so each batch adds one file per bucket; ``compact_table``
-    makes them one again.
+    makes them one again. ``table`` is a view of the generation that counts.
     """
 
     def add(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        present = spark.table(table) if spark.catalog.tableExists(table) else spark.createDataFrame([], "ksize int, hash bigint")
-        _append_buckets(missing_hashes(batch, present, "merge"), table, buckets)
+        present = open_generation(spark, table, buckets)
+        _append_buckets(missing_hashes(batch, spark.table(present), "merge"), present, buckets)
 
     return (hashes.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -123,82 +158,64 @@ def _append_buckets(rows: DataFrame, table: str, buckets: int) -> None:
      .bucketBy(buckets, "ksize", "hash").sortBy("ksize", "hash").saveAsTable(table))
 
 
-def compact_table(spark: SparkSession, table: str, buckets: int) -> None:
-    """Rewrite a bucketed table with one file per bucket. Not while a stream appends to it."""
-    fresh = f"{table}_compacted"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    _append_buckets(spark.table(table), fresh, buckets)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+_GENERATION = "fraclake.generation"
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/version={version}"
+def _generations(spark: SparkSession, table: str) -> dict[int, str]:
+    """The stored generations of a table, pointed at or not."""
+    database, _, name = table.rpartition(".")
+    found = spark.catalog.listTables(database or None, f"{name}__g*")
+    return {int(t.name.removeprefix(f"{name.lower()}__g")): f"{table}__g{t.name.removeprefix(f'{name.lower()}__g')}" for t in found}
 
 
-def newest_version(spark: SparkSession, root: str) -> int:
-    """The last version of the ledger that was written to the end; 0 before the first."""
-    return max(committed(spark, root.rstrip("/"), "version"), default=0)
+def _pointed(spark: SparkSession, table: str) -> int | None:
+    """The generation the view shows; None without a view."""
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "VIEW":
+        return None
+    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_GENERATION}')").first()["value"])
 
 
-def read_ledger_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The newest version of the stored ledger, or the one named."""
-    version = newest_version(spark, root) if version is None else version
-    return spark.read.schema(LEDGER).parquet(version_path(root, version)) if version else spark.createDataFrame([], LEDGER)
+def _point(spark: SparkSession, table: str, number: int) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{_GENERATION}' = '{number}') AS SELECT * FROM {table}__g{number}")
 
 
-def publish(spark: SparkSession, root: str, source: str, change: Callable[[DataFrame], DataFrame], keep: int | None = None) -> int:
-    """Write the next version of the ledger, and return its number.
+def open_generation(spark: SparkSession, table: str, buckets: int) -> str:
+    """The name of the stored table behind ``table``, made if there is none.
 
-    A version is never overwritten once it is complete. ``source`` names what is applied: a
-    source that has been applied before, in any order with others, changes nothing, so
-    replays are harmless. ``keep`` removes all but the last versions.
+    A table that is no view yet becomes the first generation. Without a view the oldest
+    generation counts: later ones are only written while there is a view.
     """
-    mark = f"{root.rstrip('/')}/applied"
-    newest = newest_version(spark, root)
-    done = {n.split("@")[0]: int(n.split("@")[1]) for n in entries(spark, mark)}
-    if done.get(source, newest + 1) <= newest:
-        return newest
-    number = newest + 1
-    # the mark comes first, with the version that makes it count
-    for n in entries(spark, mark):
-        if n.split("@")[1] == str(number):
-            _delete(spark, f"{mark}/{n}")
-    _make(spark, f"{mark}/{source}@{number}")
-    change(read_ledger_version(spark, root, newest)).write.mode("overwrite").parquet(version_path(root, number))
-    for old in committed(spark, root.rstrip("/"), "version") if keep else []:
-        if old <= number - keep:
-            _delete(spark, version_path(root, old))
-    return number
-
-
-def _delete(spark: SparkSession, uri: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    number = _pointed(spark, table)
+    if number is None:
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} RENAME TO {table}__g1")
+        stored_ones = _generations(spark, table)
+        if not stored_ones:
+            _append_buckets(spark.createDataFrame([], "ksize int, hash bigint"), f"{table}__g1", buckets)
+        number = min(stored_ones, default=1)
+        _point(spark, table, number)
+    spark.catalog.refreshTable(f"{table}__g{number}")  # another session may have added files
+    return f"{table}__g{number}"
 
 
-def _make(spark: SparkSession, uri: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+def read_grown_table(spark: SparkSession, table: str) -> DataFrame:
+    """(ksize, hash) of a table that streams keep up to date, with what sessions of theirs have added."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table).select("ksize", "hash")
 
 
-def feed_ledger(pages: DataFrame, base_url: str, root: str, checkpoint: str, clock: Callable[[int], float],
-                name: str = "listing") -> StreamingQuery:
-    """Upsert the files of new listing pages into the ledger.
+def compact_table(spark: SparkSession, table: str, buckets: int) -> None:
+    """Write a bucketed table as its next generation, with one file per bucket. Not while a stream appends to it.
 
-    A batch is applied to the newest version, which outcomes may have written since the last
-    one, and gives a new version. ``clock`` gives the time stamp of a batch. ``name`` stands
-    for the stream: a stream that starts over with a new checkpoint takes another name.
+    The view changes over when that is complete, in one step of the catalog; then older
+    generations go. Broken off at any point the table is whole, as it was or compacted, and
+    the next call removes what is left over.
     """
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        listed = listing_candidates(batch, base_url, follow_root=False)
-        publish(batch.sparkSession, root, f"{name}-{batch_id}", lambda before: upsert(before, listed, clock(batch_id)))
-
-    return (pages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def record_outcomes(spark: SparkSession, root: str, outcomes: DataFrame, name: str, keep_error: bool = False) -> int:
-    """Apply results of finished work to the newest version; ``name`` stands for these results."""
-    return publish(spark, root, name, lambda before: apply_outcomes(before, outcomes, keep_error))
+    now = open_generation(spark, table, buckets)
+    number = int(now.rpartition("__g")[2])
+    for other, name in _generations(spark, table).items():
+        if other != number:
+            spark.sql(f"DROP TABLE {name}")
+    _append_buckets(spark.table(now), f"{table}__g{number + 1}", buckets)
+    _point(spark, table, number + 1)
+    spark.sql(f"DROP TABLE {now}")
