@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraclake.operators import hash_sets as sets
+from fraclake.operators.aligned_difference import aligned_difference
 from fraclake.operators.counting import sized_counts, unique_per_k
 from fraclake.plans.comparisons import _benchmark, _documents
 from fraclake.operators.sketching import word_hashes
-from fraclake.operators.stored_comparison import compare_stored
+from fraclake.operators.stored_comparison import compare_stored, stored_difference
 from fraclake.plans.inputs import (SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, WORD_SCALED, known_keys, sold_keys,
                                    sql_word_bag, wide)
 from fraclake.shared import shared_folder
@@ -131,6 +132,19 @@ def stored_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("lhs_files") >= F.col("lhs_partitions")).alias("lhs_files_fit"), (F.col("rhs_bytes") > 0).alias("rhs_has_bytes"))
 
 
+def aligned_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Difference of two sets stored alike, partition by partition; most hashes are in one partition,
+    which is cut into many pieces."""
+    lhs, rhs = (stored_set(spark, bag(spark, sf_dir), BITS, "high") for bag in (sold_keys, known_keys))
+    return aligned_difference(spark, lhs, rhs, discover_ksizes(spark, rhs), 500)
+
+
+def unlike_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for sets stored in different ways, which are joined instead."""
+    lhs, rhs = stored_set(spark, sold_keys(spark, sf_dir), 4, "mix"), stored_set(spark, known_keys(spark, sf_dir))
+    return stored_difference(spark, lhs, rhs, discover_ksizes(spark, rhs))
+
+
 def manifest_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """May these pairs of stored sets be compared partition by partition?"""
     low = stored_set(spark, sold_keys(spark, sf_dir))
@@ -179,6 +193,8 @@ QUERIES = {
     "written_difference": written_difference,
     "diff_report": diff_report,
     "stored_diff_report": stored_diff_report,
+    "aligned_diff": aligned_diff,
+    "unlike_diff": unlike_diff,
     "manifest_guard": manifest_guard,
     "bin_vectors": bin_vectors,
     "bin_roundtrip_counts": bin_roundtrip_counts,
@@ -225,6 +241,10 @@ ORACLES = {
              sum(n)::BIGINT AS total, sum(n)::BIGINT AS text_total,
              (SELECT count(DISTINCT hash & 31) FROM l) AS lhs_partitions, (SELECT count(DISTINCT hash & 31) FROM r) AS rhs_partitions,
              true AS lhs_files_fit, true AS rhs_has_bytes FROM lost""",
+    "aligned_diff": f"""
+      SELECT ksize, lpad(lower(to_hex(hash >> 59 & 31)), 2, '0') AS part, hash FROM ({_KNOWN}) b ANTI JOIN ({_SOLD}) a USING (ksize, hash)""",
+    "unlike_diff": f"""
+      SELECT ksize, {_PART} AS part, hash FROM ({_KNOWN}) b ANTI JOIN ({_SOLD}) a USING (ksize, hash)""",
     "manifest_guard": f"""
       WITH n AS (SELECT count(*) AS lhs_distinct FROM ({_SOLD}))
       SELECT pair, lhs_distinct, compatible, 5::INTEGER AS lhs_bits, rhs_bits::INTEGER AS rhs_bits, 'low' AS lhs_mode,

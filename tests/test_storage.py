@@ -1,13 +1,16 @@
 """Layouts, manifests, tables."""
 
 import json
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 from fraclake.functions.unsigned import signed
+from fraclake.operators.aligned_difference import aligned_difference
 from fraclake.operators.hash_sets import difference
+from fraclake.operators.stored_comparison import compare_stored, stored_difference
 from fraclake.shared import fresh_database
 from fraclake.sinks import hash_sets as layouts
 from fraclake.sinks.reports import write_report
@@ -90,6 +93,50 @@ def test_manifest_guard(spark, tmp_path):
     assert read_manifest(spark, str(broken)).isEmpty()
 
 
+def set_of(spark, root, values, bits=3, mode="low", nulls=0):
+    rows = [(31 if v % 3 else 15, signed(v)) for v in values] + [(31, None)] * nulls
+    layouts.write_unique_set(spark.createDataFrame(rows, "ksize int, hash bigint"), root, bits, mode)
+    layouts.write_manifest(layouts.manifest(read_unique_set(spark, root), bits, mode, "2025-01-01 00:00:00"), root)
+    return root
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 23])
+def test_aligned_difference(spark, tmp_path, piece):
+    rng = random.Random(piece)
+    every = [0, 1, (1 << 63) - 1, 1 << 63, (1 << 64) - 1] + [rng.randrange(1 << 64) for _ in range(300)]
+    left, right = rng.sample(every, 200), rng.sample(every, 200)
+    lhs, rhs = set_of(spark, str(tmp_path / "l"), left, nulls=1), set_of(spark, str(tmp_path / "r"), right, nulls=1)
+    found = aligned_difference(spark, lhs, rhs, [15, 31], piece)
+    wanted = {(31 if v % 3 else 15, signed(v)) for v in set(right) - set(left)} | {(31, None)}
+    rows = found.collect()
+    assert {(r.ksize, r.hash) for r in rows} == wanted and len(rows) == len(wanted)
+    assert all(r.part == (None if r.hash is None else f"{r.hash & 7:x}") for r in rows)
+    assert aligned_difference(spark, lhs, rhs, [15], piece).where("ksize <> 15").isEmpty()
+    assert aligned_difference(spark, rhs, rhs, [15, 31], piece).where("hash IS NOT NULL").isEmpty()
+
+
+def test_aligned_difference_of_unsigned_and_unsorted_files(spark, tmp_path):
+    for side, values in (("l", [5, 1 << 63, 2]), ("r", [(1 << 64) - 1, 2, 1 << 63, 9, (1 << 63) + 5])):
+        folder = tmp_path / side / "ksize=31" / "part=0"
+        folder.mkdir(parents=True)
+        pq.write_table(pa.table({"other": ["x"] * len(values), "hash": pa.array(values, pa.uint64() if side == "r" else pa.int64()) if side == "r"
+                                 else pa.array([signed(v) for v in values], pa.int64())}), folder / "part.parquet", row_group_size=2)
+    found = aligned_difference(spark, str(tmp_path / "l"), str(tmp_path / "r"), [31], 1)
+    assert {r.hash for r in found.collect()} == {-1, 9, signed((1 << 63) + 5)}
+
+
+def test_stored_sides_are_not_shuffled_where_manifests_agree(spark, tmp_path):
+    a, b, c = set_of(spark, str(tmp_path / "a"), range(100)), set_of(spark, str(tmp_path / "b"), range(50, 150)), set_of(spark, str(tmp_path / "c"), range(100), 4, "mix")
+    for lhs, scans in ((a, 0), (c, 2)):
+        lost = stored_difference(spark, lhs, b, [15, 31])
+        plan = lost._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == plan.count("FileScan parquet") == scans  # the aligned one reads files in tasks
+        assert {r.hash for r in lost.collect()} == set(range(100, 150))
+    assert compare_stored(spark, c, b).first().total == 50
+    with pytest.raises(ValueError):
+        compare_stored(spark, c, b, strict=True)
+
+
 def test_bucketed_sorted_and_flat(spark, tmp_path):
     layouts.write_bucketed(sample(spark), str(tmp_path / "b"), 3)
     back = read_bucketed_set(spark, str(tmp_path / "b"))
