@@ -10,7 +10,7 @@ from fraclake.operators.sketching import GENERATED_FOLDERS, max_hash_for, word_s
 from fraclake.plans.inputs import WORD_KSIZES, WORD_SCALED, sql_word_bag, wide
 from fraclake.shared import shared_folder
 from fraclake.sinks.archives import pack_archives, write_files
-from fraclake.sources.archives import decode_archives, find_archives, flat_hashes, sketch_rows
+from fraclake.sources.archives import decode_archive_files, decode_archives, flat_hashes, list_archives, sketch_rows
 from fraclake.sources.signatures import decode_signatures
 
 MAX_HASH = max_hash_for(WORD_SCALED)
@@ -57,17 +57,23 @@ def _entry(name: str | Column, text: Column, plain: Column | bool = False) -> Co
                     (F.lit(plain) if isinstance(plain, bool) else plain).alias("plain"))
 
 
-def write_document_archives(sketched: DataFrame, root: str, days_old: int = 0) -> None:
+def document_archives(sketched: DataFrame, root: str) -> DataFrame:
+    """(doc_id, path, content): one archive for each document."""
     members = F.array(_entry("MANIFEST.csv", F.lit("not,used\n"), True),
                       _entry("signatures/a.3.sig.gz", signature_json("h3", 3)),
                       _entry("nested/signatures/a.5.sig.gz", signature_json("h5", 5)))
-    write_files(pack_archives(sketched.select(archive_path(root).alias("path"), members.alias("members"))), days_old)
+    packed = pack_archives(sketched.select(archive_path(root).alias("path"), members.alias("members")))
+    return packed.withColumn("doc_id", F.regexp_extract("path", r"DOC0*(\d+)", 1).cast("bigint"))
+
+
+def write_document_archives(sketched: DataFrame, root: str, days_old: int = 0) -> None:
+    write_files(document_archives(sketched, root), days_old)
 
 
 def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "archives")
     write_document_archives(sketched_documents(spark, sf_dir), root)
-    flat = flat_hashes(decode_archives(find_archives(spark, root), WORD_KSIZES)).distinct()
+    flat = flat_hashes(decode_archive_files(list_archives(spark, root), WORD_KSIZES)).distinct()
     return flat.select("hash", "ksize", "scaled", *[F.regexp_extract(c, "[^/]+$", 0).alias(c)
                                                     for c in ("source_file", "sketch_name")])
 
@@ -76,7 +82,7 @@ def archive_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All archives one directory down, members at the root only: one set of hashes."""
     root = shared_folder(spark, "archives")
     write_document_archives(sketched_documents(spark, sf_dir), root)
-    rows = decode_archives(find_archives(spark, root, recursive=False), root_only=True)
+    rows = decode_archive_files(list_archives(spark, root, recursive=False), root_only=True)
     return unique_hashes(flat_hashes(rows))
 
 
@@ -84,7 +90,7 @@ def archive_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every sketch as stored."""
     root = shared_folder(spark, "archives")
     write_document_archives(sketched_documents(spark, sf_dir), root)
-    rows = decode_archives(find_archives(spark, root))
+    rows = decode_archive_files(list_archives(spark, root))
     return sketch_rows(rows).select(F.regexp_extract("path", "[^/]+$", 0).alias("source_file"), "ksize", "scaled",
                                     "num_hashes")
 

@@ -14,7 +14,7 @@ from fraclake.plans.inputs import (SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, W
                                    sql_word_bag, wide)
 from fraclake.shared import shared_folder
 from fraclake.sinks import hash_sets as layouts
-from fraclake.sinks.archives import write_vectors
+from fraclake.sinks.archives import array_files, write_files, write_vectors
 from fraclake.sinks.reports import write_report
 from fraclake.sources.hash_sets import (OWN_TYPE, discover_ksizes, manifests_agree, read_bucketed_set, read_manifest,
                                          read_unique_set)
@@ -170,6 +170,16 @@ def bin_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_hash.groupBy("ksize", "part").agg(F.sum("n").alias("stored"), F.count(F.lit(1)).alias("distinct_hashes"))
 
 
+def npy_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of .npy files whose values have two bytes, read in short ranges."""
+    root = shared_folder(spark, "arrays")
+    narrow = sold_keys(spark, sf_dir).withColumn("hash", F.col("hash").bitwiseAND(0xFFFF))
+    write_files(array_files(narrow, root, BITS, kind="<u2"))
+    values = read_vectors(find_vectors(spark, root, ".npy"), 64)
+    per_hash = values.groupBy("ksize", "part", "hash").agg(F.count(F.lit(1)).alias("n"))
+    return per_hash.groupBy("ksize", "part").agg(F.sum("n").alias("stored"), F.count(F.lit(1)).alias("distinct_hashes"))
+
+
 def bin_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of stored values from file sizes and from reading them, and whether files and
     their mean agree with it: every partition has a file, and the mean times the files is the sum."""
@@ -197,6 +207,7 @@ QUERIES = {
     "unlike_diff": unlike_diff,
     "manifest_guard": manifest_guard,
     "bin_vectors": bin_vectors,
+    "npy_vectors": npy_vectors,
     "bin_roundtrip_counts": bin_roundtrip_counts,
 }
 
@@ -254,6 +265,9 @@ ORACLES = {
     "bin_vectors": f"""
       SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash) AS distinct_hashes
       FROM {SQL_SOLD_KEYS} GROUP BY ALL""",
+    "npy_vectors": f"""
+      SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash & 65535) AS distinct_hashes
+      FROM {SQL_SOLD_KEYS} GROUP BY ALL""",
     "bin_roundtrip_counts": f"""
       SELECT n AS sized, n AS hashes, n AS mean_times_files, true AS file_for_each_part FROM (SELECT count(*) AS n FROM {SQL_SOLD_KEYS})""",
 }

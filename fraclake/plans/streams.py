@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraclake.plans.archives import SQL_KINDS, SQL_NAME, damaged_archives, sketched_documents, write_document_archives
+from fraclake.plans.archives import SQL_KINDS, SQL_NAME, damaged_archives, document_archives, sketched_documents, write_document_archives
 from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, known_keys, sold_keys, sql_word_bag, table
 from fraclake.plans.listings import BASE, listing_pages, sql_candidates
 from fraclake.shared import fresh_database, shared_folder
@@ -47,6 +47,23 @@ def stream_archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingested(spark, f"{base}/log").groupBy("run", "status").agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("errors"))
 
 
+def stream_archive_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hashes of archives of which every third was cut in half when the first run came, and
+    whole when the second did."""
+    base = shared_folder(spark, "stream-retries")
+    sketched = sketched_documents(spark, sf_dir)
+    whole = document_archives(sketched, f"{base}/in")
+    half = F.expr("IF(doc_id % 3 = 0, substring(content, 1, length(content) div 2), content)")
+    for run, files in enumerate((whole.withColumn("content", half), whole.where("doc_id % 3 = 0"))):
+        write_files(files.select("path", "content"))
+        ingest_archives(spark, f"{base}/in", f"{base}/out", f"{base}/log", WORD_KSIZES, now=CLOCK + run)
+    flat = ingested_hashes(spark, f"{base}/out", f"{base}/log")
+    tried = ingested(spark, f"{base}/log").groupBy(F.col("path").alias("source_file")).agg(F.max("run").alias("last_run"), F.count_if(F.col("status") == "bad_archive").alias("faults"))
+    counts = flat.groupBy("source_file").agg(F.count(F.lit(1)).alias("stored"))
+    return (tried.join(counts, "source_file", "left")
+            .select(F.regexp_extract("source_file", "[^/]+$", 0).alias("source_file"), "last_run", "faults", F.coalesce("stored", F.lit(0)).alias("stored")))
+
+
 def _with_null(bag: DataFrame) -> DataFrame:
     """The bag, and one NULL hash for each of its k."""
     return bag.unionByName(bag.select("ksize").distinct().withColumn("hash", F.lit(None).cast("bigint")))
@@ -108,6 +125,7 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_archives": stream_archives,
     "stream_archive_errors": stream_archive_errors,
+    "stream_archive_retries": stream_archive_retries,
     "stream_unique": stream_unique,
     "stream_unique_folder": stream_unique_folder,
     "stream_unique_table": stream_unique_table,
@@ -125,6 +143,12 @@ ORACLES = {
       FROM {_BAG} GROUP BY doc_id, ksize""",
     "stream_archive_errors": f"""{SQL_KINDS}
       SELECT (1 + doc_id % 2)::INTEGER AS run, status, count(*) AS n, count(*) FILTER (status LIKE 'bad%') AS errors FROM m GROUP BY ALL""",
+    "stream_archive_retries": f"""
+      WITH n AS (SELECT doc_id, ksize, CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS n FROM {_BAG} GROUP BY doc_id, ksize),
+      t AS (SELECT doc_id, sum(n)::BIGINT AS n FROM n GROUP BY doc_id)
+      SELECT {SQL_NAME} AS source_file, CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END::INTEGER AS last_run,
+             CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END::BIGINT AS faults, coalesce(n, 0)::BIGINT AS stored
+      FROM documents LEFT JOIN t USING (doc_id)""",
     "stream_unique": _SQL_WITH_NULLS,
     "stream_unique_folder": _SQL_WITH_NULLS,
     "stream_unique_table": f"SELECT ksize, hash FROM {SQL_SOLD_KEYS} UNION SELECT ksize, hash FROM {SQL_KNOWN_KEYS}",

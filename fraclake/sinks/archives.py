@@ -91,6 +91,32 @@ def write_files(files: DataFrame, days_old: int = 0) -> None:
     files.select("path", "content").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
 
 
+def array_files(hashes: DataFrame, root: str, bits: int = 8, mode: str = "low", kind: str = "<u8", values: int = 1 << 20) -> DataFrame:
+    """(path, content) of (ksize, hash) as ksize=K/part=HEX/w<task>-<n>.npy, with values of the type ``kind``.
+
+    A file holds at most ``values`` values; those of a partition and task lie one after another.
+    """
+    width = -(-bits // 4)
+    placed = with_partition_id(hashes.select("ksize", "hash"), bits, mode)
+    ordered = placed.hint("rebalance", "ksize", "part_id").sortWithinPartitions("ksize", "part_id")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            keys = (batch.column("ksize").to_numpy().astype(np.int64) << 32) | batch.column("part_id").to_numpy()
+            found = batch.column("hash").to_numpy().view(np.uint64).astype(kind)
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                for at in range(lo, hi, values):
+                    out = io.BytesIO()
+                    np.save(out, found[at:min(hi, at + values)])
+                    path = f"{root}/ksize={int(keys[lo]) >> 32}/part={int(keys[lo]) & 0xFFFFFFFF:0{width}x}/w{task}-{number}.npy"
+                    number += 1
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([out.getvalue()], pa.binary())], names=["path", "content"])
+
+    return ordered.select("ksize", "part_id", "hash").mapInArrow(pack, "path string, content binary")
+
+
 def write_vectors(hashes: DataFrame, root: str, bits: int = 8, mode: str = "low") -> None:
     """Write (ksize, hash) as ksize=K/part=HEX/w<task>.bin, little-endian uint64.
 

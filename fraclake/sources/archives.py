@@ -15,12 +15,11 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fraclake.functions.paths import ARCHIVE_SUFFIX, MEMBER_FOLDER, MEMBER_SUFFIX
-from fraclake.shared import entries
 from fraclake.sinks.archives import file_system
+from fraclake.sources.files import list_files
 from fraclake.types import ARCHIVE_ROWS
 
 _SLICE = 1 << 16
@@ -43,27 +42,12 @@ def find_archives(spark: SparkSession, root: str, recursive: bool = True) -> Dat
     return reader.load(f"{root.rstrip('/')}/*/*{ARCHIVE_SUFFIX}")
 
 
-def list_archives(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length) of all archives under ``root``.
-
-    The folders at the top are listed once; each of them is walked by a task, so the list
-    of files is a table and never held by the driver.
-    """
-    base = root.rstrip("/")
-    names = entries(spark, base)
-    tops = spark.createDataFrame([(f"{base}/{n}",) for n in names], "path string").repartition(max(1, min(len(names), 1024)))
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for uri in batch.column("path").to_pylist():
-                store, path = file_system(uri)
-                top = store.get_file_info(path)
-                found = [top] if top.is_file else store.get_file_info(fs.FileSelector(path, recursive=True))
-                files = [f for f in found if f.is_file and f.path.endswith(ARCHIVE_SUFFIX)]
-                yield pa.record_batch({"path": pa.array([uri + f.path.removeprefix(path) for f in files], pa.string()),
-                                       "length": pa.array([f.size for f in files], pa.int64())})
-
-    return tops.mapInArrow(walk, "path string, length bigint")
+def list_archives(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """(path, length, mtime) of all archives under ``root``, or only those one directory down."""
+    if recursive:
+        return list_files(spark, root, ARCHIVE_SUFFIX)
+    below = len([p for p in root.split("/") if p]) + 2
+    return list_files(spark, root, ARCHIVE_SUFFIX, 1).where(F.size(F.filter(F.split("path", "/"), lambda p: p != "")) == below)
 
 
 def decode_archives(files: DataFrame, ksizes: Collection[int] | None = None,
@@ -78,6 +62,7 @@ def decode_archives(files: DataFrame, ksizes: Collection[int] | None = None,
     ``bad_content``  it was unpacked but its JSON or a value is wrong
     ``bad_read``     it could not be unpacked
     ``bad_archive``  the file is not a readable zip
+    ``bad_open``     the store did not give the file, or broke off while it was read
     ``empty``        the zip holds no signature members
 
     Long hash vectors are cut into several rows, so no row or batch grows with the
@@ -126,7 +111,7 @@ def opened_rows(uri: str, wanted: frozenset | None, root_only: bool) -> Iterator
         store, path = file_system(uri)
         file = store.open_input_file(path)
     except Exception as problem:
-        yield (uri, None, "bad_archive", str(problem), True, False, False) + (None,) * 6
+        yield (uri, None, "bad_open", str(problem), True, False, False) + (None,) * 6
         return
     with file:
         yield from archive_rows(uri, file, wanted, root_only)
@@ -157,6 +142,9 @@ def archive_rows(path: str, content: bytes | pa.NativeFile, wanted: frozenset |
                         yield (path, name, status, error, first, head, lo == 0, filename, k, scaled, max_hash,
                                len(bits), bits[lo:lo + _SLICE])
                         first = head = False
+    except OSError as problem:  # not the archive's fault: another attempt may succeed
+        yield (path, None, "bad_open", str(problem), first, False, False) + (None,) * 6
+        return
     except Exception as problem:  # an unreadable archive must not fail the task
         yield (path, None, "bad_archive", str(problem), first, False, False) + (None,) * 6
         return
@@ -167,7 +155,13 @@ def archive_rows(path: str, content: bytes | pa.NativeFile, wanted: frozenset |
 def _member(archive: zipfile.ZipFile, name: str, wanted: frozenset | None) -> tuple[str, str | None, list]:
     """Status, error and sketches of one member; all of its values count or none."""
     try:
-        raw = gzip.decompress(archive.read(name))
+        packed = archive.read(name)
+    except OSError:
+        raise
+    except Exception as problem:
+        return "bad_read", str(problem), []
+    try:
+        raw = gzip.decompress(packed)
     except Exception as problem:
         return "bad_read", str(problem), []
     try:

@@ -14,7 +14,7 @@ _SLICE = 1 << 16
 _SCHEMA = "path string, hashes array<bigint>"
 _ARROW = pa.schema([("path", pa.string()), ("hashes", pa.list_(pa.int64()))])
 
-#: Values that one task reads from one file at a time: 32 MB.
+#: Values of eight bytes that one task reads from one file at a time: 32 MB.
 RANGE = 1 << 22
 
 
@@ -27,7 +27,7 @@ def find_vectors(spark: SparkSession, root: str, suffix: str = ".bin") -> DataFr
 def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
     """(ksize, part, hash) for every stored value; unreadable or empty files give none.
 
-    A file is read in ranges of ``values`` values, each opened and sought to by the task it
+    A file is read in ranges of ``values`` values of eight bytes, or more of narrower ones, each opened and sought to by the task it
     falls to, so a file of any size is shared between tasks and no task holds more than a
     slice of one.
     """
@@ -37,7 +37,7 @@ def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, piece in zip(batch.column("path").to_pylist(), batch.column("piece").to_pylist()):
-                for bits in vector_slices(path, piece * values, values):
+                for bits in vector_slices(path, 8 * piece * values, 8 * values):
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([bits], type=pa.list_(pa.int64()))], schema=_ARROW)
 
     read = ranges.mapInArrow(slices, _SCHEMA)
@@ -46,8 +46,9 @@ def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
                        F.explode("hashes").alias("hash"))
 
 
-def vector_slices(uri: str, first: int, count: int) -> Iterator[np.ndarray]:
-    """Bit patterns of some values of one file; trailing bytes that fill no value are dropped."""
+def vector_slices(uri: str, first: int, length: int) -> Iterator[np.ndarray]:
+    """Bit patterns of the values in some bytes behind the header of one file, a range in
+    multiples of eight bytes; trailing bytes that fill no value are dropped."""
     store, path = file_system(uri)
     with store.open_input_file(path) as file:
         kind, begin = np.dtype("<u8"), 0
@@ -60,10 +61,9 @@ def vector_slices(uri: str, first: int, count: int) -> Iterator[np.ndarray]:
                 return
             if kind.kind not in "iu":
                 return
-        size = kind.itemsize
-        for at in range(first, first + count, _SLICE):
-            raw = file.read_at(min(_SLICE, first + count - at) * size, begin + at * size)
-            values = np.frombuffer(raw, kind, len(raw) // size)
+        for at in range(first, first + length, 8 * _SLICE):
+            raw = file.read_at(min(8 * _SLICE, first + length - at), begin + at)
+            values = np.frombuffer(raw, kind, len(raw) // kind.itemsize)
             if not len(values):
                 return
             yield np.ascontiguousarray(values.astype(np.uint64, copy=False)).view(np.int64)

@@ -6,41 +6,67 @@ executors and of the driver. Replaying a micro-batch changes nothing.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Collection
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fraclake.functions.paths import retry_delay
 from fraclake.operators.hash_sets import difference, unique_hashes
+from fraclake.operators.ledger import ERROR_MAX_TRIES
 from fraclake.shared import entries, exists, stored
 from fraclake.sources.archives import decode_archive_files, flat_hashes, list_archives
+from fraclake.sources.files import dealt_by_bytes
 from fraclake.streaming.commits import State, commit, forget, newest
 
 FLAT = "hash bigint, scaled bigint, source_file string, sketch_name string, run int, ksize int"
-INGESTED = "path string, length bigint, member string, status string, error string, run int"
+INGESTED = "path string, length bigint, mtime double, attempt int, tried_at double, member string, status string, error string, run int"
 
 
-def ingest_archives(spark: SparkSession, root: str, out: str, log: str, ksizes: Collection[int] | None = None) -> int:
-    """Decode the archives that no earlier run has ingested; returns the number of this run.
+def ingest_archives(spark: SparkSession, root: str, out: str, log: str, ksizes: Collection[int] | None = None, now: float | None = None) -> int:
+    """Decode the archives that are due; returns the number of this run.
 
-    The worklist is the listing of archives less the paths in the log, so neither a file's
+    Due are archives that no earlier run has tried, and those of ``waiting``. Neither a file's
     age nor the order of arrival matters. A run writes its hashes under ``out`` and then what
     became of each archive and member under ``log``; the log commits the run. A run that
     broke off is not in the log: the next one has the same number and writes it anew.
+    ``now`` is the time of the run in seconds, the clock's by default.
     """
     run = 1 + max(committed(spark, log, "run"), default=0)
-    listed = list_archives(spark, root)
-    work = stored(listed.join(ingested(spark, log).select("path").distinct(), "path", "left_anti"), "worklist")
+    now = time.time() if now is None else now
+    work = stored(worklist(list_archives(spark, root), ingested(spark, log), now), "worklist")
     # the same rows give hashes and outcomes: they are decoded once
-    spread = work.repartition(spark.sparkContext.defaultParallelism * 4)
+    spread = dealt_by_bytes(work, 4 * spark.sparkContext.defaultParallelism)
     rows = stored(decode_archive_files(spread, ksizes), "decoded")
     flat_hashes(rows).write.mode("overwrite").partitionBy("ksize").parquet(f"{out}/run={run}")
     heads = rows.where(F.col("member_head") | F.col("member").isNull()).select("path", "member", "status", "error")
-    work.join(heads, "path").select("path", "length", "member", "status", "error").write.mode("overwrite").parquet(f"{log}/run={run}")
+    tried = work.join(heads, "path").withColumn("tried_at", F.lit(float(now)))
+    tried.select("path", "length", "mtime", "attempt", "tried_at", "member", "status", "error").write.mode("overwrite").parquet(f"{log}/run={run}")
     return run
 
 
+def worklist(listed: DataFrame, log: DataFrame, now: float) -> DataFrame:
+    """(path, length, mtime, attempt) of the listed archives that are due.
+
+    An archive with a fault comes again when its length or time has changed since it was
+    tried: it was incomplete then, or has been replaced. One that could not be opened or read
+    comes again unchanged too, after a delay that doubles with each attempt, up to
+    ERROR_MAX_TRIES of them. All others are done with their first attempt.
+    """
+    about = F.struct("length", "mtime", "attempt", "tried_at")
+    runs = log.groupBy("path", "run").agg(F.any_value(about).alias("seen"), F.bool_or(F.col("status").startswith("bad")).alias("faulty"),
+                                          F.bool_or(F.col("status") == "bad_open").alias("passing"))
+    last = runs.groupBy(F.col("path").alias("_path")).agg(F.max_by(F.struct("seen", "faulty", "passing"), "run").alias("last"))
+    both = listed.join(last, F.col("path") == F.col("_path"), "left")
+    tries = F.coalesce("last.seen.attempt", F.lit(1))
+    changed = (F.col("length") != F.col("last.seen.length")) | (F.col("mtime") != F.coalesce("last.seen.mtime", "mtime"))
+    rested = (tries < ERROR_MAX_TRIES) & (F.lit(float(now)) >= F.coalesce("last.seen.tried_at", F.lit(0.0)) + retry_delay(tries))
+    due = F.col("_path").isNull() | (F.col("last.faulty") & changed) | (F.col("last.passing") & rested)
+    return both.where(due).select("path", "length", "mtime", F.when(F.col("_path").isNull() | changed, 1).otherwise(tries + 1).alias("attempt"))
+
+
 def committed(spark: SparkSession, root: str, name: str) -> list[int]:
     """Numbers of the folders ``name``=N that were written to the end."""
     found = [int(n.split("=")[1]) for n in entries(spark, root) if n.startswith(f"{name}=")]
@@ -55,11 +81,14 @@ def ingested(spark: SparkSession, log: str) -> DataFrame:
 
 
 def ingested_hashes(spark: SparkSession, out: str, log: str) -> DataFrame:
-    """The flat table of all committed runs."""
+    """The flat table of all committed runs; of an archive that was tried again the last attempt counts."""
     runs = committed(spark, log, "run")
     if not runs:
         return spark.createDataFrame([], FLAT)
-    return spark.read.schema(FLAT).parquet(out).where(F.col("run").isin(*runs))
+    flat = spark.read.schema(FLAT).parquet(out).where(F.col("run").isin(*runs))
+    tried = ingested(spark, log).groupBy(F.col("path").alias("_path")).agg(F.max("run").alias("_last"), F.min("run").alias("_first"))
+    again = tried.where("_first < _last").drop("_first")
+    return flat.join(again, (F.col("source_file") == F.col("_path")) & (F.col("run") < F.col("_last")), "left_anti")
 
 
 def missing_hashes(hashes: DataFrame, stored_set: DataFrame, hint: str | None = None) -> DataFrame:

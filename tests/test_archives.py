@@ -7,12 +7,14 @@ import zipfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fraclake.functions.unsigned import signed
 from fraclake.operators.counting import extraction_counts, row_count, run_statistics, sized_counts
 from fraclake.operators.hash_sets import unique_hashes
 from fraclake.sinks.archives import write_files, write_vectors
-from fraclake.sources.archives import decode_archives, find_archives, flat_hashes, sketch_rows
+from fraclake.sources.archives import decode_archives, find_archives, flat_hashes, list_archives, sketch_rows
+from fraclake.sources.files import dealt_by_bytes, list_files
 from fraclake.sources.signatures import decode_signatures
 from fraclake.sources.vectors import find_vectors, read_vectors
 
@@ -152,3 +154,46 @@ def test_written_vectors_come_back(spark, tmp_path):
         write_vectors(bag, root, bits=6)
     assert back.selectExpr("ksize", "hash").exceptAll(bag).isEmpty() and back.count() == 5000
     assert back.where("conv(part, 16, 10) <> (hash & 63)").isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["<u1", "<u2", ">u2", "<u4", "<i4", "<u8", ">u8", "<i8"])
+def test_arrays_of_every_width(spark, tmp_path, kind):
+    folder = tmp_path / "ksize=31" / "part=0a"
+    folder.mkdir(parents=True)
+    values = np.arange(10_000).astype(kind)
+    np.save(folder / "part.npy", values)
+    np.save(folder / "text.npy", np.array(["x"]))
+    (folder / "cut.npy").write_bytes((folder / "part.npy").read_bytes()[:40])
+    for size in (1 << 22, 100, 1):
+        found = read_vectors(find_vectors(spark, str(tmp_path), ".npy"), size)
+        assert sorted(r.hash for r in found.collect()) == sorted(values.astype(np.int64).tolist())
+
+
+def test_lists_of_files(spark, tmp_path):
+    for name in ("a.x", "one/b.x", "one/two/c.x", "one/two/three/d.x", "one/e.y", "empty/"):
+        path = tmp_path / name
+        (path if name.endswith("/") else path.parent).mkdir(parents=True, exist_ok=True)
+        if not name.endswith("/"):
+            path.write_bytes(b"12345")
+    names = lambda **k: sorted(r.path.removeprefix(f"{tmp_path}/") for r in list_files(spark, str(tmp_path), ".x", **k).collect())
+    assert names() == ["a.x", "one/b.x", "one/two/c.x", "one/two/three/d.x"]
+    assert names(levels=0) == ["a.x"] and names(levels=1) == ["a.x", "one/b.x"]
+    assert [tuple(r) for r in list_files(spark, str(tmp_path / "a.x")).select("path", "length").collect()] == [(str(tmp_path / "a.x"), 5)]
+    assert list_files(spark, str(tmp_path / "none")).count() == 0
+    assert {r.path for r in list_archives(spark, str(tmp_path), recursive=False).collect()} == set()
+
+
+def test_a_wide_folder(spark, tmp_path):
+    for i in range(25_000):
+        (tmp_path / f"{i}.sig.zip").touch()
+    listed = list_archives(spark, str(tmp_path))
+    assert listed.count() == 25_000 and listed.where("length = 0 and mtime > 1e9").count() == 25_000
+
+
+def test_work_dealt_by_bytes(spark):
+    files = spark.range(2000).selectExpr("concat('f', id) AS path", "IF(id = 7, 500000, 100 + id % 50) AS length", "id AS other")
+    dealt = dealt_by_bytes(files, 10, 20_000)
+    sizes = sorted(r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.sum("length").alias("n")).collect())
+    assert dealt.count() == 2000 and set(dealt.columns) == {"path", "length", "other"}
+    assert sizes[-1] < 500_000 + 40_000 and sizes[-2] <= 60_000 and len(sizes) >= 10
+    assert dealt_by_bytes(files.limit(0)).count() == 0

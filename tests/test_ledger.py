@@ -3,13 +3,14 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from fraclake.operators import ledger as work
 from fraclake.operators.hash_sets import difference
 from fraclake.operators.listing import classified_links, listing_candidates, page_links
 from fraclake.sources.listings import read_pages
-from fraclake.streaming.ingest import (compact_table, compact_unique_set, grow_unique_set, grow_unique_table, ingest_archives, ingested,
-                                       ingested_hashes, read_grown_set)
+from fraclake.streaming.ingest import (INGESTED, compact_table, grow_unique_set, grow_unique_table, ingest_archives, ingested,
+                                       ingested_hashes, read_grown_set, worklist)
 from fraclake.streaming.ledger import feed_ledger, newest_version, publish, read_ledger_version, record_outcomes
 from fraclake.types import LEDGER, OUTCOMES
 
@@ -245,3 +246,31 @@ def test_clean_up_leaves_nothing(spark):
     assert all(shared.exists(spark, f) for f in folders) and len(folders) == 2
     shared.clean_up(spark)
     assert not any(shared.exists(spark, f) for f in folders) and not spark.catalog.databaseExists(database)
+
+
+def test_archives_that_are_due(spark):
+    listed = spark.createDataFrame([(p, 10, 5.0) for p in "abcdefgh"], "path string, length bigint, mtime double")
+    seen = [("b", 10, 5.0, 1, 100.0, "m", "ok", None, 1), ("c", 10, 5.0, 1, 100.0, None, "bad_archive", "x", 1),
+            ("d", 9, 5.0, 1, 100.0, None, "bad_archive", "x", 1), ("e", 10, 4.0, 3, 100.0, "m", "bad_read", "x", 1), ("e", 10, 4.0, 3, 100.0, "n", "ok", None, 1),
+            ("f", 10, 5.0, 1, 90.0, None, "bad_open", "x", 1), ("f", 10, 5.0, 2, 100.0, None, "bad_open", "x", 2),
+            ("g", 10, 5.0, 20, 0.0, None, "bad_open", "x", 1),
+            ("h", 9, 4.0, 1, 100.0, None, "bad_archive", "x", 1), ("h", 10, 5.0, 1, 101.0, "m", "ok", None, 2)]
+    log = spark.createDataFrame(seen, INGESTED)
+    due = lambda now: {r.path: r.attempt for r in worklist(listed, log, now).collect()}
+    # new; cut short or replaced when it was tried; not opened, after the delay for two attempts
+    assert due(103.9) == {"a": 1, "d": 1, "e": 1} and due(104.0) == {"a": 1, "d": 1, "e": 1, "f": 3}
+    old = log.withColumns({c: F.lit(None).cast(t) for c, t in (("mtime", "double"), ("attempt", "int"), ("tried_at", "double"))})
+    assert {r.path: r.attempt for r in worklist(listed, old, 500.0).collect()} == {"a": 1, "d": 1, "f": 2, "g": 2}  # a log without attempts
+
+
+def test_an_archive_that_was_cut_short_is_taken_up_when_whole(spark, tmp_path):
+    from test_archives import FILES
+    root, out, log = (str(tmp_path / x) for x in ("in", "out", "log"))
+    path = tmp_path / "in" / "AAA" / "good.sig.zip"
+    path.parent.mkdir(parents=True)
+    for content, total in ((FILES["AAA/good.sig.zip"][:300], 0), (b"", 0), (FILES["AAA/good.sig.zip"], 10), (FILES["AAA/good.sig.zip"], 10)):
+        path.write_bytes(content)
+        run = ingest_archives(spark, root, out, log, (15, 31, 33))
+        assert ingested_hashes(spark, out, log).count() == total
+    last = ingested(spark, log).where(f"run = {run - 1}").collect()
+    assert {r.status for r in last} == {"ok", "no_match"} and not ingested(spark, log).where(f"run = {run}").count()
