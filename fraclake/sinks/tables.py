@@ -82,7 +82,6 @@ def ingest(spark: SparkSession, root: str, schema: str = "hashes", mode: str = "
         raise ValueError("mode must be single or per-ksize")
     wanted = list(ksizes) if ksizes else discover_ksizes(spark, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
-    record_dataset(spark, schema, root, wanted)
     if mode == "single":
         loaded = load_single(spark, root, f"{schema}.{table}", wanted, analyze)
         total = loaded.agg(F.count(F.lit(1)).alias("rows_ingested"))
@@ -97,6 +96,8 @@ def ingest(spark: SparkSession, root: str, schema: str = "hashes", mode: str = "
                 "rows_ingested")
             per_k = one if per_k is None else per_k.unionByName(one)
         total = per_k.agg(F.sum("rows_ingested").alias("rows_ingested"))
+    # a load that failed is not recorded as made
+    record_dataset(spark, schema, root, wanted)
     record_ksizes(per_k, schema)
     return total.select(F.lit(root).alias("dataset_root"), F.lit(mode).alias("mode"), F.lit(schema).alias("schema"),
                         F.lit(table if mode == "single" else None).cast("string").alias("table"),
