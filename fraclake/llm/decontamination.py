@@ -12,6 +12,7 @@ the tasks has a fixed bound; a document's hits are then merged.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -95,44 +96,41 @@ def scan(index: Index, column: pa.Array) -> pa.Array:
     ], names=["n_words", "n_hit", "items", "spans"])
 
 
-def blocks(items: DataFrame, size: int, block: int = BLOCK_WINDOWS) -> list[Index]:
-    """Indexes of at most twice ``block`` windows each; one unless the benchmark is huge."""
+def blocks(items: DataFrame, size: int, block: int = BLOCK_WINDOWS) -> list[DataFrame]:
+    """The windows of the items in tables of at most twice ``block`` rows; one unless the benchmark is huge."""
     found = stored(item_windows(items.select("item_id", "text"), size), "item-windows")
     parts = max(1, -(-found.count() // block))
     while True:
         part = F.pmod(F.xxhash64("item_id", "window"), F.lit(parts))
         largest = found.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] or 0
         if parts == 1 or largest <= 2 * block:
-            return [index_of(found.where(part == k).collect()) for k in range(parts)]
+            return [found.where(part == k) for k in range(parts)]
         parts *= 2
 
 
-def merged(reports: list[Column]) -> Column:
-    """One report from those of all blocks."""
-    if len(reports) == 1:
-        return reports[0]
+def scanned(index: Index) -> Column:
+    """The report of a text against one index."""
+    return by_text(lambda column: scan(index, column), f"struct<{REPORT}>")("text")
 
-    def merge(column: pa.Array, *parts: pa.Array) -> pa.Array:
-        code, (_, origin) = words(column, ALPHANUMERIC, lower=True), text_bytes(column)
-        out = []
-        lists = [p.to_pylist() for p in parts]
-        for row, reports in enumerate(zip(*lists)):
-            spans: list[list[int]] = []
-            for start, stop in sorted((s["start"], s["stop"]) for r in reports for s in r["spans"]):
-                if spans and start <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], stop)
-                else:
-                    spans.append([start, stop])
-            lo, hi = code.row[row], code.row[row + 1]
-            begins = code.start[lo:hi] - origin[row]
-            hit = sum(int(np.searchsorted(begins, b) - np.searchsorted(begins, a)) for a, b in spans)
-            out.append({"n_words": reports[0]["n_words"], "n_hit": hit,
-                        "items": sorted({i for r in reports for i in r["items"]}),
-                        "spans": [{"start": a, "stop": b} for a, b in spans]})
-        return pa.array(out, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())),
-                                        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]))
-
-    return by_text(merge, f"struct<{REPORT}>")("text", *reports)
+
+def merge(column: pa.Array, reports: pa.Array) -> pa.Array:
+    """One report for each text from those of all blocks that have hits in it."""
+    code, (_, origin) = words(column, ALPHANUMERIC, lower=True), text_bytes(column)
+    out = []
+    for row, parts in enumerate(reports.to_pylist()):
+        spans: list[list[int]] = []
+        for start, stop in sorted((s["start"], s["stop"]) for r in parts or () for s in r["spans"]):
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], stop)
+            else:
+                spans.append([start, stop])
+        lo, hi = code.row[row], code.row[row + 1]
+        begins = code.start[lo:hi] - origin[row]
+        hit = sum(int(np.searchsorted(begins, b) - np.searchsorted(begins, a)) for a, b in spans)
+        out.append({"n_words": int(hi - lo), "n_hit": hit, "items": sorted({i for r in parts or () for i in r["items"]}),
+                    "spans": [{"start": a, "stop": b} for a, b in spans]})
+    return pa.array(out, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())),
+                                    ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]))
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block: int = BLOCK_WINDOWS) -> DataFrame:
@@ -145,9 +143,16 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block: int
     columns pass through untouched.
     """
     name = fresh(docs, "contamination")
-    reports = [by_text(lambda column, index=index: scan(index, column), f"struct<{REPORT}>")("text")
-               for index in blocks(items, size, block)]
-    return docs.withColumn(name, merged(reports))
+    parts = blocks(items, size, block)
+    if len(parts) == 1:
+        return docs.withColumn(name, scanned(index_of(parts[0].collect())))
+    # one block at a time is on the driver and in the tasks; what it hits is written before the next
+    row = fresh(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = [stored(rows.select(row, scanned(index_of(part.collect())).alias("r")).where("r.n_hit > 0"), "block-hits") for part in parts]
+    hits = reduce(DataFrame.unionByName, found).groupBy(F.col(row).alias(f"{row}_hit")).agg(F.collect_list("r").alias("r"))  # one for each block at most
+    joined = rows.join(hits, F.col(row) == F.col(f"{row}_hit"), "left")
+    return joined.select(*[rows[c] for c in docs.columns], by_text(merge, f"struct<{REPORT}>")(rows["text"], hits["r"]).alias(name))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:

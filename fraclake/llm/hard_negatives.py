@@ -302,5 +302,5 @@ WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE la
        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {POSITIVES})
 SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT alike AND {LEAST} * positive_score <= 100 * score AND 100 * score <= {MOST} * positive_score
-QUALIFY rank <= {NEGATIVES} WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY rank <= {NEGATIVES}
 """

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraclake.llm.components import closed
-from fraclake.llm.frames import by_text, stored
+from fraclake.llm.frames import by_text, fresh, stored
 from fraclake.llm.words import NOT_BLANK, keys, mix, window_rows, windows, words
 
 SHINGLE = 5
@@ -154,15 +154,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return checked.where(100 * F.col("s.common") >= percent * (F.col("s.n_a") + F.col("s.n_b") - F.col("s.common"))).select("a", "b").distinct()
 
 
-def link(docs: DataFrame, percent: int = 75, also: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) and the columns ``also`` for each row of (doc_id, text).
-
-    Texts are linked when their sets of shingles have a similarity of ``percent`` / 100 or
-    more; component_id is the smallest doc_id reachable by links. A text with fewer words
-    than a shingle is one shingle; an empty or null one has none and is linked with nothing.
-    A row without doc_id cannot name a group: it is linked with nothing, has a null
-    component_id and is kept. Rows that repeat a doc_id each stand for themselves.
-    """
+def _linked(docs: DataFrame, percent: int, also: tuple[str, ...]) -> DataFrame:
+    """``link`` for rows whose doc_ids do not repeat, but for rows with the same text."""
     named = docs.select("doc_id", "text")
     sketched = stored(docs.select("doc_id", *also, by_text(sketches, f"struct<{SKETCH}>")("text").alias("s")).select("doc_id", *also, "s.*"), "sketches")
     full = sketched.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -203,22 +196,58 @@ def link(docs: DataFrame, percent: int = 75, also: tuple[str, ...] = ()) -> Data
                       F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), *also)
 
 
-def representatives(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that are kept: one document of each group, the smallest doc_id.
+def link(docs: DataFrame, percent: int = 75, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) and the columns ``also`` for each row of (doc_id, text).
 
-    Rows that repeat the kept doc_id with the same text are copies too: one of them stays.
+    Texts are linked when their sets of shingles have a similarity of ``percent`` / 100 or
+    more; component_id is the smallest doc_id reachable by links. A text with fewer words
+    than a shingle is one shingle; an empty or null one has none and is linked with nothing.
+    A row without doc_id cannot name a group: it is linked with nothing, has a null
+    component_id and is kept. Rows that repeat a doc_id each stand for themselves: each is
+    linked by its own text.
     """
-    linked = link(docs, percent)
-    gone = stored(linked.where(~F.col("kept")).select("doc_id").distinct(), "near-copies")
-    left = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    if not _repeats(linked):
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(left.where("doc_id is null"))
+    if not repeated_ids(docs):
+        return _linked(docs, percent, also)
+    rows, row = _numbered(docs.select("doc_id", "text", *also))
+    own = fresh(rows, "own")
+    found = _by_row(rows, row, own, percent, also)
+    least = found.groupBy("component_id").agg(F.min(own).alias("least"))
+    out = found.join(least.where("component_id is not null"), "component_id", "left")
+    return out.select(F.col(own).alias("doc_id"), "n_shingles", F.col("least").alias("component_id"),
+                      F.coalesce(F.col(own) == F.col("least"), F.lit(True)).alias("kept"), *also)
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written, with a column of different numbers, and its name."""
+    row = fresh(docs, "row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
-def _repeats(linked: DataFrame) -> bool:
-    """Whether a kept doc_id occurs more than once."""
-    return not linked.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+def _by_row(rows: DataFrame, row: str, own: str, percent: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """Numbered rows linked by their numbers; the column ``own`` holds their doc_ids."""
+    number = F.when(F.col("doc_id").isNotNull(), F.col(row)).alias("doc_id")
+    return _linked(rows.select(number, "text", F.col("doc_id").alias(own), *also), percent, (own, *also))
+
+
+def representatives(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that are kept: one document of each group, the smallest doc_id.
+
+    Rows that repeat a doc_id each stand for themselves; of the rows of a group with the smallest
+    doc_id one stays. Rows without a doc_id stay.
+    """
+    if not repeated_ids(docs):
+        gone = stored(_linked(docs, percent, ()).where(~F.col("kept")).select("doc_id").distinct(), "near-copies")
+        return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rows, row = _numbered(docs)
+    found = _by_row(rows, row, "own", percent).where("doc_id is not null")
+    stays = found.groupBy("component_id").agg(F.min_by("doc_id", F.struct("own", "doc_id")).alias(row)).select(row)
+    left = rows.where("doc_id is not null").join(stored(stays, "staying-rows"), row, "left_semi").unionByName(rows.where("doc_id is null"))
+    return left.select(*[f"`{c}`" for c in docs.columns])
+
+
+def repeated_ids(docs: DataFrame) -> bool:
+    """Whether a doc_id occurs more than once."""
+    return not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
 SQL = r"""

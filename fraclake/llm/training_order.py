@@ -15,11 +15,13 @@ finished shards as they are.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,17 +112,43 @@ def shard_file(base: str, shard: int) -> str:
     return f"{base}/shard-{shard:08d}.bin"
 
 
+def content(pool: DataFrame) -> int:
+    """A number that changes with the sequences, their documents and their order."""
+    return pool.agg(F.bit_xor(F.xxhash64("index", "doc_id", "piece", "ids"))).first()[0]
+
+
+def begin(root: str, manifest: dict) -> None:
+    """Write the manifest of the shards under ``root``; ValueError if there are others."""
+    store, base = file_system(root)
+    name = f"{base}/manifest.json"
+    if store.get_file_info(name).is_file:
+        with store.open_input_file(name) as file:
+            told = json.loads(file.read())
+        if told != manifest:
+            raise ValueError(f"{root} holds shards of other sequences or of another order")
+    elif any(f.base_name.endswith(".bin") for f in store.get_file_info(fs.FileSelector(base, allow_not_found=True))):
+        raise ValueError(f"{root} holds shards without a manifest")
+    else:
+        put_file(store, name, json.dumps(manifest).encode(), "manifest")
+
+
 def materialised(docs: DataFrame, path: str, root: str, length: int = LENGTH, rows: int = ROWS, waves: int = WAVES,
                  key: int = KEY, end: int = END) -> int:
     """Write the sequences of (doc_id, text) rows as shards under ``root``; returns their number.
 
     A null or empty text is one sequence with the end token alone; a null doc_id is stored as
-    the smallest bigint. An empty table writes nothing.
+    the smallest bigint, so a document with that id reads as one without. An empty table
+    writes nothing. Ids of the vocabulary must fit into two bytes, else a ValueError says so.
+
+    A manifest is written first. A job that broke off is taken up where it was: shards of the
+    right size are kept if the manifest tells of the same sequences in the same order, and a
+    folder with other shards is refused.
     """
     spark = docs.sparkSession
     pool, total = numbered(docs, path, length, end)
     if not total:
         return 0
+    begin(root, {"key": key, "length": length, "rows": rows, "end": end, "total": total, "content": content(pool)})
     placed = pool.withColumn("slot", slot_of(F.col("index"), total, key)).withColumn("shard", F.floor(F.col("slot") / rows))
     shards = -(-total // rows)
     width = stride(length)

@@ -17,7 +17,7 @@ from check import compare
 @pytest.fixture(scope="module")
 def connection(small):
     c = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small}/{t}.parquet'")
     return c
 
@@ -81,6 +81,34 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert near_duplicates.link(empty).count() == 0 and near_duplicates.representatives(empty).count() == 0
 
 
+def test_rows_that_repeat_an_id_are_linked_by_their_own_texts(spark, small):
+    r = random.Random(8)
+    a, b = ([f"w{r.randrange(10**6)}" for _ in range(120)] for _ in range(2))
+    texts = {"A": " ".join(a), "Ax": " ".join([*a[:-1], "x"]), "B": " ".join(b), "By": " ".join([*b[:-1], "y"])}
+    rows = [(1, "A"), (2, "Ax"), (2, "B"), (3, "By"), (3, "By"), (2, "B"), (None, "A")]
+    docs = spark.createDataFrame([(i, texts[t], "s", "en", len(texts[t])) for i, t in rows], "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    found = near_duplicates.link(docs.select("doc_id", "text"), also=()).collect()
+    names = {(r.doc_id, r.component_id, r.kept) for r in found}
+    assert len(found) == 7 and names == {(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (None, None, True)}
+    kept = near_duplicates.representatives(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, texts["A"]), (1, texts["A"]), (2, texts["B"])]
+    several = line_frequency.without_boilerplate(docs, near=True)
+    assert several.count() == 7
+
+
+def test_pipeline_of_odd_rows(spark, small, odd):
+    """Nulls, empty and repeated rows and columns with clashing names go through every stage but the last, which packs them."""
+    texts = [r.text for r in odd.select("text").collect()]
+    for docs in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            before = docs
+            docs = queries_stored(stage(spark, docs, small), name)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == before.columns and docs.count() <= before.count()
+                assert {r.text for r in docs.collect()} <= set(texts)
+        assert docs.count() >= (before.count() > 0)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 20)] + [(50, 51), (51, 50), (60, 60)]
     labels = {r.node: r.label for r in closed(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

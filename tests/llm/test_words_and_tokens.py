@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
@@ -153,8 +154,12 @@ def test_training_order_round_trip(spark, odd, empty, library, tmp_path):
         assert b"".join(v[0] for _, v in sorted(whole[doc_id].items())) == ids
     part = training_order.read(spark, root, total, first=5, last=40, length=8, rows=16).collect()
     assert sorted(part) == sorted(r for r in rows if 5 <= r.slot < 40)
-    stamps = {p: p.stat().st_mtime_ns for p in (tmp_path / "shards").iterdir()}
+    stamps = {p: p.stat().st_mtime_ns for p in (tmp_path / "shards").glob("*.bin")}
     assert len(stamps) == -(-total // 16)
     training_order.materialised(odd, PATH, root, length=8, rows=16, waves=2)
-    assert stamps == {p: p.stat().st_mtime_ns for p in (tmp_path / "shards").iterdir()}
+    assert stamps == {p: p.stat().st_mtime_ns for p in (tmp_path / "shards").glob("*.bin")}
+    with pytest.raises(ValueError, match="other"):  # shards of another order are not taken for these
+        training_order.materialised(odd, PATH, root, length=8, rows=16, waves=2, key=5)
+    with pytest.raises(ValueError, match="other"):
+        training_order.materialised(odd.withColumn("text", F.concat(F.lit("a "), "text")), PATH, root, length=8, rows=16)
     assert training_order.materialised(empty, PATH, f"file://{tmp_path}/none") == 0
