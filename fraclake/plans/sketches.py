@@ -12,6 +12,7 @@ from fraclake.operators.sketching import generated_sketches, kmer_hashes, max_ha
 from fraclake.plans.inputs import (WORD_KSIZES, dna, sql_kmers, sql_word_bag, table, wide, word_bag)
 from fraclake.shared import shared_folder
 from fraclake.sources.fasta import read_fasta
+from fraclake.sources.fasta_ranges import read_fasta_ranges
 
 DNA_SCALED = 100
 MURMUR_SCALED = 10
@@ -99,6 +100,18 @@ def fasta_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmer_hashes(records, ["file"], "seq", (31,), DNA_SCALED, "md5_64", spread=True).distinct()
 
 
+def fasta_ranges_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from plain files that are read by ranges, most of which begin inside a sequence."""
+    root = shared_folder(spark, "fasta")
+    docs = wide(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    lines = F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" lang>"), F.col("lang"), F.lit("\n"),
+                     F.regexp_replace(F.lower(dna("text")), "(.{60})", "$1\n"))
+    docs.select("lang", lines.alias("value")).write.partitionBy("lang").text(root)
+    pieces = read_fasta_ranges(spark, root, 31, ".txt", 5000)
+    named = pieces.select(F.regexp_extract("path", r"lang=([^/]+)/", 1).alias("file"), "seq")
+    return kmer_hashes(named, ["file"], "seq", (31,), DNA_SCALED, "md5_64").distinct()
+
+
 def _row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full-width hash per lineitem row; half of them have the sign bit set."""
     lines = wide(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
@@ -157,6 +170,7 @@ QUERIES = {
     "dna_kmer_sketch": dna_kmer_sketch,
     "dna_murmur_sketch": dna_murmur_sketch,
     "fasta_sketch": fasta_sketch,
+    "fasta_ranges_sketch": fasta_ranges_sketch,
     "splitmix_partition": _partition("mix"),
     "low_partition": _partition("low"),
     "high_partition": _partition("high"),
@@ -190,3 +204,5 @@ ORACLES = {
       FROM {_MIXED} JOIN (SELECT l_orderkey, u AS u2 FROM h) h USING (l_orderkey)""",
     "synthetic_sets": _SYNTHETIC,
 }
+
+ORACLES["fasta_ranges_sketch"] = ORACLES["fasta_sketch"]
