@@ -86,8 +86,8 @@ def term_counts(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def drawn_entry(column: pa.Array) -> pa.Array:
     found = term_counts(column)
-    kind = pa.list_(pa.int64())
-    return pa.StructArray.from_arrays([pa.array([t.view(np.int64) for t, _ in found], kind), pa.array([n for _, n in found], kind)], names=["t", "n"])
+    terms, times = [t.view(np.int64) for t, _ in found], [n.astype(np.int32) for _, n in found]
+    return pa.StructArray.from_arrays([pa.array(terms, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))], names=["t", "n"])
 
 
 def weighed(train: DataFrame, n: int, wanted: np.ndarray) -> Terms:
@@ -263,10 +263,11 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     shares = {1: min(1.0, total / 2 / toxic), 0: min(1.0, total / 2 / (n - toxic))}
     chance = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 30))
     limit = F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30)))
-    drawn = train.where(chance < limit).select("doc_id", "toxic", chance.alias("chance"), by_text(drawn_entry, "struct<t:array<bigint>,n:array<bigint>>")("text").alias("v"))
+    drawn = train.where(chance < limit).select("doc_id", "toxic", chance.alias("chance"), by_text(drawn_entry, "struct<t:array<bigint>,n:array<int>>")("text").alias("v"))
     got = drawn.limit(2 * total).toArrow().combine_chunks()
     ids, ys, chances, v = got["doc_id"].to_pylist(), got["toxic"].to_pylist(), got["chance"].to_pylist(), pa.chunked_array(got["v"]).combine_chunks()
     t, times = v.field("t"), v.field("n")
+    del got
     rows = sorted(range(len(ids)), key=lambda i: (chances[i], ids[i], ys[i]))
     # a hash independent of the chance deals the rows to the index and to calibration
     pick = [hash_of(ids[i]) for i in rows]
@@ -288,6 +289,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     shared = texts >= BLOCK // 8
     order = sorted(examples, key=lambda i: (vectors[i][0][np.argmax(vectors[i][1] * shared[vectors[i][0]])], ids[i]))
     index = BlockMaxIndex([vectors[i] for i in order], len(known))
+    del vectors
     model = Model(terms, known, index, np.array([float(ys[i]) for i in order]), np.array([ids[i] for i in order]), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), toxic / n)
     votes = [(model.vote(*vector(i))[0], ys[i]) for i in others]
     # undo the drawing shares: a sampled clean document stands for more than a toxic one
