@@ -11,6 +11,7 @@ from fraclake.plans.inputs import WORD_KSIZES, WORD_SCALED, sql_word_bag, wide
 from fraclake.shared import shared_folder
 from fraclake.sinks.archives import pack_archives, write_files
 from fraclake.sources.archives import decode_archive_files, decode_archives, flat_hashes, list_archives, sketch_rows
+from fraclake.sources.formats import NAME, register
 from fraclake.sources.signatures import decode_signatures
 
 MAX_HASH = max_hash_for(WORD_SCALED)
@@ -78,6 +79,15 @@ def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     for c in ("source_file", "sketch_name")])
 
 
+def archive_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hashes of one k, read as a format that decodes only sketches of that k."""
+    root = shared_folder(spark, "archives")
+    write_document_archives(sketched_documents(spark, sf_dir), root)
+    register(spark)
+    rows = spark.read.format(NAME).load(root).where("ksize = 5")
+    return flat_hashes(rows).distinct().select("hash", "ksize", "scaled", *[F.regexp_extract(c, "[^/]+$", 0).alias(c) for c in ("source_file", "sketch_name")])
+
+
 def archive_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All archives one directory down, members at the root only: one set of hashes."""
     root = shared_folder(spark, "archives")
@@ -149,6 +159,7 @@ def signature_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "archive_roundtrip": archive_roundtrip,
+    "archive_format": archive_format,
     "archive_union": archive_union,
     "archive_sketches": archive_sketches,
     "archive_status": archive_status,
@@ -172,6 +183,9 @@ ORACLES = {
     "archive_roundtrip": f"""
       SELECT DISTINCT hash, ksize, {WORD_SCALED}::BIGINT AS scaled, {SQL_NAME} AS source_file,
              CASE WHEN doc_id % 4 = 2 THEN {SQL_NAME} ELSE 'doc-' || doc_id END AS sketch_name FROM {_BAG}""",
+    "archive_format": f"""
+      SELECT DISTINCT hash, ksize, {WORD_SCALED}::BIGINT AS scaled, {SQL_NAME} AS source_file,
+             CASE WHEN doc_id % 4 = 2 THEN {SQL_NAME} ELSE 'doc-' || doc_id END AS sketch_name FROM {_BAG} WHERE ksize = 5""",
     "archive_union": f"SELECT DISTINCT ksize, hash FROM {_BAG} WHERE ksize = 3",
     "archive_sketches": f"""
       SELECT {SQL_NAME} AS source_file, ksize, {WORD_SCALED}::BIGINT AS scaled,

@@ -8,6 +8,7 @@ import zipfile
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo
 
 from fraclake.functions.unsigned import signed
 from fraclake.operators.counting import extraction_counts, row_count, run_statistics, sized_counts
@@ -15,6 +16,7 @@ from fraclake.operators.hash_sets import unique_hashes
 from fraclake.sinks.archives import write_files, write_vectors
 from fraclake.sources.archives import decode_archives, find_archives, flat_hashes, list_archives, sketch_rows
 from fraclake.sources.files import dealt_by_bytes, list_files
+from fraclake.sources.formats import NAME, ArchiveReader, register
 from fraclake.sources.signatures import decode_signatures
 from fraclake.sources.vectors import find_vectors, read_vectors
 
@@ -92,6 +94,24 @@ def test_decode_isolates_every_failure(spark, root):
     rows.unpersist()
 
 
+def test_archives_as_a_format(spark, root):
+    register(spark)
+    read = lambda **o: spark.read.format(NAME).options(**o).load(root)
+    plain = lambda df: sorted(repr(tuple(r)) for r in df.withColumn("error", F.lit(0)).withColumn("path", F.regexp_replace("path", "^file:", "")).collect())
+    whole = decode_archives(find_archives(spark, root))
+    assert plain(read()) == plain(whole)
+    assert plain(read(root_only="true")) == plain(decode_archives(find_archives(spark, root), root_only=True))
+    for wanted in ("ksize = 31", "ksize IN (15, 33)", "ksize = 31 AND ksize IN (15, 33)", "ksize = 31 AND status = 'ok'"):
+        flat = lambda df: sorted(map(tuple, flat_hashes(df.where(wanted)).select("hash", "ksize", "scaled").collect()))
+        assert flat(read()) == flat(whole)
+    reader = ArchiveReader(root, False)
+    other = EqualTo(("status",), "ok")
+    assert list(reader.pushFilters([EqualTo(("ksize",), 31), other])) == [other] and reader.ksizes == {31}
+    assert all(b["ksize"].to_pylist() == [31] * b.num_rows for p in reader.partitions() for b in reader.read(p))
+    with pytest.raises(Exception, match="folder"):
+        spark.read.format(NAME).load().count()
+
+
 def test_member_rule_and_all_ksizes(spark, root):
     rows = decode_archives(find_archives(spark, root), root_only=True)
     found = {(r.ksize, r.hash) for r in unique_hashes(flat_hashes(rows)).collect()}
