@@ -7,14 +7,16 @@ fall below N, so P is a permutation of 0..N-1 that any task computes by itself.
 holds ``rows`` neighbouring slots as rows of one stride, so slot s is row s mod rows of shard
 s div rows: training reads shards from front to back, and resumes by a seek.
 
-Ids are encoded once, into a compressed table. The table is then ordered in waves of slots:
-each wave shuffles its share only and its shuffle files go when it ends, so the disk needed
-beside input and output is a fraction of the corpus. A wave that is run again leaves
-finished shards as they are.
+Ids are encoded once, into a compressed table. With their number known, each sequence gets its
+slot, and the table is written once more, a folder for each wave of slots; the first one goes.
+Each wave then reads and shuffles its own folder only, which goes with its shuffle files when
+the wave ends, so the disk needed beside input and output is a fraction of the corpus. A wave
+that is run again leaves finished shards as they are.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
 from collections.abc import Iterator
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from fraclake.llm.bpe import SLICE, Encoder, texts_of
 from fraclake.llm.frames import by_text
 from fraclake.llm.words import keys, mix
-from fraclake.shared import shared_folder
+from fraclake.shared import delete, passing, shared_folder
 from fraclake.sinks.archives import file_system, put_file
 
 LENGTH, ROWS, WAVES, ROUNDS, KEY, END = 256, 8192, 8, 6, 20240229, 50256
@@ -108,13 +110,38 @@ def numbered(docs: DataFrame, path: str, length: int, end: int) -> tuple[DataFra
     return rows.join(F.broadcast(bases), F.shiftright("row", 33) == F.col("partition")).withColumn("index", F.col("base") + place).select("doc_id", "piece", "ids", "index"), total
 
 
+def in_waves(pool: DataFrame, total: int, key: int, rows: int, per: int) -> str:
+    """Write the sequences with their slots, a folder wave=N for each ``per`` shards; returns the folder of these.
+
+    ``mark`` is a hash of a row, so that all can be compared later without reading the ids.
+    """
+    spark = pool.sparkSession
+    folder = shared_folder(spark, "waves")
+    slotted = (pool.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumn("slot", slot_of(F.col("index"), total, key))
+               .withColumn("shard", F.floor(F.col("slot") / rows)))
+    marked = slotted.withColumn("mark", F.xxhash64("index", "doc_id", "piece", "ids")).withColumn("wave", F.floor(F.col("shard") / per))
+    marked.drop("index").write.option("compression", "zstd").partitionBy("wave").parquet(folder)
+    return folder
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session that holds inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def shard_file(base: str, shard: int) -> str:
     return f"{base}/shard-{shard:08d}.bin"
 
 
-def content(pool: DataFrame) -> int:
+def content(spark: SparkSession, folder: str) -> int:
     """A number that changes with the sequences, their documents and their order."""
-    return pool.agg(F.bit_xor(F.xxhash64("index", "doc_id", "piece", "ids"))).first()[0]
+    return spark.read.schema("mark bigint").parquet(folder).agg(F.bit_xor("mark")).first()[0]
 
 
 def begin(root: str, manifest: dict) -> None:
@@ -145,12 +172,15 @@ def materialised(docs: DataFrame, path: str, root: str, length: int = LENGTH, ro
     folder with other shards is refused.
     """
     spark = docs.sparkSession
-    pool, total = numbered(docs, path, length, end)
-    if not total:
-        return 0
-    begin(root, {"key": key, "length": length, "rows": rows, "end": end, "total": total, "content": content(pool)})
-    placed = pool.withColumn("slot", slot_of(F.col("index"), total, key)).withColumn("shard", F.floor(F.col("slot") / rows))
-    shards = -(-total // rows)
+    with passing(spark) as made, setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(waves + 1)):
+        pool, total = numbered(docs, path, length, end)
+        if not total:
+            return 0
+        shards = -(-total // rows)
+        per = -(-shards // max(1, waves))
+        folder = in_waves(pool, total, key, rows, per)
+        made.remove(folder)
+    begin(root, {"key": key, "length": length, "rows": rows, "end": end, "total": total, "content": content(spark, folder)})
     width = stride(length)
 
     def write(table: pa.Table) -> pa.Table:
@@ -170,18 +200,13 @@ def materialised(docs: DataFrame, path: str, root: str, length: int = LENGTH, ro
             put_file(store, name, block.tobytes(), str(TaskContext.get().taskAttemptId()))
         return pa.table({"shard": pa.array([shard], pa.int64()), "rows": pa.array([n], pa.int64())})
 
-    per = -(-shards // max(1, waves))
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, "false")
-    try:
-        spark.conf.set(setting, "true")
-        for first in range(0, shards, per):
-            wave = placed.where(F.col("slot").between(first * rows, (first + per) * rows - 1)).select("doc_id", "piece", "ids", "slot", "shard")
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        for n, first in enumerate(range(0, shards, per)):
+            wave = spark.read.schema("doc_id bigint, piece int, ids binary, slot bigint, shard bigint").parquet(f"{folder}/wave={n}")
             # one shard is a key, and as large as any other
             dealt = wave.repartition(min(per, shards - first), "shard").groupBy("shard")
             dealt.applyInArrow(write, "shard bigint, rows bigint").write.format("noop").mode("overwrite").save()
-    finally:
-        spark.conf.set(setting, before)
+            delete(spark, f"{folder}/wave={n}")
     return total
 
 

@@ -1,3 +1,4 @@
+import contextlib
 import random
 import zlib
 
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 import brute
 from brute import TEXTS
+from fraclake import shared
 from fraclake.llm import bpe, packing, token_counts, training_order, words
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -163,3 +165,22 @@ def test_training_order_round_trip(spark, odd, empty, library, tmp_path):
     with pytest.raises(ValueError, match="other"):
         training_order.materialised(odd.withColumn("text", F.concat(F.lit("a "), "text")), PATH, root, length=8, rows=16)
     assert training_order.materialised(empty, PATH, f"file://{tmp_path}/none") == 0
+
+
+def test_waves_hold_their_slots_and_leave_nothing(spark, odd, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(training_order, "shared_folder", lambda spark, label: made.append(f"{tmp_path}/{label}") or made[-1])
+    monkeypatch.setattr(training_order, "passing", lambda spark: contextlib.nullcontext(made))
+    pool, total = training_order.numbered(odd, PATH, 8, 50256)
+    folder = training_order.in_waves(pool, total, 5, 16, 2)
+    rows = spark.read.parquet(folder).select("slot", "shard", "wave").collect()
+    assert sorted(r.slot for r in rows) == list(range(total))
+    assert all(r.shard == r.slot // 16 and r.wave == r.slot // 32 for r in rows)
+    assert training_order.content(spark, folder) == pool.agg(F.bit_xor(F.xxhash64("index", "doc_id", "piece", "ids"))).first()[0]
+
+
+def test_intermediate_folders_go_with_their_waves(spark, odd, tmp_path):
+    before = len(shared._folders)
+    training_order.materialised(odd, PATH, f"file://{tmp_path}/shards", length=8, rows=16, waves=3)
+    left, = shared._folders[before:]  # the first pool is gone, and of the second only an empty folder is left
+    assert "/waves-" in left and not [n for n in shared.entries(spark, left) if n.startswith("wave=")]
