@@ -10,6 +10,7 @@ from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, kn
 from fraclake.plans.listings import BASE, listing_pages, sql_candidates
 from fraclake.shared import fresh_database, shared_folder
 from fraclake.sinks.archives import write_files
+from fraclake.streaming.filtered import compact_filtered_set, grow_filtered_set
 from fraclake.streaming.ingest import (compact_table, compact_unique_set, grow_unique_set, grow_unique_table, ingest_archives, ingested,
                                        ingested_hashes, read_grown_set, read_grown_table)
 from fraclake.streaming.ledger import compact_ledger, feed_ledger, read_ledger_version, record_outcomes
@@ -92,6 +93,17 @@ def stream_unique_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_grown_set(spark, f"{base}/out")
 
 
+def stream_unique_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with filters beside the folders; what was sold comes a second time after compaction, and is known."""
+    base = shared_folder(spark, "stream-filtered")
+    for bag in (sold_keys(spark, sf_dir), known_keys(spark, sf_dir), sold_keys(spark, sf_dir)):
+        _with_null(bag).write.mode("append").parquet(f"{base}/in")
+        hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
+        grow_filtered_set(hashes, f"{base}/out", f"{base}/checkpoint", bits=4).awaitTermination()
+        compact_filtered_set(spark, f"{base}/out", bits=4, keep=1)
+    return read_grown_set(spark, f"{base}/out")
+
+
 def stream_unique_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table without NULLs and without compaction."""
     base, table_name = shared_folder(spark, "stream-table"), f"{fresh_database(spark)}.hashes"
@@ -128,6 +140,7 @@ QUERIES = {
     "stream_archive_retries": stream_archive_retries,
     "stream_unique": stream_unique,
     "stream_unique_folder": stream_unique_folder,
+    "stream_unique_filtered": stream_unique_filtered,
     "stream_unique_table": stream_unique_table,
     "stream_ledger": stream_ledger,
 }
@@ -151,6 +164,7 @@ ORACLES = {
       FROM documents LEFT JOIN t USING (doc_id)""",
     "stream_unique": _SQL_WITH_NULLS,
     "stream_unique_folder": _SQL_WITH_NULLS,
+    "stream_unique_filtered": _SQL_WITH_NULLS,
     "stream_unique_table": f"SELECT ksize, hash FROM {SQL_SOLD_KEYS} UNION SELECT ksize, hash FROM {SQL_KNOWN_KEYS}",
     "stream_ledger": f"""
       WITH c AS (SELECT subdir, filename, url, min(1 - page_id % 2) AS first, max(1 - page_id % 2) AS last
