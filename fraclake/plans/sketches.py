@@ -8,7 +8,7 @@ from fraclake.functions import register_sql
 from fraclake.functions.hashing import (ADD_1, ADD_2, C1, C2, FINAL_1, FINAL_2, KMER_SEED, md5_64)
 from fraclake.functions.mixing import (GOLDEN_GAMMA, MULTIPLIER_1, MULTIPLIER_2, SHIFT_1, SHIFT_2, SHIFT_3,
                                        hex_label, with_partition_id)
-from fraclake.operators.sketching import generated_sketches, kmer_hashes, max_hash_for
+from fraclake.operators.sketching import KSIZES, SCALED, generated_sketches, kmer_hashes, max_hash_for
 from fraclake.plans.inputs import (WORD_KSIZES, dna, sql_kmers, sql_word_bag, table, wide, word_bag)
 from fraclake.shared import shared_folder
 from fraclake.sources.fasta import read_fasta
@@ -41,6 +41,12 @@ def dna_murmur_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmer_hashes(records, ["conv_id"], "seq", (15, 31), MURMUR_SCALED, "murmur64").distinct()
 
 
+def dna_default_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the parameters that sketches have by default."""
+    records = wide(spark, sf_dir, "conversations", "conv_id", "text").select("conv_id", dna("text").alias("seq"))
+    return kmer_hashes(records, ["conv_id"], "seq").distinct()
+
+
 def _sql_word(first: int, count: int) -> str:
     """Little-endian value of up to eight characters of a k-mer."""
     if count == 0:
@@ -57,19 +63,19 @@ def _sql_rotl(a: str, n: int) -> str:
 
 
 def _sql_murmur(kmers: str, key: str, k: int) -> str:
-    """MurmurHash3 x64-128, first word, one step per sub-query; k below 32."""
+    """MurmurHash3 x64-128, first word, one step per sub-query."""
     def scrambled(word: str, first: int, turn: int, last: int) -> str:
         return _sql_times(_sql_rotl(_sql_times(word, first), turn), last)
 
     base = f"SELECT {key}, kmer, {KMER_SEED}::UHUGEINT AS h1, {KMER_SEED}::UHUGEINT AS h2 FROM {kmers}"
     at = 1
-    if k >= 16:
-        base = (f"SELECT *, {scrambled(_sql_word(1, 8), C1, 31, C2)} AS k1,"
-                f" {scrambled(_sql_word(9, 8), C2, 33, C1)} AS k2 FROM ({base})")
+    while k - at + 1 >= 16:
+        base = (f"SELECT *, {scrambled(_sql_word(at, 8), C1, 31, C2)} AS k1,"
+                f" {scrambled(_sql_word(at + 8, 8), C2, 33, C1)} AS k2 FROM ({base})")
         base = f"SELECT {key}, kmer, {_sql_rotl('xor(h1, k1)', 27)} AS g1, xor(h2, k2) AS g2, h2 FROM ({base})"
         base = f"SELECT {key}, kmer, ((g1 + h2) * 5 + {ADD_1}) & {_LOW} AS h1, g2 FROM ({base})"
         base = f"SELECT {key}, kmer, h1, (({_sql_rotl('g2', 31)} + h1) * 5 + {ADD_2}) & {_LOW} AS h2 FROM ({base})"
-        at = 17
+        at += 16
     tail = k - at + 1
     base = (f"SELECT {key}, xor(xor(h1, {scrambled(_sql_word(at, min(8, tail)), C1, 31, C2)}), {k}::UHUGEINT) AS h1,"
             f" xor(xor(h2, {scrambled(_sql_word(at + 8, max(0, tail - 8)), C2, 33, C1)}), {k}::UHUGEINT) AS h2"
@@ -81,7 +87,9 @@ def _sql_murmur(kmers: str, key: str, k: int) -> str:
     return f"SELECT {key}, {k}::INTEGER AS ksize, (xor(h1, h1 >> 33) + xor(h2, h2 >> 33)) & {_LOW} AS u FROM ({base})"
 
 
-_MURMUR = " UNION ALL ".join(_sql_murmur(sql_kmers("conversations", "conv_id", k), "conv_id", k) for k in (15, 31))
+def _sql_murmur_sketch(ksizes: tuple[int, ...], scaled: int) -> str:
+    hashes = " UNION ALL ".join(_sql_murmur(sql_kmers("conversations", "conv_id", k), "conv_id", k) for k in ksizes)
+    return f"SELECT DISTINCT conv_id, ksize, {sql_signed('u')} AS hash FROM ({hashes}) WHERE u <= {max_hash_for(scaled)}::UHUGEINT"
 
 
 _sql_by_length = " UNION ALL ".join(
@@ -169,6 +177,7 @@ QUERIES = {
     "text_sketch": text_sketch,
     "dna_kmer_sketch": dna_kmer_sketch,
     "dna_murmur_sketch": dna_murmur_sketch,
+    "dna_default_sketch": dna_default_sketch,
     "fasta_sketch": fasta_sketch,
     "fasta_ranges_sketch": fasta_ranges_sketch,
     "splitmix_partition": _partition("mix"),
@@ -189,9 +198,8 @@ def _sql_dna(key: str, source: str) -> str:
 ORACLES = {
     "text_sketch": f"SELECT DISTINCT doc_id, ksize, hash FROM {sql_word_bag('documents', 'doc_id', WORD_KSIZES)}",
     "dna_kmer_sketch": _sql_dna("doc_id", sql_kmers("documents", "doc_id", 31)),
-    "dna_murmur_sketch": f"""
-      SELECT DISTINCT conv_id, ksize, u::BIGINT AS hash FROM ({_MURMUR})
-      WHERE u <= {max_hash_for(MURMUR_SCALED)}::UHUGEINT""",
+    "dna_murmur_sketch": _sql_murmur_sketch((15, 31), MURMUR_SCALED),
+    "dna_default_sketch": _sql_murmur_sketch(KSIZES, SCALED),
     "fasta_sketch": _sql_dna("file", "(SELECT lang AS file, kmer FROM documents JOIN "
                              + sql_kmers("documents", "doc_id", 31) + " USING (doc_id))"),
     "splitmix_partition": _sql_partition(_MIXED, f"m >> {64 - PART_BITS}"),

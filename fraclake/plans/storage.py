@@ -18,6 +18,7 @@ from fraclake.sinks.archives import array_files, write_files, write_vectors
 from fraclake.sinks.reports import write_report
 from fraclake.sources.hash_sets import (OWN_TYPE, discover_ksizes, manifests_agree, read_bucketed_set, read_manifest,
                                          read_unique_set)
+from fraclake.sources.formats import VECTORS, register
 from fraclake.sources.vectors import find_vectors, read_vectors
 
 CREATED_AT = "2025-08-12 00:00:00"
@@ -180,6 +181,16 @@ def npy_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_hash.groupBy("ksize", "part").agg(F.sum("n").alias("stored"), F.count(F.lit(1)).alias("distinct_hashes"))
 
 
+def vector_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One k of the raw vectors, read as a format that opens only the folders of that k."""
+    root = shared_folder(spark, "vectors")
+    write_vectors(sold_keys(spark, sf_dir), root, BITS)
+    register(spark)
+    values = spark.read.format(VECTORS).option("values", 1000).load(root).where("ksize = 31")
+    per_hash = values.groupBy("ksize", "part", "hash").agg(F.count(F.lit(1)).alias("n"))
+    return per_hash.groupBy("ksize", "part").agg(F.sum("n").alias("stored"), F.count(F.lit(1)).alias("distinct_hashes"))
+
+
 def bin_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of stored values from file sizes and from reading them, and whether files and
     their mean agree with it: every partition has a file, and the mean times the files is the sum."""
@@ -208,6 +219,7 @@ QUERIES = {
     "manifest_guard": manifest_guard,
     "bin_vectors": bin_vectors,
     "npy_vectors": npy_vectors,
+    "vector_format": vector_format,
     "bin_roundtrip_counts": bin_roundtrip_counts,
 }
 
@@ -265,6 +277,9 @@ ORACLES = {
     "bin_vectors": f"""
       SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash) AS distinct_hashes
       FROM {SQL_SOLD_KEYS} GROUP BY ALL""",
+    "vector_format": f"""
+      SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash) AS distinct_hashes
+      FROM {SQL_SOLD_KEYS} WHERE ksize = 31 GROUP BY ALL""",
     "npy_vectors": f"""
       SELECT ksize, {_PART} AS part, count(*) AS stored, count(DISTINCT hash & 65535) AS distinct_hashes
       FROM {SQL_SOLD_KEYS} GROUP BY ALL""",

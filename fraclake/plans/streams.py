@@ -10,6 +10,8 @@ from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, kn
 from fraclake.plans.listings import BASE, listing_pages, sql_candidates
 from fraclake.shared import fresh_database, shared_folder
 from fraclake.sinks.archives import write_files
+from fraclake.sources.archives import flat_hashes
+from fraclake.sources.formats import NAME, register
 from fraclake.streaming.filtered import compact_filtered_set, grow_filtered_set
 from fraclake.streaming.ingest import (compact_table, compact_unique_set, grow_unique_set, grow_unique_table, ingest_archives, ingested,
                                        ingested_hashes, read_grown_set, read_grown_table)
@@ -37,6 +39,23 @@ def stream_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("stored"))
 
 
+def stream_archive_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives as a stream that runs twice over a folder; the second time it finds those that came
+    since, which carry times long past."""
+    base = shared_folder(spark, "stream-format")
+    sketched = sketched_documents(spark, sf_dir)
+    register(spark)
+    odd = F.col("doc_id") % 2 == 1
+    for part, days in ((odd, 0), (~odd, 30)):
+        write_document_archives(sketched.where(part), f"{base}/in", days)
+        rows = spark.readStream.format(NAME).option("ksizes", "5").option("settle", 0).load(f"{base}/in")
+        flat = flat_hashes(rows).select("hash", "ksize", "scaled", "source_file")
+        (flat.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+         .start(f"{base}/out").awaitTermination())
+    flat = spark.read.schema("hash bigint, ksize int, scaled bigint, source_file string").parquet(f"{base}/out")
+    return flat.groupBy(F.regexp_extract("source_file", "[^/]+$", 0).alias("source_file"), "ksize").agg(F.count(F.lit(1)).alias("stored"))
+
+
 def stream_archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of damaged archives and members over two runs, the second of which finds the rest."""
     base = shared_folder(spark, "stream-errors")
@@ -136,6 +155,7 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stream_archives": stream_archives,
+    "stream_archive_format": stream_archive_format,
     "stream_archive_errors": stream_archive_errors,
     "stream_archive_retries": stream_archive_retries,
     "stream_unique": stream_unique,
@@ -154,6 +174,10 @@ ORACLES = {
       SELECT {SQL_NAME} AS source_file, ksize,
              CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS stored
       FROM {_BAG} GROUP BY doc_id, ksize""",
+    "stream_archive_format": f"""
+      SELECT {SQL_NAME} AS source_file, ksize,
+             CASE WHEN doc_id % 4 = 3 THEN count(DISTINCT hash) ELSE count(*) END AS stored
+      FROM {_BAG} WHERE ksize = 5 GROUP BY doc_id, ksize""",
     "stream_archive_errors": f"""{SQL_KINDS}
       SELECT (1 + doc_id % 2)::INTEGER AS run, status, count(*) AS n, count(*) FILTER (status LIKE 'bad%') AS errors FROM m GROUP BY ALL""",
     "stream_archive_retries": f"""

@@ -19,9 +19,10 @@ _ENTRIES, TASK_BYTES = 10_000, 64 << 20
 _LISTED = "path string, length bigint, mtime double, folder boolean"
 
 
-def _children(uri: str) -> Iterator[tuple[str, int, float, bool]]:
+def _children(uri: str, came: bool = False) -> Iterator[tuple[str, int, float, bool]]:
     """What is directly in a folder, or the file itself. A local folder is read entry by entry, so a
-    wide one fills no memory; other stores answer with one list for a folder."""
+    wide one fills no memory; other stores answer with one list for a folder. With ``came`` the
+    time is when a local file was put there, which copies that keep times do not set back."""
     store, path = file_system(uri)
     if isinstance(store, fs.LocalFileSystem) and os.path.isdir(path):
         with os.scandir(path) as found:
@@ -30,7 +31,7 @@ def _children(uri: str) -> Iterator[tuple[str, int, float, bool]]:
                     told = entry.stat()
                 except FileNotFoundError:  # it went meanwhile
                     continue
-                yield entry.name, told.st_size, told.st_mtime, entry.is_dir()
+                yield entry.name, told.st_size, told.st_ctime if came else told.st_mtime, entry.is_dir()
         return
     top = store.get_file_info(path)
     for info in [top] if top.is_file else store.get_file_info(fs.FileSelector(path, allow_not_found=True)):

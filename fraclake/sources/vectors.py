@@ -9,19 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraclake.sinks.archives import file_system
+from fraclake.sources.files import list_files
 
 _SLICE = 1 << 16
 _SCHEMA = "path string, hashes array<bigint>"
 _ARROW = pa.schema([("path", pa.string()), ("hashes", pa.list_(pa.int64()))])
 
+#: What names of folders tell of the files below.
+KSIZE_FOLDER, PART_FOLDER = r"ksize=(\d+)/", r"part=([0-9a-f]+)/"
+
 #: Values of eight bytes that one task reads from one file at a time: 32 MB.
 RANGE = 1 << 22
 
 
 def find_vectors(spark: SparkSession, root: str, suffix: str = ".bin") -> DataFrame:
-    """Files as (path, length); no content is read."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*" + suffix).load(root).select("path", "length"))
+    """Files as (path, length), listed by tasks; empty ones and those with hidden names are left out."""
+    hidden = F.substring_index("path", "/", -1).rlike("^[._]")
+    return list_files(spark, root, suffix).where((F.col("length") > 0) & ~hidden).select("path", "length")
 
 
 def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
@@ -41,8 +45,8 @@ def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([bits], type=pa.list_(pa.int64()))], schema=_ARROW)
 
     read = ranges.mapInArrow(slices, _SCHEMA)
-    return read.select(F.regexp_extract("path", r"ksize=(\d+)/", 1).cast("int").alias("ksize"),
-                       F.regexp_extract("path", r"part=([0-9a-f]+)/", 1).alias("part"),
+    return read.select(F.regexp_extract("path", KSIZE_FOLDER, 1).cast("int").alias("ksize"),
+                       F.regexp_extract("path", PART_FOLDER, 1).alias("part"),
                        F.explode("hashes").alias("hash"))
 
 
