@@ -30,6 +30,7 @@ def find_vectors(spark: SparkSession, root: str, suffix: str = ".bin") -> DataFr
 
 def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
     """(ksize, part, hash) for every stored value; unreadable or empty files give none.
+    Files outside such folders have a null k and an empty part.
 
     A file is read in ranges of ``values`` values of eight bytes, or more of narrower ones, each opened and sought to by the task it
     falls to, so a file of any size is shared between tasks and no task holds more than a
@@ -45,7 +46,7 @@ def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([bits], type=pa.list_(pa.int64()))], schema=_ARROW)
 
     read = ranges.mapInArrow(slices, _SCHEMA)
-    return read.select(F.regexp_extract("path", KSIZE_FOLDER, 1).cast("int").alias("ksize"),
+    return read.select(F.regexp_extract("path", KSIZE_FOLDER, 1).try_cast("int").alias("ksize"),
                        F.regexp_extract("path", PART_FOLDER, 1).alias("part"),
                        F.explode("hashes").alias("hash"))
 

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import pytest
+import xxhash
 
 from fraclake.functions.hashing import murmur64_bytes
 from fraclake.functions.unsigned import signed
@@ -49,10 +50,13 @@ def test_kmers_match_brute_force(spark, genomes, fn, scaled, chunk):
     assert {(r.file, r.ksize, r.hash) for r in got} == expected
 
 
-def test_xxhash_counts(spark, genomes):
+@pytest.mark.parametrize("scaled", [1, 7])
+def test_xxhash_matches_the_library(spark, genomes, scaled):
     df = spark.createDataFrame(genomes, "file string, seq string")
-    got = kmer_hashes(df, ["file"], "seq", (15,), 1, "xxhash64").where("file = 'a'").distinct().count()
-    assert got == len(set(canonical(genomes[0][1], 15)))
+    got = kmer_hashes(df, ["file"], "seq", (15, 33), scaled, "xxhash64").where("file = 'a'").distinct().collect()
+    expected = {(k, signed(h)) for k in (15, 33) for w in canonical(genomes[0][1], k)
+                if (h := xxhash.xxh64(w.encode(), seed=42).intdigest()) <= max_hash_for(scaled)}
+    assert {(r.ksize, r.hash) for r in got} == expected and len(got) == len(expected)
     with pytest.raises(ValueError):
         kmer_hashes(df, ["file"], "seq", (15,), 1, "crc")
 

@@ -167,6 +167,19 @@ def test_ingest_without_manifest(spark, tmp_path):
         ingest(spark, root, schema, "other")
 
 
+def test_statistics_of_loaded_tables(spark, tmp_path):
+    root = stored(spark, str(tmp_path / "s"))
+    schema = fresh_database(spark)
+    ingest(spark, root, schema, "per-ksize", analyze=True)
+    ingest(spark, root, schema, "single", analyze=True)
+    for table, n in (("hashes_15", 1500), ("hashes_31", 1500), ("hashes", 3000)):
+        told = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {schema}.{table} hash").collect()}
+        values = [r.hash for r in spark.table(f"{schema}.{table}").collect()]
+        assert len(values) == n and (int(told["min"]), int(told["max"]), told["num_nulls"]) == (min(values), max(values), "0")
+        assert abs(int(told["distinct_count"]) - n) <= 0.15 * n
+        assert f"{n} rows" in {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {schema}.{table}").collect()}["Statistics"]
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     root = stored(spark, str(tmp_path / "s"))
     schemas = [fresh_database(spark) for _ in range(2)]
