@@ -210,4 +210,6 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = learn(stored(labelled, "labelled-statistics"))
     rule = expression(rules).alias("rule")
     out = found.withColumn("base_failed", base_failed()).withColumn("rule", rule)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return out.select(*first, *[c for c in out.columns if c not in first])

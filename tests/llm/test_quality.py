@@ -1,6 +1,11 @@
+import math
+import random
+import struct
+
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import brute
@@ -82,6 +87,69 @@ def test_learned_rules(spark):
     assert found.where("base_failed").count() == 0
 
 
+def covering(rows, cuts):
+    """Sequential covering row by row: ``rows`` are (features, bad, grows)."""
+    fires = lambda x, rule: all(x[f] >= t if op == ">=" else x[f] < t for f, op, t in rule)
+    counts = lambda found: (sum(bad for _, bad, _ in found), sum(not bad for _, bad, _ in found))
+    rules = []
+    while len(rules) < decision_lists.MOST_RULES:
+        rule = []
+        while len(rule) < decision_lists.MOST_TESTS:
+            inside = [r for r in rows if r[2] and fires(r[0], rule)]
+            p0, n0 = counts(inside)
+            if not p0 or not n0:
+                break
+            best, most = None, 0.0
+            for test in ((f, op, t) for f, ts in cuts.items() for t in ts for op in (">=", "<")):
+                p, n = counts([r for r in inside if fires(r[0], [test])])
+                gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
+                if gain > most + 1e-9:
+                    best, most = test, gain
+            if best is None:
+                break
+            rule.append(best)
+        if not rule:
+            break
+        prefixes = []
+        for k in range(1, len(rule) + 1):
+            hit = [r for r in rows if fires(r[0], rule[:k])]
+            (p, n), (u, v) = counts(hit), counts([r for r in hit if not r[2]])
+            prefixes.append(((u - v) / (u + v) if u + v else -1.0, p, -k, min(p / max(1, p + n), u / (u + v) if u + v else 1.0)))
+        _, p, k, precision = max(prefixes)
+        if precision < decision_lists.LEAST_PRECISION or p < decision_lists.LEAST_COVER:
+            break
+        rules.append(rule[:-k])
+        rows = [r for r in rows if not fires(r[0], rules[-1])]
+    return rules
+
+
+@pytest.mark.parametrize("seed, noise", [(1, 0.0), (2, 0.01), (3, 0.3)])
+def test_rules_equal_brute_force(spark, seed, noise):
+    rng = random.Random(seed)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_upper", "n_marks"]
+    rows, table = [], []
+    for i in range(500):
+        words, lines = rng.randint(20, 200), rng.randint(1, 12)
+        chars = words * rng.randint(3, 7)
+        values = [words, chars, rng.randint(0, words), rng.randint(0, lines - 1), rng.randint(0, words // 4), lines, rng.randint(words // 2, words), rng.randint(0, chars // 2), rng.randint(0, words // 3)]
+        x = dict(zip(["words", "word_length", "symbols_per_word", "dup_line_share", "repeat_share", "distinct_share", "upper_share", "marks_per_word", "words_per_line"],
+                     [float(words), chars / words, values[2] / words, values[3] / lines, values[4] / words, values[6] / words, values[7] / chars, values[8] / words, words / lines]))
+        bad = ((x["upper_share"] >= 0.3 and words < 110) or x["marks_per_word"] >= 0.28) != (rng.random() < noise)
+        digest = xxhash.xxh64(struct.pack("<q", i), seed=42).intdigest()
+        rows.append((x, bad, (digest - (1 << 64) if digest >> 63 else digest) % 3 > 0))
+        table.append((i, *values, bad))
+    labelled = spark.createDataFrame(table, ", ".join(["doc_id bigint", *(f"{n} bigint" for n in names), "bad boolean"]))
+    cuts = dict(zip(decision_lists.features(), decision_lists._thresholds(labelled)))
+    assert all(set(ts) <= {x[f] for x, _, _ in rows} and 1 < len(ts) <= 62 for f, ts in cuts.items())
+    found = decision_lists.learn(labelled)
+    assert found == covering(rows, cuts)
+    assert noise or len(found) >= 2
+
+
+def test_verdicts_lead_the_columns(odd, labels):
+    assert decision_lists.judged(odd, labels).columns[:8] == ["doc_id", *NAMES, "base_failed", "kept"]
+
+
 def test_decision_list_of_odd_rows(odd, empty, labels):
     found = decision_lists.judged(odd, labels)
     assert found.count() == odd.count()
