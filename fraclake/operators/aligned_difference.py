@@ -3,8 +3,9 @@
 Sets that were stored alike hold a hash under the same (k, part), so each such pair of folders is
 compared by itself. The work is listed first: the row groups of both sides with the least
 and the largest hash in them, from the footers of the files. Pairs of folders are cut into equal
-ranges of hashes, which are spread evenly, so that a piece of work holds a bounded number of
-values however full a partition is. A task then reads the row groups that reach into its piece,
+ranges of hashes, which are dealt in turn, so that a piece of work holds a bounded number of
+values however full a partition is. A row group is read by every piece that it reaches into, so pieces
+smaller than PIECE are cut only as far as each value is read about three times. A task then reads the row groups that reach into its piece,
 keeps the values inside, and merges the two sorted sides. Only the list of work and the hashes
 that are missing ever move.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from fraclake.functions.unsigned import unsigned_key
 from fraclake.sinks.archives import file_system
+from fraclake.sources.files import dealt_in_turn
 
 #: Values of both sides in a piece of work, about; values read at a time.
 PIECE, BATCH = 1 << 23, 1 << 16
@@ -70,7 +72,7 @@ def row_groups(files: DataFrame) -> DataFrame:
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["side", "path", "row_group", "values", "low", "high", "nulls"])
 
-    return files.select("side", "path").hint("rebalance").mapInArrow(read, _GROUPS)
+    return dealt_in_turn(files.select("side", "path")).mapInArrow(read, _GROUPS)
 
 
 def work_list(spark: SparkSession, lhs: str, rhs: str, ksizes: list[int], piece: int = PIECE) -> DataFrame:
@@ -83,9 +85,12 @@ def work_list(spark: SparkSession, lhs: str, rhs: str, ksizes: list[int], piece:
     sides = [stored_files(spark, root).withColumn("side", F.lit(side)) for side, root in (("l", lhs), ("r", rhs))]
     files = sides[0].unionByName(sides[1]).where(F.col("ksize").isin(*ksizes))
     groups = row_groups(files).join(files, ["side", "path"]).where("values > 0").withColumns({"low": unsigned_key("low"), "high": unsigned_key("high")})
-    sizes = groups.groupBy("ksize", "part").agg(F.sum("values").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
+    width = F.col("high").cast("double") - F.col("low").cast("double") + 1
+    sizes = groups.groupBy("ksize", "part").agg(F.sum("values").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum(F.col("values") * width).alias("reach"),
                                                 F.bool_or(F.col("side") == "r").alias("wanted")).where("wanted")
-    pieces = F.ceil(F.col("n") / F.lit(piece)).cast("bigint")
+    # of p pieces of the whole width, a group reaches into p times its share of that, and one more
+    few = F.floor(2 * F.col("n") * width / F.col("reach"))
+    pieces = F.greatest(F.ceil(F.col("n") / F.lit(max(piece, PIECE))), F.least(F.ceil(F.col("n") / F.lit(piece)), few)).cast("bigint")
     cut = sizes.withColumn("pieces", pieces).withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
 
     def bound(i: str) -> Column:
@@ -131,7 +136,7 @@ def aligned_difference(spark: SparkSession, lhs: str, rhs: str, ksizes: list[int
     signed or unsigned, sorted or not; where a partition's files are not sorted, or are many
     sorted runs, each of its pieces reads all of them.
     """
-    spread = work_list(spark, lhs, rhs, ksizes, piece).hint("rebalance")
+    spread = dealt_in_turn(work_list(spark, lhs, rhs, ksizes, piece))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

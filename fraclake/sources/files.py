@@ -16,6 +16,9 @@ from fraclake.sinks.archives import file_system
 #: Entries that leave a task at a time, and bytes of files that one task is dealt.
 _ENTRIES, TASK_BYTES = 10_000, 64 << 20
 
+#: Tasks for each core that work is dealt to, and the bytes that opening a file counts as.
+TASKS, OPEN_BYTES = 4, 16 << 10
+
 _LISTED = "path string, length bigint, mtime double, folder boolean"
 
 
@@ -75,20 +78,37 @@ def list_files(spark: SparkSession, root: str, suffix: str = "", levels: int | N
     return reduce(DataFrame.unionByName, found)
 
 
-def dealt_by_bytes(files: DataFrame, least_tasks: int = 1, task_bytes: int = TASK_BYTES) -> DataFrame:
+def tasks_for(work: DataFrame, rows: int | None = None) -> int:
+    """Several tasks for each core, and with ``rows`` so many that each has no more of them;
+    counting them runs ``work`` once more."""
+    return max(TASKS * work.sparkSession.sparkContext.defaultParallelism, -(-work.count() // rows) if rows else 0)
+
+
+def dealt_in_turn(work: DataFrame, rows: int | None = None) -> DataFrame:
+    """A list of work dealt row by row to ``tasks_for`` it.
+
+    The ``rebalance`` hint goes by the bytes of the list itself, which say nothing about the work
+    that a row stands for, and gathers a list in one task.
+    """
+    return work.repartition(tasks_for(work, rows))
+
+
+def dealt_by_bytes(files: DataFrame, least_tasks: int = 1, task_bytes: int = TASK_BYTES, open_bytes: int = 0) -> DataFrame:
     """(path, length, ...) rows in partitions of about as many bytes, ``task_bytes`` each or less.
+    A file counts as ``open_bytes`` besides its own.
 
     Files are ordered by a hash of their path and cut where the running total of bytes passes
     the next multiple. The total runs within 4,096 groups, whose own totals are a table
     of that size. A file that is larger is a partition with what falls beside it.
     """
-    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cost = F.col("length") + F.lit(open_bytes)
+    total = files.agg(F.coalesce(F.sum(cost), F.lit(0))).first()[0]
     share = max(1, min(task_bytes, -(-total // max(1, least_tasks))))
     pieces = int(-(-total // share)) or 1
     placed = files.withColumns({"_order": F.xxhash64("path"), "_group": F.pmod(F.xxhash64(F.lit(1), "path"), F.lit(4096))})
-    sizes = placed.groupBy("_group").agg(F.sum("length").alias("_size"))
+    sizes = placed.groupBy("_group").agg(F.sum(cost).alias("_size"))
     offsets = sizes.select("_group", F.coalesce(F.sum("_size").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    before = F.sum("length").over(Window.partitionBy("_group").orderBy("_order", "path").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum(cost).over(Window.partitionBy("_group").orderBy("_order", "path").rowsBetween(Window.unboundedPreceding, -1))
     cut = placed.join(F.broadcast(offsets), "_group")  # at most 4,096 rows
     cut = cut.withColumn("_piece", F.floor((F.col("_offset") + F.coalesce(before, F.lit(0))) / F.lit(share)))
     return cut.repartitionByRange(pieces, "_piece").drop("_order", "_group", "_offset", "_piece")
