@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from fraclake.functions.hashing import md5_64, md5_hex16, murmur64, murmur64_fixed, padded_words
+from fraclake.functions.hashing import (MD5_KEYS, md5_64, md5_64_canonical, md5_64_slices, md5_hex16, murmur64, murmur64_fixed,
+                                        padded_words)
 from fraclake.functions.unsigned import bits_from_hex, unsigned_at_most
 
 #: Token separator of text sketches, the same in every engine.
@@ -29,6 +30,10 @@ DRAWS_SPREAD = 50
 _CHUNK = 1 << 16
 _BLOCK = 1 << 17
 
+#: Bytes of texts whose words are hashed at a time, and the bytes of WORD_BREAK.
+_TEXT_BYTES = 1 << 18
+_BLANKS = np.frombuffer(b" \n\t\r", dtype=np.uint8)
+
 
 def max_hash_for(scaled: int) -> int:
     """Largest hash kept by a sketch that keeps one in ``scaled``."""
@@ -69,19 +74,64 @@ def word_sketch_arrays(docs: DataFrame, keys: Sequence[str], text: str, ksizes:
                        scaled: int) -> DataFrame:
     """(keys..., h<k>...): the same sketches as one array per text, for packing.
 
-    Words are reached by position: slicing inside a lambda would copy the whole text
-    for every run.
+    Runs are hashed with array arithmetic, the texts of about _TEXT_BYTES at a time or one longer
+    text; lambdas over arrays are not compiled and took several times as long.
     """
-    split = docs.select(*keys, F.split(F.col(text), WORD_BREAK).alias("_words"))
+    bound, wanted, names = np.uint64(max_hash_for(scaled)), list(ksizes), list(keys)
+    schema = T.StructType([docs.schema[k] for k in names]
+                          + [T.StructField(f"h{k}", T.ArrayType(T.LongType())) for k in wanted])
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_text").cast(pa.large_binary())
+            ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+            lo = 0
+            while lo < len(batch):
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + _TEXT_BYTES, side="right")) - 1)
+                found = word_run_hashes(texts.slice(lo, hi - lo), wanted, bound)
+                columns = [batch.column(n).slice(lo, hi - lo) for n in names]
+                columns += [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64))) for cuts, hashes in found]
+                yield pa.RecordBatch.from_arrays(columns, names=names + [f"h{k}" for k in wanted])
+                lo = hi
+
+    return docs.select(*keys, F.col(text).alias("_text")).mapInArrow(sketch, schema)
 
-    def hashes(k: int) -> Column:
-        count = F.size("_words") - k + 1
-        starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-        hexes = F.transform(starts, lambda at: md5_hex16(
-            F.concat_ws(" ", *[F.get(F.col("_words"), at + i) for i in range(k)])))
-        return F.transform(F.filter(hexes, lambda h: h <= f"{max_hash_for(scaled):016x}"), bits_from_hex)
 
-    return split.select(*keys, *[hashes(k).alias(f"h{k}") for k in ksizes])
+def word_run_hashes(texts: pa.Array, ksizes: Sequence[int], bound: np.uint64) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each k the hashes of all runs of words up to a bound, and where those of each text begin.
+
+    Separators are made single blanks first; then a run of words is one slice of its text.
+    """
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    filled = np.diff(ends) > 0
+    blank = np.isin(raw, _BLANKS)
+    kept = ~blank
+    kept[1:] |= ~blank[:-1]
+    kept[ends[:-1][filled]] = True  # a text begins anew
+    places = np.concatenate([[0], np.cumsum(kept)])[ends]
+    data = np.where(blank, np.uint8(32), raw)[kept]
+    # a word ends at a blank or with its text, and the next one begins behind; NULL has no words
+    breaks = np.flatnonzero(blank[kept])
+    inside = np.concatenate([[0], np.cumsum(blank[kept])])[places]
+    known = texts.is_valid().to_numpy(zero_copy_only=False)
+    counts = np.where(known, np.diff(inside) + 1, 0)
+    first = np.concatenate([[0], np.cumsum(counts)])
+    starts, stops = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+    starts[first[:-1][known]], stops[first[1:][known] - 1] = places[:-1][known], places[1:][known]
+    later, earlier = np.ones(len(starts), bool), np.ones(len(starts), bool)
+    later[first[:-1][known]], earlier[first[1:][known] - 1] = False, False
+    starts[later], stops[earlier] = breaks + 1, breaks
+    out = []
+    for k in ksizes:
+        runs = np.clip(counts - k + 1, 0, None)
+        begun = np.concatenate([[0], np.cumsum(runs)])
+        at = np.arange(begun[-1]) + np.repeat(first[:-1] - begun[:-1], runs)
+        hashes = md5_64_slices(data, starts[at], stops[at + k - 1] - starts[at])
+        small = hashes <= bound
+        out.append((np.concatenate([[0], np.cumsum(small)])[begun], hashes[small]))
+    return out
 
 
 def sequence_chunks(records: DataFrame, keys: Sequence[str], seq: str, ksizes: Sequence[int],
@@ -113,8 +163,8 @@ def kmer_hashes(records: DataFrame, keys: Sequence[str], seq: str, ksizes: Seque
     pieces = sequence_chunks(records, keys, seq, ksizes, chunk)
     if spread:
         pieces = pieces.hint("rebalance")
-    if hash_fn == "murmur64":
-        return _murmur_kmers(pieces, keys, ksizes, scaled, chunk)
+    if hash_fn in _KMER_HASHES:
+        return _array_kmers(pieces, keys, ksizes, scaled, chunk, hash_fn)
     reverse = F.reverse(F.translate(F.col("piece").cast("string"), "ACGT", "TGCA")).cast("binary")
     both = pieces.withColumn("_reverse", reverse)
     sized = both.select("*", F.explode(F.array(*[F.lit(k) for k in ksizes])).alias("ksize"))
@@ -126,8 +176,8 @@ def kmer_hashes(records: DataFrame, keys: Sequence[str], seq: str, ksizes: Seque
     return _keep_hashed(placed, F.least(forward, backward), scaled, hash_fn).select(*keys, "ksize", "hash")
 
 
-def _murmur_kmers(pieces: DataFrame, keys: Sequence[str], ksizes: Sequence[int], scaled: int,
-                  chunk: int) -> DataFrame:
+def _array_kmers(pieces: DataFrame, keys: Sequence[str], ksizes: Sequence[int], scaled: int,
+                 chunk: int, hash_fn: str) -> DataFrame:
     bound = np.uint64(max_hash_for(scaled))
     schema = T.StructType([pieces.schema[k] for k in keys]
                           + [T.StructField("ksize", T.IntegerType()), T.StructField("hash", T.LongType())])
@@ -136,7 +186,7 @@ def _murmur_kmers(pieces: DataFrame, keys: Sequence[str], ksizes: Sequence[int],
     def hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in wanted:
-                for rows, hashes in canonical_hashes(batch.column("piece"), k, chunk):
+                for rows, hashes in _KMER_HASHES[hash_fn](batch.column("piece"), k, chunk):
                     kept = hashes <= bound
                     owners = pa.array(rows[kept])
                     columns = [batch.column(n).take(owners) for n in names]
@@ -160,10 +210,7 @@ def canonical_hashes(pieces: pa.Array, k: int, chunk: int = _CHUNK) -> Iterator[
     All pieces of a batch are treated as one buffer, so short pieces cost no more
     per k-mer than long ones; blocks bound the working memory.
     """
-    pieces = pieces.cast(pa.large_binary())
-    ends = np.frombuffer(pieces.buffers()[1], dtype=np.int64)[pieces.offset:pieces.offset + len(pieces) + 1]
-    data = np.frombuffer(pieces.buffers()[2] or b"", dtype=np.uint8)
-    counts = np.clip(np.minimum(np.diff(ends) - k + 1, chunk), 0, None)
+    data, ends, counts = _laid_out(pieces, k, chunk)
     before = np.concatenate([[0], np.cumsum(counts)])
     complement = _complement_table()
     for lo in range(0, int(before[-1]), _BLOCK):
@@ -177,6 +224,36 @@ def canonical_hashes(pieces: pa.Array, k: int, chunk: int = _CHUNK) -> Iterator[
         yield rows, murmur64_fixed(np.where(flip[:, None], other, words), k)
 
 
+def canonical_md5(pieces: pa.Array, k: int, chunk: int = _CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same with the top 64 bits of the md5. Pieces that lie one after another are hashed as one
+    run of bases; k-mers that begin in one and end in the next are dropped."""
+    complement = _complement_table()
+    data, ends, counts = _laid_out(pieces, k, chunk)
+    row = 0
+    while row < len(counts):
+        stop = max(row + 1, int(np.searchsorted(ends, ends[row] + MD5_KEYS, side="right")) - 1)
+        nth = np.concatenate([np.arange(counts[row])] if stop == row + 1 else [np.arange(c) for c in counts[row:stop]])
+        rows, starts = np.repeat(np.arange(row, stop), counts[row:stop]), nth + np.repeat(ends[row:stop] - ends[row], counts[row:stop])
+        for lo in range(0, int(ends[stop] - ends[row]), MD5_KEYS):  # one piece may be longer
+            first, last = np.searchsorted(starts, (lo, lo + MD5_KEYS))
+            if first < last:
+                part = data[ends[row] + starts[first]:ends[row] + starts[last - 1] + k]
+                hashes = md5_64_canonical(part, complement[part[::-1]], k)
+                yield rows[first:last], hashes[starts[first:last] - starts[first]]
+        row = stop
+
+
+def _laid_out(pieces: pa.Array, k: int, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of the pieces, where each begins and the last ends, and how many k-mers each has."""
+    pieces = pieces.cast(pa.large_binary())
+    ends = np.frombuffer(pieces.buffers()[1], dtype=np.int64)[pieces.offset:pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2] or b"", dtype=np.uint8)
+    return data, ends, np.clip(np.minimum(np.diff(ends) - k + 1, chunk), 0, None)
+
+
+_KMER_HASHES = {"murmur64": canonical_hashes, "md5_64": canonical_md5}
+
+
 def _comes_first(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise a < b as byte strings: compare the first differing word, high byte first."""
     a, b = a.view(">u8"), b.view(">u8")

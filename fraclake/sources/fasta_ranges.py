@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraclake.sinks.archives import file_system
-from fraclake.sources.files import list_files
+from fraclake.sources.files import TASK_BYTES, list_files, tasks_for
 
-#: Bytes of a range and of a read; bases of a row.
-RANGE, READ, ROW = 32 << 20, 1 << 20, 1 << 20
+#: Bytes of a range and of a read; bases of a row; bytes of the first read behind a range.
+RANGE, READ, ROW, BEHIND = 32 << 20, 1 << 20, 1 << 20, 256
 
 #: Fixed values of block-compressed gzip: how a block's header begins, and the name and length of its size field.
 _BLOCK, _FIELD = b"\x1f\x8b\x08\x04", b"BC\x02\x00"
@@ -37,12 +37,16 @@ def _size_of_block(head: bytes, at: int) -> int | None:
     return struct.unpack_from("<H", head, at + 16)[0] + 1
 
 
-def _chunks(file: pa.NativeFile, packed: str, first: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, bytes) from ``first`` on; of blocks the offsets are those of the compressed file."""
+def _chunks(file: pa.NativeFile, packed: str, first: int, last: int) -> Iterator[tuple[int, bytes]]:
+    """(offset, bytes) from ``first`` on; of blocks the offsets are those of the compressed file.
+    Of plain files one chunk ends at ``last``, and behind it reads are small at first, as little of that is needed."""
     size = file.size()
     if packed == "no":
-        for at in range(first, size, READ):
-            yield at, file.read_at(READ, at)
+        at, step = first, BEHIND
+        while at < size:
+            length = min(READ, last - at) if at < last else step
+            yield at, file.read_at(length, at)
+            step, at = min(READ, 4 * step) if at >= last else step, at + length
     elif packed == "blocks":
         at = _next_block(file, first, size)
         while at < size:
@@ -100,7 +104,7 @@ def _state(file: pa.NativeFile, packed: str, lo: int, hi: int) -> str | None:
             at = start
         return None
     state, line_start = None, False
-    for at, data in _chunks(file, packed, lo):
+    for at, data in _chunks(file, packed, lo, hi):
         if line_start and data:
             state, line_start = "header" if data[:1] == b">" else "bases", False
         if at >= hi:
@@ -115,44 +119,39 @@ def _state(file: pa.NativeFile, packed: str, lo: int, hi: int) -> str | None:
 def _pieces(file: pa.NativeFile, packed: str, lo: int, hi: int, header: bool, k: int) -> Iterator[bytes]:
     """Rows of bases of a range that begins in a header line or not."""
     tail, line_start, more = b"", False, None
-    for at, data in _chunks(file, packed, lo):
-        if packed == "no" and at < hi < at + len(data):
-            parts = [(data[:hi - at], True), (data[hi - at:], False)]
-        else:
-            parts = [(data, packed == "whole" or at < hi)]
-        for part, own in parts:
-            if not own and more is None:
-                more = b"" if tail and not header else None
-                if more is None:
-                    return
-            place = 0
-            while place < len(part):
-                if header:
-                    end = part.find(b"\n", place)
-                    if end < 0:
-                        break
-                    header, line_start, place = False, True, end + 1
-                    continue
-                if line_start and part[place:place + 1] == b">":
-                    if more is not None:
-                        yield tail + more
-                        return
-                    header, line_start, tail = True, False, b""
-                    continue
-                end = part.find(b"\n>", place)
-                end = len(part) if end < 0 else end + 1
-                found = part[place:end].translate(None, _BLANKS).upper()
-                line_start, place = part[end - 1:end] == b"\n", end
+    for at, part in _chunks(file, packed, lo, hi):
+        if packed != "whole" and at >= hi and more is None:
+            if not tail or header:
+                return
+            more = b""
+        place = 0
+        while place < len(part):
+            if header:
+                end = part.find(b"\n", place)
+                if end < 0:
+                    break
+                header, line_start, place = False, True, end + 1
+                continue
+            if line_start and part[place:place + 1] == b">":
                 if more is not None:
-                    more += found
-                    if len(more) >= k - 1:
-                        yield tail + more[:k - 1]
-                        return
-                    continue
-                whole = tail + found
-                for start in range(0, max(0, len(whole) - k + 1), ROW):
-                    yield whole[start:start + ROW + k - 1]
-                tail = whole[max(0, len(whole) - k + 1):]
+                    yield tail + more
+                    return
+                header, line_start, tail = True, False, b""
+                continue
+            end = part.find(b"\n>", place)
+            end = len(part) if end < 0 else end + 1
+            found = part[place:end].translate(None, _BLANKS).upper()
+            line_start, place = part[end - 1:end] == b"\n", end
+            if more is not None:
+                more += found
+                if len(more) >= k - 1:
+                    yield tail + more[:k - 1]
+                    return
+                continue
+            whole = tail + found
+            for start in range(0, max(0, len(whole) - k + 1), ROW):
+                yield whole[start:start + ROW + k - 1]
+            tail = whole[max(0, len(whole) - k + 1):]
     if more:
         yield tail + more
 
@@ -174,7 +173,8 @@ def read_fasta_ranges(spark: SparkSession, root: str, k: int, suffix: str = "",
     known = files.mapInArrow(told, "path string, length bigint, packed string")
     step = F.when(F.col("packed") == "whole", F.col("length")).otherwise(F.lit(size).cast("bigint"))
     ranges = known.withColumn("step", step).select("path", "packed", "length", "step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.col("step"))).alias("lo"))
-    ranges = ranges.select("path", "packed", "lo", F.least(F.col("lo") + F.col("step"), "length").alias("hi")).hint("rebalance")
+    ranges = ranges.select("path", "packed", "lo", F.least(F.col("lo") + F.col("step"), "length").alias("hi"))
+    tasks = tasks_for(ranges, max(1, TASK_BYTES // size))
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,17 +186,24 @@ def read_fasta_ranges(spark: SparkSession, root: str, k: int, suffix: str = "",
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(states, pa.string())], names=["path", "packed", "lo", "hi", "state"])
 
     before = Window.partitionBy("path").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)  # the ranges of one file
-    begun = ranges.mapInArrow(ends, "path string, packed string, lo bigint, hi bigint, state string").select(
-        "path", "packed", "lo", "hi", F.last("state", ignorenulls=True).over(before).alias("state")).hint("rebalance")
+    begun = ranges.repartition(tasks).mapInArrow(ends, "path string, packed string, lo bigint, hi bigint, state string").select(
+        "path", "packed", "lo", "hi", F.last("state", ignorenulls=True).over(before).alias("state")).repartition(tasks)
 
     def bases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
             for uri, packed, lo, hi, state in zip(*(batch.column(c).to_pylist() for c in ("path", "packed", "lo", "hi", "state"))):
                 store, path = file_system(uri)
                 with store.open_input_file(path) as file:
                     # without a line break before, the first byte of the file tells
-                    header = state == "header" if state else next(_chunks(file, packed, 0), (0, b""))[1][:1] == b">"
+                    header = state == "header" if state else next(_chunks(file, packed, 0, 1), (0, b""))[1][:1] == b">"
                     for seq in _pieces(file, packed, lo, hi, header, k):
-                        yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([lo]), pa.array([seq.decode("latin-1")])], names=["path", "offset", "seq"])
+                        rows.append((uri, lo, seq.decode("latin-1")))
+                        held += len(seq)
+                        if held >= ROW:
+                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["path", "offset", "seq"])
+                            rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["path", "offset", "seq"])
 
     return begun.mapInArrow(bases, "path string, offset bigint, seq string").where(F.length("seq") >= k)
