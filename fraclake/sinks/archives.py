@@ -19,6 +19,10 @@ from fraclake.functions.mixing import with_partition_id
 from fraclake.shared import exists, rename
 
 
+#: Archives that are packed before they leave a task.
+_ROWS = 64
+
+
 def pack_archives(df: DataFrame) -> DataFrame:
     """(path, content) with one zip per row of (path, members).
 
@@ -29,9 +33,11 @@ def pack_archives(df: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [zip_of(row["members"]) for row in batch.select(["members"]).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(packed, type=pa.binary())],
-                                             names=["path", "content"])
+            for lo in range(0, len(batch), _ROWS):
+                some = batch.slice(lo, _ROWS)
+                packed = [zip_of(row.as_py()) for row in some.column("members")]
+                yield pa.RecordBatch.from_arrays([some.column("path"), pa.array(packed, type=pa.binary())],
+                                                 names=["path", "content"])
 
     return df.select("path", "members").mapInArrow(pack, "path string, content binary")
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fraclake.functions.paths import ARCHIVE_SUFFIX, MEMBER_FOLDER, MEMBER_SUFFIX
 from fraclake.sinks.archives import file_system
-from fraclake.sources.files import list_files
+from fraclake.sources.files import OPEN_BYTES, TASKS, dealt_by_bytes, list_files
 from fraclake.types import ARCHIVE_ROWS
 
 _SLICE = 1 << 16
@@ -85,10 +85,16 @@ def decode_archives(files: DataFrame, ksizes: Collection[int] | None = None,
     return files.select("path", "content").mapInArrow(unpack, ARCHIVE_ROWS)
 
 
-def decode_archive_files(paths: DataFrame, ksizes: Collection[int] | None = None, root_only: bool = False) -> DataFrame:
-    """The same for (path,) rows: each file is opened by its task, which seeks to the members it
-    wants. So a file of any size is read, member by member, and no file passes through Spark."""
+def decode_archive_files(paths: DataFrame, ksizes: Collection[int] | None = None, root_only: bool = False,
+                         deal: bool = True) -> DataFrame:
+    """The same for (path, length) rows: each file is opened by its task, which seeks to the members it
+    wants. So a file of any size is read, member by member, and no file passes through Spark.
+
+    Files are dealt to tasks by their bytes first: lists are short, and left as they come they are
+    few tasks, whatever the archives hold. ``deal=False`` leaves (path,) rows where they are."""
     wanted = None if ksizes is None else frozenset(ksizes)
+    if deal:
+        paths = dealt_by_bytes(paths, TASKS * paths.sparkSession.sparkContext.defaultParallelism, open_bytes=OPEN_BYTES)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []

@@ -18,7 +18,7 @@ from fraclake.operators.hash_sets import difference, unique_hashes
 from fraclake.operators.ledger import ERROR_MAX_TRIES
 from fraclake.shared import entries, exists, stored
 from fraclake.sources.archives import decode_archive_files, flat_hashes, list_archives
-from fraclake.sources.files import dealt_by_bytes
+from fraclake.sources.files import OPEN_BYTES, TASKS, dealt_by_bytes
 from fraclake.streaming.commits import State, commit, forget, newest
 
 FLAT = "hash bigint, scaled bigint, source_file string, sketch_name string, run int, ksize int"
@@ -38,8 +38,8 @@ def ingest_archives(spark: SparkSession, root: str, out: str, log: str, ksizes:
     now = time.time() if now is None else now
     work = stored(worklist(list_archives(spark, root), ingested(spark, log), now), "worklist")
     # the same rows give hashes and outcomes: they are decoded once
-    spread = dealt_by_bytes(work, 4 * spark.sparkContext.defaultParallelism)
-    rows = stored(decode_archive_files(spread, ksizes), "decoded")
+    spread = dealt_by_bytes(work, TASKS * spark.sparkContext.defaultParallelism, open_bytes=OPEN_BYTES)
+    rows = stored(decode_archive_files(spread, ksizes, deal=False), "decoded")
     flat_hashes(rows).write.mode("overwrite").partitionBy("ksize").parquet(f"{out}/run={run}")
     heads = rows.where(F.col("member_head") | F.col("member").isNull()).select("path", "member", "status", "error")
     tried = work.join(heads, "path").withColumn("tried_at", F.lit(float(now)))
