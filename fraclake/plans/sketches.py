@@ -161,7 +161,7 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def synthetic_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated sketches for one archive per supplier."""
-    return generated_sketches(table(spark, sf_dir, "supplier"), "s_suppkey")
+    return generated_sketches(wide(spark, sf_dir, "supplier", "s_suppkey"), "s_suppkey")
 
 
 _SYNTHETIC = f"""
