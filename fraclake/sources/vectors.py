@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraclake.sinks.archives import file_system
-from fraclake.sources.files import list_files
+from fraclake.sources.files import TASK_BYTES, dealt_in_turn, list_files
 
 _SLICE = 1 << 16
 _SCHEMA = "path string, hashes array<bigint>"
@@ -37,7 +37,7 @@ def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
     slice of one.
     """
     pieces = F.sequence(F.lit(0), F.floor((F.col("length") - 1) / F.lit(8 * values)).cast("bigint"))
-    ranges = files.where("length > 0").select("path", F.explode(pieces).alias("piece")).hint("rebalance")
+    ranges = files.where("length > 0").select("path", F.explode(pieces).alias("piece"))
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -45,7 +45,7 @@ def read_vectors(files: DataFrame, values: int = RANGE) -> DataFrame:
                 for bits in vector_slices(path, 8 * piece * values, 8 * values):
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([bits], type=pa.list_(pa.int64()))], schema=_ARROW)
 
-    read = ranges.mapInArrow(slices, _SCHEMA)
+    read = dealt_in_turn(ranges, max(1, TASK_BYTES // (8 * values))).mapInArrow(slices, _SCHEMA)
     return read.select(F.regexp_extract("path", KSIZE_FOLDER, 1).try_cast("int").alias("ksize"),
                        F.regexp_extract("path", PART_FOLDER, 1).alias("part"),
                        F.explode("hashes").alias("hash"))
