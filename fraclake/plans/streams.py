@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fraclake.plans.archives import SQL_KINDS, SQL_NAME, damaged_archives, document_archives, sketched_documents, write_document_archives
 from fraclake.plans.inputs import SQL_KNOWN_KEYS, SQL_SOLD_KEYS, WORD_KSIZES, known_keys, sold_keys, sql_word_bag, table
 from fraclake.plans.listings import BASE, listing_pages, sql_candidates
-from fraclake.shared import fresh_database, shared_folder
+from fraclake.shared import fresh_database, shared_folder, stored
 from fraclake.sinks.archives import write_files
 from fraclake.sources.archives import flat_hashes
 from fraclake.sources.formats import NAME, register
@@ -85,7 +85,8 @@ def stream_archive_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_null(bag: DataFrame) -> DataFrame:
-    """The bag, and one NULL hash for each of its k."""
+    """The bag, which is made and kept once, and one NULL hash for each of its k."""
+    bag = stored(bag, "bag")
     return bag.unionByName(bag.select("ksize").distinct().withColumn("hash", F.lit(None).cast("bigint")))
 
 
@@ -115,8 +116,9 @@ def stream_unique_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_unique_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with filters beside the folders; what was sold comes a second time after compaction, and is known."""
     base = shared_folder(spark, "stream-filtered")
-    for bag in (sold_keys(spark, sf_dir), known_keys(spark, sf_dir), sold_keys(spark, sf_dir)):
-        _with_null(bag).write.mode("append").parquet(f"{base}/in")
+    sold, known = _with_null(sold_keys(spark, sf_dir)), _with_null(known_keys(spark, sf_dir))
+    for bag in (sold, known, sold):
+        bag.write.mode("append").parquet(f"{base}/in")
         hashes = spark.readStream.schema("ksize int, hash bigint").parquet(f"{base}/in")
         grow_filtered_set(hashes, f"{base}/out", f"{base}/checkpoint", bits=4).awaitTermination()
         compact_filtered_set(spark, f"{base}/out", bits=4, keep=1)
