@@ -26,8 +26,12 @@ def listing_candidates(pages: DataFrame, base_url: str, pattern: str = TARGET_FI
     their address is that of a sub-directory. Listings give no size or time. A file
     linked twice gives two rows; the ledger keeps one.
     """
+    return link_candidates(classified_links(pages), base_url, pattern, follow_root)
+
+
+def link_candidates(links: DataFrame, base_url: str, pattern: str = TARGET_FILE, follow_root: bool = True) -> DataFrame:
+    """The same for classified links, which ``follow_root`` uses twice: store them where pages are dear to read."""
     base = base_url.rstrip("/")
-    links = classified_links(pages)
     folder = F.substring("url", F.lit(len(base) + 2), F.length("url"))
     files = links.where((F.col("kind") == "file") & is_target_file("href", pattern))
     if follow_root:

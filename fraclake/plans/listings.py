@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fraclake.functions.paths import (HREF, SHARD_DIRECTORY, TARGET_FILE, base_name, download_path, is_signature_member,
                                       is_target_file, output_path, shard_of)
-from fraclake.operators.listing import classified_links, listing_candidates, page_links
+from fraclake.operators.listing import classified_links, link_candidates, listing_candidates, page_links
 from fraclake.plans.inputs import table
-from fraclake.shared import shared_folder
+from fraclake.shared import shared_folder, stored
 from fraclake.sinks.archives import write_files
 from fraclake.sources.listings import read_pages
 
@@ -52,8 +52,8 @@ def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = listing_pages(table(spark, sf_dir, "pages"))
     below = F.concat(F.substring("url", F.lit(len(BASE) + 1), F.length("url")), "page_id", F.lit(".html"))
     write_files(pages.select(F.concat(F.lit(folder), below).alias("path"), F.encode("html", "utf-8").alias("content")))
-    read = read_pages(spark, folder, f"{BASE}/")
-    return listing_candidates(read.withColumn("url", F.regexp_replace("url", "[^/]+$", "")), BASE)
+    read = read_pages(spark, folder, f"{BASE}/").withColumn("url", F.regexp_replace("url", "[^/]+$", ""))
+    return link_candidates(stored(classified_links(read), "links"), BASE)
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:

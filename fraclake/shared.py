@@ -85,6 +85,14 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return store.exists(path)
 
 
+def located(spark: SparkSession, uri: str) -> tuple[str, str]:
+    """The full path of ``uri`` as tasks can open it, which is a plain one for local files, and its
+    path within the store as a URI has it."""
+    store, path = _hadoop(spark, uri)
+    full = store.makeQualified(path)
+    return full.toUri().getPath() if full.toUri().getScheme() == "file" else full.toString(), full.toUri().getRawPath()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Give a folder its final name; an empty job leaves an empty folder."""
     store, path = _hadoop(spark, source)

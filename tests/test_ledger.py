@@ -1,6 +1,9 @@
 """Ledger transitions, listings and streams against plain Python models."""
 
+import bz2
+import gzip
 import os
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +11,8 @@ from pyspark.sql import functions as F
 from fraclake.operators import ledger as work
 from fraclake.operators.hash_sets import difference
 from fraclake.operators.listing import classified_links, listing_candidates, page_links
+from fraclake.plans import listings
+from fraclake.sources.files import TASKS
 from fraclake.sources.listings import read_pages
 from fraclake.streaming.ingest import (INGESTED, compact_table, grow_unique_set, grow_unique_table, ingest_archives, ingested,
                                        ingested_hashes, read_grown_set, worklist)
@@ -130,6 +135,42 @@ def test_saved_pages(spark, tmp_path):
     assert urls == {f"http://h/w/{p}index.html" for p in PAGES}
 
 
+def test_saved_pages_of_many_forms(spark, tmp_path):
+    """Whole pages, whatever their form or name; none that is hidden or empty; any way to write the folder."""
+    forms = {"lines.html": b"a\r\nb\n", "a b/p.html": b"p", "a%20b.html": b"q", "g.html.gz": gzip.compress(b"g1") + gzip.compress(b"g2"),
+             "b.BZ2": bz2.compress(b"b"), "d/z.Deflate": zlib.compress(b"z"), "gz": b"plain", "\u00fc\u2028#.html": b"u", "_k=1/k.html": b"k",
+             "bad.html": b"\xff", "empty.html": b"", "_hidden/h.html": b"h", ".dot.html": b"h", "_h.html": b"h"}
+    for name, content in forms.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    expected = {("lines.html", b"a\r\nb\n"), ("a%20b/p.html", b"p"), ("a%2520b.html", b"q"), ("g.html.gz", b"g1g2"), ("b.BZ2", b"b"),
+                ("d/z.Deflate", b"z"), ("gz", b"plain"), ("\u00fc%E2%80%A8%23.html", b"u"), ("_k=1/k.html", b"k"), ("bad.html", b"\xff")}
+    for folder in (str(tmp_path), f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}"):
+        rows = read_pages(spark, folder, "P/").selectExpr("url", "CAST(html AS BINARY) AS html").collect()
+        assert sorted((r.url, bytes(r.html)) for r in rows) == sorted((f"P/{u}", h) for u, h in expected)
+    with pytest.raises(FileNotFoundError):
+        read_pages(spark, f"{tmp_path}/none", "P/")
+
+
+def test_many_saved_pages_are_few_tasks(spark, tmp_path):
+    for i in range(1_500):
+        (tmp_path / f"{i}.html").write_text(f"page {i}")
+    pages = read_pages(spark, str(tmp_path), "")
+    assert pages.rdd.getNumPartitions() <= TASKS * spark.sparkContext.defaultParallelism
+    assert {(r.url, r.html) for r in pages.collect()} == {(f"{i}.html", f"page {i}") for i in range(1_500)}
+
+
+def test_saved_pages_query_reads_each_page_once(spark, tmp_path, monkeypatch):
+    """The same rows as from the table, also where the shared folder is given with its store."""
+    spark.range(40).selectExpr("id AS page_id", "concat('u', id) AS url", "'<a href=\"x.gz\">x</a>\n<a href=\"y\n' AS html").write.parquet(f"{tmp_path}/t/pages.parquet")
+    monkeypatch.setattr(listings, "shared_folder", lambda session, label: f"file://{tmp_path}/{label}")
+    read = listings.saved_pages(spark, f"{tmp_path}/t")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Scan text" not in plan
+    rows = sorted(map(str, read.collect()))
+    assert len(rows) > 20 and rows == sorted(map(str, listings.candidates(spark, f"{tmp_path}/t").collect()))
+
+
 def test_stream_ledger_replays_safely(spark, tmp_path):
     root = str(tmp_path / "out")
 
